@@ -61,6 +61,11 @@ def normalize_text(col: Column, exact: bool = False) -> Column:
     return F.trim(F.regexp_replace(folded, r"[^\p{L}\p{N}_]+", " "))
 
 
+def quoted(text: str) -> str:
+    """SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def slugify(col: Column, max_len: int = 42, normalized: bool = False) -> Column:
     """Identifier of ``[a-z0-9_]``, cut to ``max_len``; a default when nothing is left."""
     base = col if normalized else normalize_text(col)
@@ -100,7 +105,7 @@ def words(normalized: Column) -> Column:
 
 
 def drop_words(tokens: Column, stop_words: list[str]) -> Column:
-    return F.filter(tokens, lambda w: ~w.isin(stop_words)) if stop_words else tokens
+    return F.filter(tokens, lambda w: ~w.isin(list(stop_words))) if stop_words else tokens
 
 
 def ngrams(tokens: Column, size: int) -> Column:
@@ -123,7 +128,7 @@ def keyword_set(col: Column) -> Column:
 
 def normalized_set(items: Column) -> Column:
     """Distinct normalised entries of an array, empty ones dropped."""
-    return F.array_distinct(F.filter(F.transform(items, normalize_text), lambda x: x != ""))
+    return F.array_distinct(F.filter(F.transform(items, lambda x: normalize_text(x)), lambda x: x != ""))
 
 
 def jaccard(left: Column, right: Column) -> Column:

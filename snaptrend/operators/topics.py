@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from snaptrend.functions import lexicon
 from snaptrend.functions.lexicon import TopicRule
-from snaptrend.functions.text import drop_words, ngrams, normalize_text, words
+from snaptrend.functions.text import drop_words, ngrams, normalize_text, quoted, words
 from snaptrend.operators.ranking import joined_top
 
 
@@ -48,12 +48,12 @@ def plain_normalize(text: str) -> str:
 
 def _matched(topic: TopicRule, hits: Column) -> Column:
     """Matched keywords of a topic in rule order, with their weight."""
-    entries = [
-        F.struct(F.lit(k).alias("kw"), F.lit(n).alias("norm"), F.lit(2.0 if " " in n else 1.0).alias("w"))
+    entries = ", ".join(
+        f"named_struct('kw', {quoted(k)}, 'norm', {quoted(n)}, 'w', {2 if ' ' in n else 1}D)"
         for k in topic.keywords
         if (n := plain_normalize(k))
-    ]
-    return F.filter(F.array(*entries), lambda e: F.array_contains(hits, e["norm"]))
+    )
+    return F.filter(F.expr(f"array({entries})"), lambda e: F.array_contains(hits, e["norm"]))
 
 
 def _keyword_hits(rules: Sequence[TopicRule], normalized: Column) -> Column:
@@ -119,9 +119,9 @@ class SeedVectors:
         """Map from term to its weights: idf with and without the document, count per topic."""
         pairs = []
         for term, freq in sorted(self.seed_freq.items()):
-            weights = [self.idf(freq + 1), self.idf(freq), *(float(c[term]) for c in self.counts)]
-            pairs += [F.lit(term), F.array(*[F.lit(w) for w in weights])]
-        return F.create_map(*pairs)
+            weights = [self.idf(freq + 1), self.idf(freq), *(c[term] for c in self.counts)]
+            pairs.append(f"{quoted(term)}, array({', '.join(f'{w!r}D' for w in weights)})")
+        return F.expr(f"map({', '.join(pairs)})")
 
     def own_norm(self, position: int) -> float:
         return sum((n * self.idf(self.seed_freq[t])) ** 2 for t, n in self.counts[position].items())
