@@ -14,7 +14,7 @@ from snaptrend.schemas import (
 )
 from snaptrend.session import checkpointed
 from snaptrend.sources.snapshots import align
-from snaptrend.sources.tables import create_database, create_table, replace_run_date
+from snaptrend.sources.tables import create_database, create_table, replace_run_dates
 
 
 def _tie(spec: TableSpec) -> list:
@@ -29,7 +29,7 @@ def merge_daily(spark: SparkSession, raw: DataFrame, database: str, spec: TableS
     target = spark.table(f"{database}.{spec.name}").where(F.col("run_date") == day)
     merged = upsert_newer(target.select(*source.columns), source, spec.key, tie=_tie(spec))
     # The partition is rewritten while it is read, so the result is stored first.
-    replace_run_date(checkpointed(merged), database, spec, run_date)
+    replace_run_dates(checkpointed(merged), database, spec, [run_date])
 
 
 def merge_current(spark: SparkSession, raw: DataFrame, database: str, spec: TableSpec, run_date: str | date) -> None:
@@ -47,8 +47,7 @@ def merge_current(spark: SparkSession, raw: DataFrame, database: str, spec: Tabl
     touched = sorted({day, *[r["run_date"] for r in gone.select("run_date").distinct().collect()]})
     kept = target.where(F.col("run_date").isin(touched)).join(gone, [*spec.key, "run_date"], "left_anti")
     content = checkpointed(kept.unionByName(changes.drop("_old_date")))
-    for each in touched:
-        replace_run_date(content, database, spec, each)
+    replace_run_dates(content, database, spec, touched)
 
 
 def refresh_silver(spark: SparkSession, raw_database: str, silver_database: str, run_date: str | date) -> None:

@@ -22,7 +22,7 @@ def _items(pages: DataFrame, page: str, ddl: str, keep: list[str]) -> DataFrame:
 
     Items are first cut out as JSON text, so fields nobody declared stay in the payload.
     """
-    fields = one_line(ddl).removeprefix("items array<struct<").removesuffix(">>")
+    fields = one_line(ddl).removeprefix("items array<").removesuffix(">")
     raw = F.explode(F.from_json(page, "items array<string>")["items"]).alias("raw")
     return pages.select(*keep, raw).withColumn("item", F.from_json("raw", fields))
 

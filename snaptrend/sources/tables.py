@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -70,24 +71,25 @@ def append_rows(df: DataFrame, database: str, spec: TableSpec) -> None:
     _ordered(align(df, spec.schema), spark, table).write.insertInto(table)
 
 
-def replace_run_date(
-    df: DataFrame, database: str, spec: TableSpec, run_date: str | date
+def replace_run_dates(
+    df: DataFrame, database: str, spec: TableSpec, run_dates: Sequence[str | date]
 ) -> None:
-    """Replace one run date; an empty result leaves that date empty.
+    """Replace some run dates; a date without rows ends up empty.
 
-    The date is dropped only when there is nothing to write, since a dynamic overwrite touches
-    just the partitions it has rows for.
+    One dynamic overwrite writes all of them. It touches only partitions it has rows for, so the
+    other dates are dropped afterwards.
     """
     spark, table = df.sparkSession, f"{database}.{spec.name}"
-    day = as_date(run_date, "run_date")
-    rows = align(df, spec.schema).where(F.col("run_date") == F.lit(day))
-    keys = list(spec.cluster) or ["run_date"]
+    days = [as_date(d, "run_date") for d in run_dates]
+    rows = align(df, spec.schema).where(F.col("run_date").isin(days))
+    filled = {r["run_date"] for r in rows.select("run_date").distinct().collect()}
+    keys = ["run_date", *spec.cluster]
     previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        if rows.isEmpty():
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (run_date = DATE'{day}')")
-        else:
+        if filled:
             _ordered(rows, spark, table).sortWithinPartitions(*keys).write.insertInto(table, overwrite=True)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
+    for day in sorted(set(days) - filled):
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (run_date = DATE'{day}')")
