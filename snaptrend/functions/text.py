@@ -6,7 +6,7 @@ import unicodedata
 from functools import lru_cache, reduce
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -48,16 +48,16 @@ def fold_accents(col: Column, exact: bool = False) -> Column:
     """Remove accents. ``exact`` also expands characters that decompose into several."""
     if exact:
         return _fold_exact(col)
-    source, target = fold_table()
-    # Text whose byte and character lengths agree is plain ASCII and skips the lookup.
-    return F.when(F.octet_length(col) == F.char_length(col), col).otherwise(
-        F.translate(col, source, target)
-    )
+    return F.translate(col, *fold_table())
 
 
 def normalize_text(col: Column, exact: bool = False) -> Column:
     """Lower case, no accents, every run of non-word characters one space, trimmed; null is ""."""
-    folded = fold_accents(F.lower(F.coalesce(col, F.lit(""))), exact)
+    text = F.coalesce(col, F.lit(""))
+    folded = fold_accents(F.lower(text), exact)
+    if not exact:
+        # Text whose byte and character lengths agree is plain ASCII and skips the lookup.
+        folded = F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(folded)
     return F.trim(F.regexp_replace(folded, r"[^\p{L}\p{N}_]+", " "))
 
 
@@ -108,17 +108,29 @@ def drop_words(tokens: Column, stop_words: list[str]) -> Column:
     return F.filter(tokens, lambda w: ~w.isin(list(stop_words))) if stop_words else tokens
 
 
-def ngrams(tokens: Column, size: int) -> Column:
-    """Word n-grams over what is left after filtering, so they bridge removed words."""
-    grams = tokens
-    for step in range(1, size):
-        count = F.greatest(F.size(tokens) - step, F.lit(0))
-        grams = F.zip_with(
-            F.slice(grams, F.lit(1), count),
-            F.slice(tokens, F.lit(step + 1), count),
-            lambda left, right: F.concat(left, F.lit(" "), right),
-        )
-    return grams
+def longer_grams(shorter: Column, tokens: Column, size: int) -> Column:
+    """Word n-grams of ``size`` from those one word shorter.
+
+    The words are what filtering left, so n-grams bridge removed words.
+    """
+    count = F.greatest(F.size(tokens) - (size - 1), F.lit(0))
+    return F.zip_with(
+        F.slice(shorter, F.lit(1), count),
+        F.slice(tokens, F.lit(size), count),
+        lambda left, right: F.concat(left, F.lit(" "), right),
+    )
+
+
+def with_grams(df: DataFrame, tokens: Column, name: str, longest: int) -> DataFrame:
+    """Add arrays ``name1`` to ``name<longest>`` of word n-grams.
+
+    Each is its own column, so that none is computed again for the next.
+    """
+    df = df.withColumn(f"{name}1", tokens)
+    for size in range(2, longest + 1):
+        grams = longer_grams(F.col(f"{name}{size - 1}"), F.col(f"{name}1"), size)
+        df = df.withColumn(f"{name}{size}", grams)
+    return df
 
 
 def keyword_set(col: Column) -> Column:

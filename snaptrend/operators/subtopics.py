@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from snaptrend.functions.lexicon import DEFAULT_PHRASE
 from snaptrend.functions.text import (
-    drop_words, keyword_set, ngrams, normalize_text, normalized_set, sub_topic_id, words,
+    drop_words, keyword_set, normalize_text, normalized_set, sub_topic_id, with_grams, words,
 )
 from snaptrend.operators.ranking import top_per_group
 from snaptrend.session import checkpointed
@@ -32,33 +32,59 @@ def cluster_count(documents: int) -> int:
     return max(2, min(5, math.ceil(math.sqrt(documents))))
 
 
-def term_tokens(text: Column, stop_words: Sequence[str]) -> Column:
-    """Words of two characters or more that start with an ASCII one and are no stop words."""
+def with_terms(
+    docs: DataFrame,
+    text: Column,
+    stop_words: Sequence[str],
+    name: str = "terms",
+    longest: int = 3,
+) -> DataFrame:
+    """Add the array of a text's terms: word n-grams up to ``longest``.
+
+    Words have two characters or more, start with an ASCII one and are no stop words.
+    """
     kept = drop_words(words(normalize_text(text)), list(stop_words))
-    return F.filter(kept, lambda w: (F.char_length(w) > 1) & (F.ascii(w) < 128))
+    tokens = F.filter(kept, lambda w: (F.char_length(w) > 1) & (F.ascii(w) < 128))
+    parts = [f"_{name}{n}" for n in range(1, longest + 1)]
+    return with_grams(docs, tokens, f"_{name}", longest).withColumn(name, F.concat(*parts)).drop(*parts)
 
 
-def term_grams(tokens: Column, sizes: Sequence[int] = (1, 2, 3)) -> Column:
-    return F.concat(*[ngrams(tokens, n) for n in sizes])
+def term_counts(
+    docs: DataFrame, keep: Sequence[str], doc: str, text: str, stop_words: Sequence[str], longest: int = 3
+) -> DataFrame:
+    """Count of each distinct term per document.
+
+    Texts are spread by document before they are exploded, so the counting needs no shuffle of its
+    own and the much larger terms never travel. An outer explode keeps the optimizer from testing
+    the term array, and so building it, twice.
+    """
+    placed = docs.select(*keep, doc, text).repartition(doc)
+    termed = with_terms(placed, F.col(text), stop_words, "_terms", longest)
+    return (
+        termed.select(*keep, doc, F.explode_outer("_terms").alias("term"))
+        .where(F.col("term").isNotNull())
+        .groupBy(*keep, doc, "term")
+        .agg(F.count(F.lit(1)).alias("_tf"))
+    )
 
 
 def term_weights(
-    docs: DataFrame, group: Sequence[str], doc: str, grams: Column, max_df: float = 0.9
+    docs: DataFrame,
+    group: Sequence[str],
+    doc: str,
+    text: str,
+    stop_words: Sequence[str],
+    longest: int = 3,
+    max_df: float = 0.9,
 ) -> DataFrame:
     """TF-IDF weight of every term of every document, each document scaled to length one.
 
     The vocabulary of a group leaves out terms found in more than ``max_df`` of its documents.
-    Documents are spread by their key before they are exploded, so counting terms needs no second
-    shuffle. The join on the term has one row per term on one side; adaptive execution splits a
-    frequent term on the other.
+    The join on the term has one row per term on one side; adaptive execution splits a frequent
+    term on the other.
     """
     group = list(group)
-    placed = docs.select(*group, doc, grams.alias("_grams")).repartition(doc)
-    counts = (
-        placed.select(*group, doc, F.explode("_grams").alias("term"))
-        .groupBy(*group, doc, "term")
-        .agg(F.count(F.lit(1)).alias("_tf"))
-    )
+    counts = term_counts(docs, group, doc, text, stop_words, longest)
     sizes = docs.groupBy(*group).agg(F.count(F.lit(1)).alias("_docs"))
     freq = counts.groupBy(*group, "term").agg(F.count(F.lit(1)).alias("_df"))
     # A row per group; groups are the topics of a rule table, or a caller's own few labels.
@@ -115,16 +141,10 @@ def document_phrases(
         drop_words(words(normalize_text(text)), list(stop_words)), lambda w: F.char_length(w) > 2
     )
     placed = docs.select(*keys, tokens.alias("_words")).repartition(*keys)
-    grams = placed.select(
-        *keys,
-        F.posexplode(
-            F.concat(*[
-                F.transform(ngrams(F.col("_words"), n), lambda g, n=n: F.struct(F.lit(n).alias("n"), g.alias("g")))
-                for n in (3, 2, 1)
-            ])
-        ).alias("_pos", "_gram"),
-    )
-    counted = grams.groupBy(*keys, F.col("_gram.g").alias("_phrase")).agg(
+    sized = with_grams(placed, F.col("_words"), "_w", 3)
+    phrases = F.posexplode_outer(F.concat("_w3", "_w2", "_w1")).alias("_pos", "_phrase")
+    grams = sized.select(*keys, phrases).where(F.col("_phrase").isNotNull())
+    counted = grams.groupBy(*keys, "_phrase").agg(
         F.count(F.lit(1)).alias("_count"), F.min("_pos").alias("_first")
     )
     best = top_per_group(counted, keys, [F.col("_count").desc(), F.col("_first")], limit, "_rank")
@@ -136,16 +156,14 @@ def document_phrases(
 
 
 def cluster_features(
-    docs: DataFrame, grams: Column, documents: int, max_df: float = 0.9, features: int = 1 << 18
+    docs: DataFrame, documents: int, terms: str = "terms", max_df: float = 0.9, features: int = 1 << 18
 ) -> DataFrame:
     """TF-IDF vectors of unit length in a hashed space of fixed size.
 
     Hashing needs no vocabulary on the driver; the one vector that reaches it has the length of
     that space. Phrases are taken from the exact terms, see ``cluster_phrases``.
     """
-    counted = HashingTF(inputCol="_grams", outputCol="_tf", numFeatures=features).transform(
-        docs.withColumn("_grams", grams)
-    )
+    counted = HashingTF(inputCol=terms, outputCol="_tf", numFeatures=features).transform(docs)
     idf = IDF(inputCol="_tf", outputCol="_unused").fit(counted).idf.toArray()
     # The model keeps ln((n + 1) / (df + 1)); one is added, and too frequent terms weigh nothing.
     too_frequent = idf < math.log((documents + 1) / (max_df * documents + 1)) - 1e-12
@@ -153,14 +171,14 @@ def cluster_features(
     scale = ElementwiseProduct(scalingVec=Vectors.dense(weights), inputCol="_tf", outputCol="_weighted")
     unit = Normalizer(p=2.0, inputCol="_weighted", outputCol="features")
     out = Pipeline(stages=[scale, unit]).fit(counted).transform(counted)
-    return out.drop("_grams", "_tf", "_weighted")
+    return out.drop("_tf", "_weighted")
 
 
 def cluster_documents(
     docs: DataFrame,
     doc: str,
-    grams: Column,
     documents: int,
+    terms: str = "terms",
     clusters: int | None = None,
     seed: int = 42,
     starts: int = 1,
@@ -174,7 +192,7 @@ def cluster_documents(
     clusters = cluster_count(documents) if clusters is None else clusters
     if clusters <= 1:
         return docs.select(doc, F.lit(0).alias("label"))
-    vectors = cluster_features(docs, grams, documents, features=features).select(doc, "features")
+    vectors = cluster_features(docs.select(doc, terms), documents, terms, features=features).select(doc, "features")
     vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         models = [

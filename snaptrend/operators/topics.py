@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from snaptrend.functions import lexicon
 from snaptrend.functions.lexicon import TopicRule
-from snaptrend.functions.text import drop_words, ngrams, normalize_text, quoted, words
+from snaptrend.functions.text import drop_words, normalize_text, quoted, with_grams, words
 from snaptrend.operators.ranking import joined_top
 
 
@@ -139,21 +139,30 @@ def _squared_counts(grams: Column) -> Column:
     return F.aggregate(F.sort_array(grams), start, step, lambda acc: acc["sum"])
 
 
-def _similarity_choice(seeds: SeedVectors, normalized: Column) -> Column:
-    """Topic whose own text is most similar by TF-IDF cosine; null when nothing is shared."""
+def _with_similarity(df: DataFrame, seeds: SeedVectors, wanted: Column) -> DataFrame:
+    """Add ``_similar``, the topic whose own text is most similar by TF-IDF cosine, else null.
+
+    Only rows in ``wanted`` are worked on; the arrays of the others stay null. Each step is its
+    own column, so that nothing is computed twice.
+    """
     kept = F.filter(
-        drop_words(words(normalized), seeds.stop_words), lambda w: F.char_length(w) > 1
+        drop_words(words(F.col("_norm")), seeds.stop_words), lambda w: F.char_length(w) > 1
+    )
+    grams = with_grams(df, F.when(wanted, kept), "_g", 2).withColumn("_grams", F.concat("_g1", "_g2"))
+    shared = grams.withColumn(
+        "_shared", F.filter("_grams", lambda g: g.isin(sorted(seeds.seed_freq)))
     )
-    grams = F.concat(kept, ngrams(kept, 2))
-    shared = F.filter(grams, lambda g: g.isin(sorted(seeds.seed_freq)))
     table = seeds.term_rows()
     hits = F.transform(
-        F.array_distinct(shared),
+        F.array_distinct("_shared"),
         lambda term: F.struct(
-            F.size(F.filter(shared, lambda g: g == term)).cast("double").alias("n"),
+            F.size(F.filter("_shared", lambda g: g == term)).cast("double").alias("n"),
             F.element_at(table, term).alias("w"),
         ),
     )
+    staged = shared.withColumn("_hits", hits).withColumn(
+        "_squares", F.when(F.size("_hits") > 0, _squared_counts(F.col("_grams"))).cast("double")
+    )
 
     def total(value) -> Column:
         return F.aggregate(F.col("_hits"), F.lit(0.0), lambda acc, h: acc + value(h))
@@ -171,13 +180,18 @@ def _similarity_choice(seeds: SeedVectors, normalized: Column) -> Column:
         )
         scores.append(
             F.struct(
-                F.coalesce(F.try_divide(dot, F.sqrt(doc_norm) * F.sqrt(norm)), F.lit(0.0)).alias("score"),
+                F.coalesce(F.try_divide(dot, F.col("_length") * F.sqrt(norm)), F.lit(0.0)).alias("score"),
                 F.lit(-position).alias("position"),
                 F.lit(rule.topic_id).alias("id"),
                 F.lit(rule.name).alias("name"),
             )
         )
-    return hits, _squared_counts(grams), F.array_max(F.filter(F.array(*scores), lambda c: c["score"] > 0))
+    best = F.array_max(F.filter(F.array(*scores), lambda c: c["score"] > 0))
+    return (
+        staged.withColumn("_length", F.sqrt(doc_norm))
+        .withColumn("_similar", F.when(F.size("_hits") > 0, best))
+        .drop("_g1", "_g2", "_grams", "_shared", "_hits", "_squares", "_length")
+    )
 
 
 def classify_macro_topics(
@@ -194,14 +208,8 @@ def classify_macro_topics(
     by_rule = base.withColumn("_found", _keyword_hits(rules, F.col("_norm"))).withColumn(
         "_rule", _rule_choice(rules, F.col("_found"))
     )
-    hits, squares, choice = _similarity_choice(seeds, F.col("_norm"))
-    unmatched = F.col("_rule").isNull()
-    # The similarity work is guarded, so rows that a rule matched skip it.
-    scored = (
-        by_rule.withColumn("_hits", F.when(unmatched, hits))
-        .withColumn("_squares", F.when(unmatched & (F.size("_hits") > 0), squares).cast("double"))
-        .withColumn("_similar", F.when(F.size("_hits") > 0, choice))
-    )
+    # Rows that a rule matched skip the similarity work.
+    scored = _with_similarity(by_rule, seeds, F.col("_rule").isNull())
     rule, similar = F.col("_rule"), F.col("_similar")
 
     def pick(from_rule: Column, from_similar: Column, fallback) -> Column:
@@ -219,4 +227,4 @@ def classify_macro_topics(
         "topic_confidence": pick(rule["confidence"], similar["score"], 0.0),
         "topic_method": pick(F.lit(lexicon.METHOD_RULES), F.lit(lexicon.METHOD_TFIDF), lexicon.METHOD_NONE),
         "matched_source": pick(source, source, lexicon.MATCHED_NONE),
-    }).drop("_norm", "_found", "_rule", "_hits", "_squares", "_similar")
+    }).drop("_norm", "_found", "_rule", "_similar")

@@ -2,8 +2,8 @@ from pyspark.sql import functions as F
 
 from snaptrend.functions.text import jaccard, keyword_set, normalized_set, readable_name
 from snaptrend.operators.subtopics import (
-    cluster_count, cluster_documents, cluster_phrases, document_phrases, stable_ids, term_grams,
-    term_tokens, term_weights,
+    cluster_count, cluster_documents, cluster_phrases, document_phrases, stable_ids, term_weights,
+    with_terms,
 )
 
 STOPS = ["the", "a"]
@@ -20,8 +20,7 @@ def test_weights_and_phrases(spark):
         [("m", 1, "red apple the pie"), ("m", 2, "red apple"), ("m", 3, "blue sky"), ("m", 4, "the")],
         "macro string, id long, text string",
     )
-    grams = term_grams(term_tokens(F.col("text"), STOPS), (1, 2))
-    weights = term_weights(docs, ["macro"], "id", grams)
+    weights = term_weights(docs, ["macro"], "id", "text", STOPS, longest=2)
     got = {(r.id, r.term): r.weight for r in weights.collect()}
     idf1, idf2 = math.log(5 / 2) + 1, math.log(5 / 3) + 1
     norm = math.sqrt(3 * idf2**2 + 2 * idf1**2)       # red, apple, "red apple"; pie, "apple pie"
@@ -34,8 +33,8 @@ def test_weights_and_phrases(spark):
 
 def test_frequent_terms_leave_the_vocabulary(spark):
     docs = spark.createDataFrame([("m", 1, "same one"), ("m", 2, "same two")], "macro string, id long, text string")
-    grams = term_grams(term_tokens(F.col("text"), STOPS), (1,))
-    assert {r.term for r in term_weights(docs, ["macro"], "id", grams).collect()} == {"one", "two"}
+    weights = term_weights(docs, ["macro"], "id", "text", STOPS, longest=1)
+    assert {r.term for r in weights.collect()} == {"one", "two"}
 
 
 def test_document_phrases(spark):
@@ -52,9 +51,9 @@ def test_document_phrases(spark):
 def test_clusters_cover_documents_and_repeat(spark):
     texts = [f"{a} {b} x{i}" for i, (a, b) in enumerate([("red", "apple"), ("blue", "sky"), ("green", "tree")] * 4)]
     docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
-    grams = term_grams(term_tokens(F.col("text"), STOPS))
-    one = {r.id: r.label for r in cluster_documents(docs, "id", grams, 12, 3, features=1 << 12, starts=3).collect()}
-    two = {r.id: r.label for r in cluster_documents(docs, "id", grams, 12, 3, features=1 << 12, starts=3).collect()}
+    termed = with_terms(docs, F.col("text"), STOPS)
+    one = {r.id: r.label for r in cluster_documents(termed, "id", 12, clusters=3, features=1 << 12, starts=3).collect()}
+    two = {r.id: r.label for r in cluster_documents(termed, "id", 12, clusters=3, features=1 << 12, starts=3).collect()}
     assert one == two and len(one) == 12
     assert [one[i] for i in range(3)] == [0, 1, 2] and all(one[i] == one[i % 3] for i in range(12))
 

@@ -535,8 +535,7 @@ def top_phrases_single_doc(spark, folder):
 def cluster_top_phrases(spark, folder):
     """Phrases of highest mean TF-IDF weight per source, within each language."""
     docs = A.table(spark, folder, "documents").withColumnRenamed("source", "label")
-    grams = subtopics.term_grams(subtopics.term_tokens(F.col("text"), PHRASE_STOP_WORDS))
-    weights = subtopics.term_weights(docs, ["lang"], "doc_id", grams)
+    weights = subtopics.term_weights(docs, ["lang"], "doc_id", "text", PHRASE_STOP_WORDS)
     rows = subtopics.cluster_phrases(weights, docs.select("lang", "doc_id", "label"), ["lang"], "doc_id")
     return rows.select(
         "lang", "label", F.array_join("phrases", "|").alias("phrases"),
@@ -548,11 +547,11 @@ def cluster_top_phrases(spark, folder):
 def subtopic_clusters(spark, folder):
     """Documents of each language in clusters of similar texts."""
     docs = A.table(spark, folder, "documents").select("doc_id", "lang", "text")
-    grams = subtopics.term_grams(subtopics.term_tokens(F.col("text"), PHRASE_STOP_WORDS))
+    termed = subtopics.with_terms(docs, F.col("text"), PHRASE_STOP_WORDS)
     parts = []
     for row in docs.groupBy("lang").count().orderBy("lang").collect():
-        own = docs.where(F.col("lang") == row["lang"])
-        labels = subtopics.cluster_documents(own, "doc_id", grams, row["count"], features=1 << 16)
+        own = termed.where(F.col("lang") == row["lang"])
+        labels = subtopics.cluster_documents(own, "doc_id", row["count"], features=1 << 16)
         parts.append(labels.withColumn("lang", F.lit(row["lang"])))
     out = parts[0]
     for part in parts[1:]:
