@@ -19,7 +19,7 @@ from snaptrend.functions.text import (
     drop_words, keyword_set, normalize_text, normalized_set, sub_topic_id, with_grams, words,
 )
 from snaptrend.operators.ranking import top_per_group
-from snaptrend.session import checkpointed
+from snaptrend.session import checkpointed, spread
 
 # Weights are summed as integers of this unit, so that sums and ties do not depend on row order.
 UNIT = 1_000_000_000
@@ -58,7 +58,7 @@ def term_counts(
     own and the much larger terms never travel. An outer explode keeps the optimizer from testing
     the term array, and so building it, twice.
     """
-    placed = docs.select(*keep, doc, text).repartition(doc)
+    placed = spread(docs.select(*keep, doc, text), doc)
     termed = with_terms(placed, F.col(text), stop_words, "_terms", longest)
     return (
         termed.select(*keep, doc, F.explode_outer("_terms").alias("term"))
@@ -137,10 +137,11 @@ def document_phrases(
     all their phrases are counted where they are made.
     """
     keys = list(keys)
+    needed = docs.select(*keys, text.alias("_text"))
     tokens = F.filter(
-        drop_words(words(normalize_text(text)), list(stop_words)), lambda w: F.char_length(w) > 2
+        drop_words(words(normalize_text(F.col("_text"))), list(stop_words)), lambda w: F.char_length(w) > 2
     )
-    placed = docs.select(*keys, tokens.alias("_words")).repartition(*keys)
+    placed = spread(needed, *keys).select(*keys, tokens.alias("_words"))
     sized = with_grams(placed, F.col("_words"), "_w", 3)
     phrases = F.posexplode_outer(F.concat("_w3", "_w2", "_w1")).alias("_pos", "_phrase")
     grams = sized.select(*keys, phrases).where(F.col("_phrase").isNotNull())
@@ -178,7 +179,8 @@ def cluster_documents(
     docs: DataFrame,
     doc: str,
     documents: int,
-    terms: str = "terms",
+    text: str,
+    stop_words: Sequence[str],
     clusters: int | None = None,
     seed: int = 42,
     starts: int = 1,
@@ -192,7 +194,8 @@ def cluster_documents(
     clusters = cluster_count(documents) if clusters is None else clusters
     if clusters <= 1:
         return docs.select(doc, F.lit(0).alias("label"))
-    vectors = cluster_features(docs.select(doc, terms), documents, terms, features=features).select(doc, "features")
+    termed = with_terms(spread(docs.select(doc, text), doc), F.col(text), stop_words)
+    vectors = cluster_features(termed, documents, features=features).select(doc, "features")
     vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         models = [

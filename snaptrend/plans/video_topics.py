@@ -16,7 +16,7 @@ from snaptrend.functions.lexicon import TopicRule
 from snaptrend.functions.text import displayed_keywords, readable_name
 from snaptrend.operators.ranking import top_per_group
 from snaptrend.operators.subtopics import (
-    cluster_documents, cluster_phrases, document_phrases, stable_ids, term_weights, with_terms,
+    cluster_documents, cluster_phrases, document_phrases, stable_ids, term_weights,
 )
 from snaptrend.operators.topics import build_documents, classify_macro_topics
 from snaptrend.operators.versions import latest_before
@@ -62,7 +62,6 @@ def assign_sub_topics(
     """
     catch_all = lexicon.CATCH_ALL_ID
     specific = docs.where(F.col("macro_topic_id") != catch_all)
-    termed = with_terms(specific, F.col("source_text"), stop_words)
     weights = term_weights(specific, ["macro_topic_id"], "video_id", "source_text", stop_words)
     # One row per macro topic: how many documents, and whether any term is left.
     usable = weights.select("macro_topic_id").distinct().withColumn("_usable", F.lit(True))
@@ -72,11 +71,13 @@ def assign_sub_topics(
 
     clustered, alone = [], []
     for row in sorted(sizes, key=lambda r: r["macro_topic_id"]):
-        own = termed.where(F.col("macro_topic_id") == row["macro_topic_id"])
+        own = specific.where(F.col("macro_topic_id") == row["macro_topic_id"])
         if row["n"] == 1 or not row["_usable"]:
             alone.append(row["macro_topic_id"])
             continue
-        labels = cluster_documents(own, "video_id", row["n"], starts=starts, features=features)
+        labels = cluster_documents(
+            own, "video_id", row["n"], "source_text", stop_words, starts=starts, features=features
+        )
         clustered.append(labels.withColumn("macro_topic_id", F.lit(row["macro_topic_id"])))
 
     described, members = [], []

@@ -33,6 +33,17 @@ def build_session(name: str = "snaptrend", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Shuffle rows by key into as many tasks as the session uses for shuffles.
+
+    For steps that make many rows of one: a stated number keeps adaptive execution from merging
+    tasks by the size of what goes in.
+    """
+    spark = df.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return df.repartition(tasks, *keys)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut lineage through a reliable checkpoint.
 

@@ -3,7 +3,6 @@ from pyspark.sql import functions as F
 from snaptrend.functions.text import jaccard, keyword_set, normalized_set, readable_name
 from snaptrend.operators.subtopics import (
     cluster_count, cluster_documents, cluster_phrases, document_phrases, stable_ids, term_weights,
-    with_terms,
 )
 
 STOPS = ["the", "a"]
@@ -51,9 +50,8 @@ def test_document_phrases(spark):
 def test_clusters_cover_documents_and_repeat(spark):
     texts = [f"{a} {b} x{i}" for i, (a, b) in enumerate([("red", "apple"), ("blue", "sky"), ("green", "tree")] * 4)]
     docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
-    termed = with_terms(docs, F.col("text"), STOPS)
-    one = {r.id: r.label for r in cluster_documents(termed, "id", 12, clusters=3, features=1 << 12, starts=3).collect()}
-    two = {r.id: r.label for r in cluster_documents(termed, "id", 12, clusters=3, features=1 << 12, starts=3).collect()}
+    one = {r.id: r.label for r in cluster_documents(docs, "id", 12, "text", STOPS, clusters=3, features=1 << 12, starts=3).collect()}
+    two = {r.id: r.label for r in cluster_documents(docs, "id", 12, "text", STOPS, clusters=3, features=1 << 12, starts=3).collect()}
     assert one == two and len(one) == 12
     assert [one[i] for i in range(3)] == [0, 1, 2] and all(one[i] == one[i % 3] for i in range(12))
 

@@ -547,11 +547,12 @@ def cluster_top_phrases(spark, folder):
 def subtopic_clusters(spark, folder):
     """Documents of each language in clusters of similar texts."""
     docs = A.table(spark, folder, "documents").select("doc_id", "lang", "text")
-    termed = subtopics.with_terms(docs, F.col("text"), PHRASE_STOP_WORDS)
     parts = []
     for row in docs.groupBy("lang").count().orderBy("lang").collect():
-        own = termed.where(F.col("lang") == row["lang"])
-        labels = subtopics.cluster_documents(own, "doc_id", row["count"], features=1 << 16)
+        own = docs.where(F.col("lang") == row["lang"])
+        labels = subtopics.cluster_documents(
+            own, "doc_id", row["count"], "text", PHRASE_STOP_WORDS, features=1 << 16
+        )
         parts.append(labels.withColumn("lang", F.lit(row["lang"])))
     out = parts[0]
     for part in parts[1:]:
