@@ -89,14 +89,18 @@ def iso_duration_seconds(col: Column) -> Column:
     time_part = "".join(rf"(?:{number}{unit})?" for unit in "HMS")
     pattern = rf"^([+-])?P(?!\b){date_part}(?:T{time_part})?$"
 
-    def part(group: int, seconds: int) -> Column:
-        text = F.translate(F.regexp_extract(col, pattern, group), ",", ".")
-        return F.coalesce(F.nullif(text, F.lit("")).try_cast("double"), F.lit(0.0)) * F.lit(seconds)
-
-    units = {4: 604800, 5: 86400, 6: 3600, 7: 60, 8: 1}
-    total = reduce(lambda a, b: a + b, [part(g, s) for g, s in units.items()])
-    sign = F.when(F.regexp_extract(col, pattern, 1) == "-", F.lit(-1)).otherwise(F.lit(1))
-    return F.when(col.rlike(pattern), (total * sign).cast("bigint"))
+    # One pass cuts the text into its numbers; the parts are computed for every row, so that the
+    # generated code shares that pass between them.
+    parts = F.split(F.regexp_replace(col, pattern, "$1|$4|$5|$6|$7|$8"), r"\|")
+
+    def part(position: int, seconds: int) -> Column:
+        number = F.nullif(F.translate(F.get(parts, F.lit(position)), ",", "."), F.lit(""))
+        return F.coalesce(number.try_cast("double"), F.lit(0.0)) * F.lit(seconds)
+
+    units = (604800, 86400, 3600, 60, 1)
+    total = reduce(lambda a, b: a + b, [part(i, s) for i, s in enumerate(units, start=1)])
+    sign = F.when(F.get(parts, F.lit(0)) == "-", F.lit(-1)).otherwise(F.lit(1))
+    return (total * sign * F.when(col.rlike(pattern), F.lit(1))).cast("bigint")
 
 
 def words(normalized: Column) -> Column:

@@ -202,7 +202,8 @@ def cluster_documents(
             KMeans(k=clusters, seed=seed + i, maxIter=300, tol=1e-4, predictionCol="_cluster").fit(vectors)
             for i in range(starts)
         ]
-        best = min(models, key=lambda m: m.summary.trainingCost)
+        # Costs equal but for rounding are a tie, which the earlier seed wins.
+        best = min(models, key=lambda m: round(m.summary.trainingCost, 9))
         found = checkpointed(best.transform(vectors).select(doc, "_cluster"))
     finally:
         vectors.unpersist()

@@ -78,7 +78,14 @@ def assign_sub_topics(
         labels = cluster_documents(
             own, "video_id", row["n"], "source_text", stop_words, starts=starts, features=features
         )
-        clustered.append(labels.withColumn("macro_topic_id", F.lit(row["macro_topic_id"])))
+        # Labels are text, so that clusters and single documents can be stacked; up to five
+        # clusters sort alike as numbers and as text.
+        clustered.append(
+            labels.select(
+                F.lit(row["macro_topic_id"]).alias("macro_topic_id"), "video_id",
+                F.col("label").cast("string").alias("label"),
+            )
+        )
 
     described, members = [], []
     if clustered:
