@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from snaptrend.session import checkpointed
+
 
 def top_per_group(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], limit: int, rank: str = "rank"
@@ -30,6 +32,29 @@ def top_ranked(df: DataFrame, order: Sequence[Column], limit: int, rank: str = "
     return best.withColumn(rank, F.row_number().over(Window.orderBy(*order)))
 
 
+def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
+    """Number the rows of each group from one, for groups of any size.
+
+    Rows are range partitioned by group and order, which cuts a large group into several tasks.
+    Each part numbers its own rows and adds the sizes of the parts before it. The parts are stored
+    first, so that a lost task cannot come back with other bounds. Keys are not null.
+    """
+    part, parts = "_part", [*keys, "_part"]
+    ranged = df.repartitionByRange(df.sparkSession.sparkContext.defaultParallelism, *keys, *order)
+    placed = checkpointed(ranged.withColumn(part, F.spark_partition_id()))
+    before = Window.partitionBy(*keys).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = placed.groupBy(*parts).agg(F.count(F.lit(1)).alias("_size")).select(
+        *parts, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before")
+    )
+    own = F.row_number().over(Window.partitionBy(*parts).orderBy(*order))
+    return (
+        placed.withColumn("_own", own)
+        .join(offsets, parts)
+        .withColumn(name, F.col("_own") + F.col("_before"))
+        .drop(part, "_own", "_before")
+    )
+
+
 def joined_top(
     df: DataFrame,
     keys: Sequence[str],

@@ -18,7 +18,7 @@ from snaptrend.functions.lexicon import DEFAULT_PHRASE
 from snaptrend.functions.text import (
     drop_words, keyword_set, normalize_text, normalized_set, sub_topic_id, with_grams, words,
 )
-from snaptrend.operators.ranking import top_per_group
+from snaptrend.operators.ranking import numbered, top_per_group
 from snaptrend.session import checkpointed, spread
 
 # Weights are summed as integers of this unit, so that sums and ties do not depend on row order.
@@ -214,26 +214,43 @@ def cluster_documents(
     return found.join(F.broadcast(numbered.select("_cluster", "label")), "_cluster").select(doc, "label")
 
 
-def previous_candidates(
-    labels: DataFrame, previous: DataFrame, macro: str = "macro_topic_id", threshold: float = 0.45
+def _class_of(keywords: Column) -> Column:
+    """Text that is equal for equal keyword sets."""
+    return F.array_join(F.array_sort(keywords), "|")
+
+
+def _earlier_classes(previous: DataFrame, macro: str) -> tuple[DataFrame, DataFrame]:
+    """Earlier sub-topics with the class of their keywords, and one row per class."""
+    keywords = keyword_set(F.col("keywords"))
+    old = previous.select(macro, F.col("sub_topic_id").alias("_old_id"), keywords.alias("_old_set")).where(
+        F.col(macro).isNotNull() & F.col("_old_id").isNotNull()
+    ).withColumn("_old_class", _class_of(F.col("_old_set")))
+    classes = old.groupBy(macro, "_old_class").agg(
+        F.min("_old_id").alias("_first_id"), F.count(F.lit(1)).alias("_seats"), F.min("_old_set").alias("_old_set")
+    )
+    return old.drop("_old_set"), classes
+
+
+def similar_classes(
+    labels: DataFrame, classes: DataFrame, macro: str = "macro_topic_id", threshold: float = 0.45
 ) -> DataFrame:
-    """Pairs of a label and an earlier sub-topic of its macro topic that are similar enough.
+    """Pairs of keyword sets of one macro topic that are similar enough, with their score.
 
-    Only pairs that share a keyword can be: both sides are exploded to keywords and meet on them,
-    and the overlap is counted.
+    Sets that occur many times take part once. Only sets that share a keyword can be similar, so
+    both sides are exploded to keywords, meet on them, and the overlap is counted.
     """
-    mine = labels.select(macro, "label", F.size("_set").alias("_mine"), F.explode("_set").alias("_kw"))
-    old = previous.select(
-        macro, F.col("sub_topic_id").alias("_old_id"), keyword_set(F.col("keywords")).alias("_old_set")
+    mine = labels.select(macro, "_class", "_set").dropDuplicates([macro, "_class"])
+    mine = mine.select(macro, "_class", F.size("_set").alias("_mine"), F.explode("_set").alias("_kw"))
+    theirs = classes.select(
+        macro, "_old_class", "_first_id", "_seats", F.size("_old_set").alias("_theirs"), F.explode("_old_set").alias("_kw")
     )
-    theirs = old.select(macro, "_old_id", F.size("_old_set").alias("_theirs"), F.explode("_old_set").alias("_kw"))
     shared = (
         mine.join(theirs, [macro, "_kw"])
-        .groupBy(macro, "label", "_old_id", "_mine", "_theirs")
+        .groupBy(macro, "_class", "_old_class", "_first_id", "_seats", "_mine", "_theirs")
         .agg(F.count(F.lit(1)).alias("_both"))
     )
     score = F.col("_both") / (F.col("_mine") + F.col("_theirs") - F.col("_both"))
-    return shared.select(macro, "label", "_old_id", score.alias("_score")).where(F.col("_score") >= threshold)
+    return shared.withColumn("_score", score).where(F.col("_score") >= threshold).drop("_both", "_mine", "_theirs")
 
 
 def stable_ids(
@@ -246,40 +263,143 @@ def stable_ids(
     """Add ``sub_topic_id``: labels in order take the most similar earlier id still free.
 
     ``labels`` has the macro topic, ``label``, ``name`` and ``phrases``. A label without a similar
-    earlier id gets a new one, numbered when taken. No label can lose more candidates than there
-    are other labels in its macro topic, so keeping that many is exact. The labels of a macro topic
-    are its clusters, at most five; the decision folds over that short array. Where a caller has
-    more labels than ``most_labels`` the same decision is taken in rounds, see ``stable_ids_rounds``.
+    earlier id gets a new one, numbered when taken. The labels of a macro topic are its clusters,
+    at most five, and the decision folds over that short array. A macro topic with more than
+    ``most_labels``, which only single documents can make, is decided in distributed rounds.
     """
-    prepared = labels.withColumn("_set", normalized_set(F.col("phrases"))).withColumn(
-        "_new_id", sub_topic_id(F.col(macro), F.col("phrases"), F.col("name"))
-    )
-    pairs = previous_candidates(prepared, previous, macro, threshold)
-    order = [F.col("_score").desc(), F.col("_old_id")]
-    kept = top_per_group(pairs, [macro, "label"], order, most_labels, "_rank")
-    options = kept.groupBy(macro, "label").agg(
+    prepared = labels.select(
+        macro, "label",
+        normalized_set(F.col("phrases")).alias("_set"),
+        sub_topic_id(F.col(macro), F.col("phrases"), F.col("name")).alias("_new_id"),
+    ).withColumn("_class", _class_of(F.col("_set")))
+    old, classes = _earlier_classes(previous, macro)
+    pairs = similar_classes(prepared, classes, macro, threshold)
+    # One row per macro topic that is too large to fold.
+    large = [
+        r[macro] for r in labels.groupBy(macro).count().where(F.col("count") > most_labels).select(macro).collect()
+    ]
+    few = prepared.where(~F.col(macro).isin(large)) if large else prepared
+    chosen = _fold_ids(few, old, pairs, macro, most_labels)
+    if large:
+        is_large = F.col(macro).isin(large)
+        rounds = _ids_in_rounds(prepared.where(is_large), old.where(is_large), pairs.where(is_large), macro)
+        chosen = chosen.unionByName(rounds)
+    return labels.join(chosen, [macro, "label"])
+
+
+def _fold_ids(few: DataFrame, old: DataFrame, pairs: DataFrame, macro: str, most_labels: int) -> DataFrame:
+    """Decide label by label within each macro topic, all of it at most ``most_labels`` long.
+
+    No label can lose more candidates than there are other labels, so keeping as many candidates
+    as labels is exact.
+    """
+    order = [F.col("_score").desc(), F.col("_first_id"), F.col("_old_id")]
+    near = top_per_group(pairs, [macro, "_class"], order[:2], most_labels, "_rank").drop("_rank")
+    ids = top_per_group(near.join(old, [macro, "_old_class"]), [macro, "_class"], order, most_labels, "_rank")
+    options = ids.groupBy(macro, "_class").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("_rank", "_old_id"))), lambda x: x["_old_id"]).alias("_options")
     )
     empty = F.array().cast("array<string>")
-    rows = prepared.select(macro, "label", "_new_id").join(options, [macro, "label"], "left")
+    rows = few.join(options, [macro, "_class"], "left")
     entry = F.struct("label", "_new_id", F.coalesce("_options", empty).alias("_options"))
     per_macro = rows.groupBy(macro).agg(F.array_sort(F.collect_list(entry)).alias("_labels"))
 
     def choose(acc: Column, x: Column) -> Column:
-        numbered = F.transform(
+        names = F.transform(
             F.sequence(F.lit(1), F.size(acc["used"]) + 1),
             lambda i: F.when(i == 1, x["_new_id"]).otherwise(F.concat(x["_new_id"], F.lit("_"), i.cast("string"))),
         )
-        free = F.filter(F.concat(x["_options"], numbered), lambda c: ~F.array_contains(acc["used"], c))
+        free = F.filter(F.concat(x["_options"], names), lambda c: ~F.array_contains(acc["used"], c))
         picked = F.get(free, F.lit(0))
         return F.struct(
             F.array_append(acc["used"], picked).alias("used"),
             F.array_append(acc["out"], F.struct(x["label"].alias("label"), picked.alias("id"))).alias("out"),
         )
 
-    label_type = labels.schema["label"].dataType.simpleString()
+    label_type = few.schema["label"].dataType.simpleString()
     state = f"struct<used:array<string>,out:array<struct<label:{label_type},id:string>>>"
     start = F.struct(F.array().alias("used"), F.array().alias("out")).cast(state)
     folded = F.aggregate("_labels", start, lambda acc, x: choose(acc, x).cast(state), lambda acc: acc["out"])
-    chosen = per_macro.select(macro, F.inline(folded).alias("label", "sub_topic_id"))
-    return labels.join(chosen, [macro, "label"])
+    return per_macro.select(macro, F.inline(folded).alias("label", "sub_topic_id"))
+
+
+def _ids_in_rounds(members: DataFrame, old: DataFrame, pairs: DataFrame, macro: str) -> DataFrame:
+    """The same decision for any number of labels.
+
+    Every label asks the class of earlier ids it likes best; a class with fewer ids than askers
+    keeps the earliest labels and turns the later ones away, who then ask their next class. Since
+    all classes prefer early labels, the end is what deciding label by label gives. Each round
+    handles all labels at once, and a round without a turn-down is the last.
+    """
+    liked = F.array_sort(
+        F.collect_list(F.struct((-F.col("_score")).alias("s"), F.col("_first_id").alias("f"), F.col("_old_class").alias("c"), "_seats"))
+    )
+    # One entry per distinct earlier keyword set that is similar.
+    wishes = checkpointed(pairs.groupBy(macro, "_class").agg(liked.alias("_wishes")))
+    rows = checkpointed(members.join(wishes, [macro, "_class"], "left").select(macro, "label", "_new_id", "_class"))
+    limits = None
+    while True:
+        open_wishes = wishes.select(macro, "_class", F.posexplode("_wishes").alias("_at", "_w")).select(
+            macro, "_class", "_at", F.col("_w.c").alias("_old_class"), F.col("_w._seats").alias("_seats")
+        )
+        if limits is None:
+            open_wishes = open_wishes.withColumn("_last", F.lit(None).cast(members.schema["label"].dataType))
+        else:
+            open_wishes = open_wishes.join(limits, [macro, "_old_class"], "left")
+        ordered = open_wishes.groupBy(macro, "_class").agg(
+            F.array_sort(F.collect_list(F.struct("_at", "_old_class", "_seats", "_last"))).alias("_wishes")
+        )
+        asked = F.get(
+            F.filter("_wishes", lambda w: w["_last"].isNull() | (F.col("label") <= w["_last"])), F.lit(0)
+        )
+        asking = rows.join(ordered, [macro, "_class"], "left").withColumn("_asked", asked)
+        seated = numbered(
+            asking.where(F.col("_asked").isNotNull()).select(
+                macro, "label", F.col("_asked._old_class").alias("_old_class"), F.col("_asked._seats").alias("_seats")
+            ),
+            [macro, "_old_class"], ["label"], "_seat",
+        )
+        seated = checkpointed(seated)
+        turned_away = seated.where(F.col("_seat") > F.col("_seats"))
+        if turned_away.isEmpty():
+            break
+        # The last label that still gets a seat, for every class that is full.
+        full = turned_away.select(macro, "_old_class").distinct()
+        last = seated.where(F.col("_seat") == F.col("_seats")).join(full, [macro, "_old_class"], "left_semi").select(
+            macro, "_old_class", F.col("label").alias("_last")
+        )
+        if limits is not None:
+            last = last.unionByName(limits).groupBy(macro, "_old_class").agg(F.min("_last").alias("_last"))
+        limits = checkpointed(last)
+    seats = numbered(old, [macro, "_old_class"], ["_old_id"], "_seat")
+    reused = checkpointed(
+        seated.join(seats, [macro, "_old_class", "_seat"]).select(macro, "label", F.col("_old_id").alias("sub_topic_id"))
+    )
+    fresh = rows.select(macro, "label", "_new_id").join(reused, [macro, "label"], "left_anti")
+    return reused.unionByName(_fresh_ids(fresh, reused, macro))
+
+
+def _fresh_ids(fresh: DataFrame, reused: DataFrame, macro: str) -> DataFrame:
+    """Number new ids of one name in label order, skipping numbers that reused ids hold.
+
+    The k-th new id gets the k-th free number. A held number t, the i-th of its name, stands before
+    it when t - i < k, so ranking both together by those values gives the number itself.
+    """
+    base, number = r"^(.*)_(\d+)$", F.regexp_extract("sub_topic_id", r"_(\d+)$", 1).try_cast("bigint")
+    held = reused.select(macro, F.col("sub_topic_id").alias("_new_id"), F.lit(1).cast("bigint").alias("_t")).unionByName(
+        reused.where(number.isNotNull()).select(
+            macro, F.regexp_extract("sub_topic_id", base, 1).alias("_new_id"), number.alias("_t")
+        )
+    ).where(F.col("_t") > 0).distinct()
+    held = held.join(fresh.select(macro, "_new_id").distinct(), [macro, "_new_id"], "left_semi")
+    ranked = numbered(held, [macro, "_new_id"], ["_t"], "_i").select(
+        macro, "_new_id", (F.col("_t") - F.col("_i")).alias("_value"), F.lit(1).alias("_kind"), F.col("_t").alias("_tie")
+    )
+    asked = numbered(fresh, [macro, "_new_id"], ["label"], "_k").select(
+        macro, "_new_id", F.col("_k").alias("_value"), F.lit(0).alias("_kind"),
+        F.lit(0).cast("bigint").alias("_tie"), "label",
+    )
+    both = asked.unionByName(ranked, allowMissingColumns=True)
+    placed = numbered(both, [macro, "_new_id"], ["_value", "_kind", "_tie"], "_n").where(F.col("_kind") == 0)
+    suffix = F.when(F.col("_n") == 1, F.lit("")).otherwise(F.concat(F.lit("_"), F.col("_n").cast("string")))
+    return placed.select(macro, "label", F.concat("_new_id", suffix).alias("sub_topic_id"))

@@ -96,3 +96,67 @@ def test_readable_name(spark):
     )
     got = [r[0] for r in df.select(readable_name(F.col("p"), F.col("t"))).collect()]
     assert got == ["Estadio BBVA Monterrey", "Big title", "FIFA", "Conversacion especifica"]
+
+
+def greedy(labels, previous, threshold=0.45):
+    """Label by label, as plain Python."""
+    from collections import Counter
+
+    def key(words):
+        return "|".join(sorted(words))
+
+    out = {}
+    first = {}
+    for i, kw in sorted(previous):
+        first.setdefault(key(kw), i)
+    used, made = set(), Counter()
+    for label, new_id, kw in sorted(labels):
+        scored = []
+        for i, old in previous:
+            score = len(set(kw) & set(old)) / len(set(kw) | set(old))
+            if score >= threshold and i not in used:
+                scored.append((-score, first[key(old)], i))
+        if scored:
+            picked = min(scored)[2]
+        else:
+            picked, n = new_id, 2
+            while picked in used:
+                picked, n = f"{new_id}_{n}", n + 1
+        used.add(picked)
+        out[label] = picked
+    return out
+
+
+def test_rounds_decide_like_the_fold(spark):
+    import hashlib
+    import random
+
+    rng = random.Random(5)
+    words = ["aa", "bb", "cc", "dd", "ee"]
+    sets = [sorted(rng.sample(words, 3)) for _ in range(5)]
+    labels = [(i, sets[min(int(rng.expovariate(1)), 4)]) for i in range(30)]
+    previous = [(f"m__p{i:02d}", sets[rng.randrange(5)]) for i in range(12)]
+    # An id that a label of the first set would make anew is already held, with number three.
+    digest = hashlib.sha1("|".join(sets[0]).encode()).hexdigest()[:8]
+    previous += [(f"m__name__{digest}", sets[0]), (f"m__name__{digest}_3", sets[0])]
+    frame = labels_frame(spark, [("m", i, "name", kw) for i, kw in labels])
+    old = spark.createDataFrame(
+        [("m", i, ", ".join(kw)) for i, kw in previous], "macro_topic_id string, sub_topic_id string, keywords string"
+    )
+    new_ids = {i: f"m__name__{hashlib.sha1('|'.join(kw).encode()).hexdigest()[:8]}" for i, kw in labels}
+    want = greedy([(i, new_ids[i], kw) for i, kw in labels], previous)
+    fold = {r.label: r.sub_topic_id for r in stable_ids(frame, old).collect()}
+    rounds = {r.label: r.sub_topic_id for r in stable_ids(frame, old, most_labels=4).collect()}
+    assert fold == want
+    assert len(set(rounds.values())) == 30
+    assert rounds == want
+
+
+def test_numbered_cuts_hot_groups(spark):
+    from snaptrend.operators.ranking import numbered
+
+    df = spark.range(1000).select(F.when(F.col("id") % 3 == 0, "x").otherwise("hot").alias("k"), (F.col("id") * 7 % 1000).alias("o"))
+    rows = numbered(df, ["k"], ["o"], "n").collect()
+    for k in ("x", "hot"):
+        own = sorted((r.o, r.n) for r in rows if r.k == k)
+        assert [n for _, n in own] == list(range(1, len(own) + 1))
