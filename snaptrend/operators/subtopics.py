@@ -68,6 +68,19 @@ def term_counts(
     )
 
 
+def vocabulary(counts: DataFrame, docs: DataFrame, group: Sequence[str], max_df: float = 0.9) -> DataFrame:
+    """Terms of each group with their inverse document frequency, too frequent ones left out."""
+    group = list(group)
+    sizes = docs.groupBy(*group).agg(F.count(F.lit(1)).alias("_docs"))
+    freq = counts.groupBy(*group, "term").agg(F.count(F.lit(1)).alias("_df"))
+    # A row per group; groups are the topics of a rule table, or a caller's own few labels.
+    return (
+        freq.join(sizes, group)
+        .where(F.col("_df") <= F.lit(max_df) * F.col("_docs"))
+        .select(*group, "term", (F.log((1 + F.col("_docs")) / (1 + F.col("_df"))) + 1).alias("_idf"))
+    )
+
+
 def term_weights(
     docs: DataFrame,
     group: Sequence[str],
@@ -85,14 +98,7 @@ def term_weights(
     """
     group = list(group)
     counts = term_counts(docs, group, doc, text, stop_words, longest)
-    sizes = docs.groupBy(*group).agg(F.count(F.lit(1)).alias("_docs"))
-    freq = counts.groupBy(*group, "term").agg(F.count(F.lit(1)).alias("_df"))
-    # A row per group; groups are the topics of a rule table, or a caller's own few labels.
-    idf = (
-        freq.join(sizes, group)
-        .where(F.col("_df") <= F.lit(max_df) * F.col("_docs"))
-        .select(*group, "term", (F.log((1 + F.col("_docs")) / (1 + F.col("_df"))) + 1).alias("_idf"))
-    )
+    idf = vocabulary(counts, docs, group, max_df)
     weighted = counts.join(idf, [*group, "term"]).select(
         *group, doc, "term", (F.col("_tf") * F.col("_idf")).alias("_raw")
     )

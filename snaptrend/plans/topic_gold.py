@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from snaptrend.functions.dates import as_date
@@ -21,6 +21,7 @@ TOPIC_KEY = (
     "run_date", "topic_id", "topic_name", "macro_topic_id", "macro_topic_name", "sub_topic_id",
     "sub_topic_name",
 )
+TOPIC_SLICES = 256
 
 
 def with_hierarchy(df: DataFrame) -> DataFrame:
@@ -66,22 +67,29 @@ def topic_daily(
         .groupBy(*TOPIC_KEY, "video_id")
         .agg(F.min("sub_topic_keywords").alias("keywords"), F.min("title").alias("title"), *counts.values())
     )
-    totals = per_video.groupBy(*TOPIC_KEY).agg(
+    # Totals and best titles come from one pass over the videos. A topic may hold most of them, so
+    # titles are ranked within slices of a topic, and the few best of each slice are ranked again.
+    best_first = [F.col("title").isNull(), F.col("comment_count").desc(), F.col("view_count").desc(), F.col("video_id")]
+    sliced = per_video.withColumn("_slice", F.pmod(F.xxhash64("video_id"), F.lit(TOPIC_SLICES))).withColumn(
+        "_rank", F.row_number().over(Window.partitionBy(*TOPIC_KEY, "_slice").orderBy(*best_first))
+    )
+    candidate = F.struct(
+        (-F.col("comment_count")).alias("c"), (-F.col("view_count")).alias("v"), "video_id", "title"
+    )
+    listed = F.slice(F.array_sort("_best"), 1, samples)
+    full = sliced.groupBy(*TOPIC_KEY).agg(
         joined_distinct("keywords").alias("keywords"),
         F.count("video_id").alias("videos_count"),
         F.sum("view_count").alias("total_views"),
         F.sum("like_count").alias("total_likes"),
         F.sum("comment_count").alias("total_comments"),
-    )
-    titles = joined_top(
-        per_video, TOPIC_KEY, "title",
-        [F.col("comment_count").desc(), F.col("view_count").desc(), F.col("video_id")],
-        samples, " | ", "representative_videos",
+        F.collect_list(F.when((F.col("_rank") <= samples) & F.col("title").isNotNull(), candidate)).alias("_best"),
+    ).withColumn(
+        "representative_videos",
+        F.when(F.size("_best") > 0, F.array_join(F.transform(listed, lambda x: x["title"]), " | ")),
     )
     talk = _comment_samples(topics, on_date(comments, run_date), samples)
     keyed = [F.col(k) for k in TOPIC_KEY]
-    same_topic = [totals[k].eqNullSafe(titles[k]) for k in TOPIC_KEY]
-    full = totals.join(titles, same_topic, "left").select(totals["*"], titles["representative_videos"])
     per_video_avg = {
         f"avg_{n}_per_video": safe_divide(F.col(f"total_{n}"), F.col("videos_count"))
         for n in ("views", "likes", "comments")

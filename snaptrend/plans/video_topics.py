@@ -16,7 +16,8 @@ from snaptrend.functions.lexicon import TopicRule
 from snaptrend.functions.text import displayed_keywords, readable_name
 from snaptrend.operators.ranking import top_per_group
 from snaptrend.operators.subtopics import (
-    cluster_documents, cluster_phrases, document_phrases, stable_ids, term_weights,
+    cluster_documents, cluster_phrases, document_phrases, stable_ids, term_counts,
+    term_weights, vocabulary,
 )
 from snaptrend.operators.topics import build_documents, classify_macro_topics
 from snaptrend.operators.versions import latest_before
@@ -64,7 +65,9 @@ def assign_sub_topics(
     specific = docs.where(F.col("macro_topic_id") != catch_all)
     weights = term_weights(specific, ["macro_topic_id"], "video_id", "source_text", stop_words)
     # One row per macro topic: how many documents, and whether any term is left.
-    usable = weights.select("macro_topic_id").distinct().withColumn("_usable", F.lit(True))
+    counts = term_counts(specific, ["macro_topic_id"], "video_id", "source_text", stop_words)
+    kept = vocabulary(counts, specific, ["macro_topic_id"])
+    usable = kept.select("macro_topic_id").distinct().withColumn("_usable", F.lit(True))
     sizes = specific.groupBy("macro_topic_id").agg(F.count(F.lit(1)).alias("n")).join(
         usable, "macro_topic_id", "left"
     ).collect()

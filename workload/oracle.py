@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from workload.adapters import SIMILARITY_RULES, SIMILARITY_STOP_WORDS, WORD_RULES
-from workload.registry import FRESH, LIMITS, PHRASE_STOP_WORDS
+from workload.registry import DISPLAY_TERMS, FRESH, LIMITS, PHRASE_STOP_WORDS
 
 SHOWN = "strftime({0}, '%Y-%m-%d %H:%M:%S.%f')"
 
@@ -290,6 +290,14 @@ g AS (SELECT doc_id, 3 AS size, pos, w || ' ' || b || ' ' || c AS term FROM w3 W
       UNION ALL SELECT doc_id, 1, pos, w FROM w3)"""
 
 
+def displayed(column: str) -> str:
+    """Lower-cased text with the display terms put back, longest first."""
+    out = f"lower({column})"
+    for term in sorted(DISPLAY_TERMS, key=lambda t: -len(t)):
+        out = f"regexp_replace({out}, '\\b{term}\\b', '{DISPLAY_TERMS[term]}', 'gi')"
+    return out
+
+
 ORACLE: dict[str, str] = {
     "latest_per_key": f"""WITH {EV}
 SELECT user_id, run_date, event_id, event_type, cents, {shown('ts')} AS ts FROM (
@@ -498,6 +506,14 @@ c AS (SELECT doc_id, term, count(*) AS n, max(size) AS size, min(pos) AS pos FRO
 r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, size DESC, pos) AS rn FROM c),
 p AS (SELECT doc_id, string_agg(term, '|' ORDER BY rn) AS phrases FROM r WHERE rn <= 8 GROUP BY doc_id)
 SELECT documents.doc_id, coalesce(p.phrases, 'conversacion especifica') AS phrases FROM documents LEFT JOIN p ON p.doc_id = documents.doc_id""",
+    "sub_topic_names": f"""WITH {token_table("length(w) > 2")},
+c AS (SELECT doc_id, term, count(*) AS n, max(size) AS size, min(pos) AS pos FROM g GROUP BY doc_id, term),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, size DESC, pos) AS rn FROM c),
+t AS (SELECT d.doc_id, coalesce(r.rn, 1) AS rn, coalesce(r.term, 'conversacion especifica') AS term FROM d LEFT JOIN r ON r.doc_id = d.doc_id AND r.rn <= 8),
+s AS (SELECT doc_id, rn, {displayed('term')} AS shown, contains(term, ' ') AS long FROM t),
+k AS (SELECT doc_id, string_agg(shown, ', ' ORDER BY rn) AS keywords, min(CASE WHEN long THEN rn END) AS at_long FROM s GROUP BY doc_id)
+SELECT k.doc_id, substr(coalesce(s.shown, d.source || ' ' || d.lang), 1, 80) AS name, k.keywords
+FROM k JOIN d ON d.doc_id = k.doc_id LEFT JOIN s ON s.doc_id = k.doc_id AND s.rn = k.at_long""",
     "cluster_top_phrases": f"""WITH {token_table("length(w) > 1 AND ascii(w) < 128")},
 tf AS (SELECT d.lang, g.doc_id, term, count(*) AS tf FROM g JOIN d ON d.doc_id = g.doc_id GROUP BY d.lang, g.doc_id, term),
 n AS (SELECT lang, count(*) AS n FROM documents GROUP BY lang),

@@ -13,7 +13,9 @@ from snaptrend.operators import subtopics, topics, versions
 from snaptrend.operators.deltas import with_changes
 from snaptrend.plans import export, ingest, momentum, topic_gold
 from snaptrend.plans.video_topics import previous_sub_topics
+from snaptrend.plans.video_topics import video_topics as assign_topics
 from snaptrend.schemas import VIDEOS_RAW
+from snaptrend.session import checkpointed
 from snaptrend.sources import landed
 from snaptrend.sources.json_sink import to_records
 from snaptrend.sources.snapshots import align, coerce
@@ -158,6 +160,11 @@ def _topic_daily(spark, folder):
     )
 
 
+def _stored_topics(spark, folder):
+    """The gold topic table as exports read it: stored once, then read several times."""
+    return checkpointed(_topic_daily(spark, folder))
+
+
 @query
 def topic_daily(spark, folder):
     return _topic_daily(spark, folder).drop("processed_at")
@@ -209,39 +216,39 @@ def dashboard_summary_export(spark, folder):
 
 @query
 def top_relevant_topics(spark, folder):
-    return export.top_relevant_topics(_topic_daily(spark, folder), WINDOW)
+    return export.top_relevant_topics(_stored_topics(spark, folder), WINDOW)
 
 
 @query
 def topics_over_time_dense(spark, folder):
-    return export.topics_over_time(_topic_daily(spark, folder), WINDOW, limit=3)
+    return export.topics_over_time(_stored_topics(spark, folder), WINDOW, limit=3)
 
 
 @query
 def topic_share(spark, folder):
-    return export.topic_share(_topic_daily(spark, folder), A.latest_day(spark, folder))
+    return export.topic_share(_stored_topics(spark, folder), A.latest_day(spark, folder))
 
 
 @query
 def topic_changes(spark, folder):
-    return export.topic_changes(_topic_daily(spark, folder), A.latest_day(spark, folder))
+    return export.topic_changes(_stored_topics(spark, folder), A.latest_day(spark, folder))
 
 
 @query
 def top_topics(spark, folder):
-    return export.top_topics(_topic_daily(spark, folder), A.latest_day(spark, folder))
+    return export.top_topics(_stored_topics(spark, folder), A.latest_day(spark, folder))
 
 
 @query
 def catch_all_only_share(spark, folder):
     """Share of topics where every topic counts as the catch-all: the fallback keeps them."""
-    rows = _topic_daily(spark, folder).where(F.col("topic_id") == "other")
+    rows = _stored_topics(spark, folder).where(F.col("topic_id") == "other")
     return export.topic_share(rows, A.latest_day(spark, folder))
 
 
 @query
 def top_videos_by_topic(spark, folder):
-    chosen = export.top_relevant_topics(_topic_daily(spark, folder), WINDOW)
+    chosen = export.top_relevant_topics(_stored_topics(spark, folder), WINDOW)
     rows = export.top_videos_by_topic(
         A.assignments(spark, folder), A.daily_videos(spark, folder), chosen, A.latest_day(spark, folder)
     )
@@ -250,12 +257,12 @@ def top_videos_by_topic(spark, folder):
 
 @query
 def sub_topics_over_time(spark, folder):
-    return export.sub_topics_over_time(_topic_daily(spark, folder), WINDOW)
+    return export.sub_topics_over_time(_stored_topics(spark, folder), WINDOW)
 
 
 @query
 def top_sub_topics_by_macro(spark, folder):
-    return export.top_sub_topics_by_macro(_topic_daily(spark, folder), A.latest_day(spark, folder))
+    return export.top_sub_topics_by_macro(_stored_topics(spark, folder), A.latest_day(spark, folder))
 
 
 @query
@@ -268,21 +275,21 @@ def videos_by_sub_topic(spark, folder):
 
 @query
 def top_channels(spark, folder):
-    gold = topic_gold.channel_daily(A.order_videos(spark, folder), A.order_channels(spark, folder))
+    gold = checkpointed(topic_gold.channel_daily(A.order_videos(spark, folder), A.order_channels(spark, folder)))
     return export.top_channels(gold, gold.select(F.max("run_date")).scalar())
 
 
 @query
 def topics_over_time_json(spark, folder):
     """The nested document of the topic series as JSON text."""
-    series = export.topics_over_time(_topic_daily(spark, folder), WINDOW, limit=3)
+    series = export.topics_over_time(_stored_topics(spark, folder), WINDOW, limit=3)
     return to_records(export.topics_over_time_document(series, WINDOW), "document")
 
 
 @query
 def top_sub_topics_json(spark, folder):
     """Sub-topics nested under their macro topic as JSON text."""
-    rows = export.top_sub_topics_by_macro(_topic_daily(spark, folder), A.latest_day(spark, folder))
+    rows = export.top_sub_topics_by_macro(_stored_topics(spark, folder), A.latest_day(spark, folder))
     slim = rows.select("macro_topic_id", "macro_topic_name", "sub_topic_rank", "sub_topic_id", "keywords", "total_comments")
     return to_records(export.nested_sub_topics(slim), "document")
 
@@ -531,6 +538,22 @@ def top_phrases_single_doc(spark, folder):
     return rows.select("doc_id", F.array_join("phrases", "|").alias("phrases"))
 
 
+DISPLAY_TERMS = {"that": "That", "dans": "DANS", "que la": "Que La", "with that": "WITH That"}
+
+
+@query
+def sub_topic_names(spark, folder):
+    """Readable name and displayed keywords of every document on its own."""
+    docs = A.table(spark, folder, "documents")
+    found = subtopics.document_phrases(docs, ["doc_id"], F.col("text"), PHRASE_STOP_WORDS)
+    titles = docs.select("doc_id", F.array(F.concat_ws(" ", "source", "lang")).alias("titles"))
+    return found.join(titles, "doc_id").select(
+        "doc_id",
+        text.readable_name(F.col("phrases"), F.col("titles"), DISPLAY_TERMS).alias("name"),
+        text.displayed_keywords(F.col("phrases"), DISPLAY_TERMS).alias("keywords"),
+    )
+
+
 @query
 def cluster_top_phrases(spark, folder):
     """Phrases of highest mean TF-IDF weight per source, within each language."""
@@ -560,6 +583,21 @@ def subtopic_clusters(spark, folder):
     return out.select("doc_id", "lang", "label")
 
 
+@query
+def video_topics(spark, folder):
+    """Topic and sub-topic of every document, with conversation turns as comments."""
+    day = F.lit("2024-01-30").cast("date")
+    videos = A.document_videos(spark, folder).withColumns({
+        "run_date": day, "view_count": F.length("description"), "comment_count": F.lit(0),
+    })
+    comments = A.turn_comments(spark, folder).withColumn("run_date", day)
+    history = _topic_daily(spark, folder)
+    out = assign_topics(
+        videos, comments, history, "2024-01-30", A.WORD_RULES, PHRASE_STOP_WORDS, starts=1, features=1 << 16
+    )
+    return out.drop("processed_at")
+
+
 def _event_labels(spark, folder):
     """Per event type and day a label whose keywords are the users of that day."""
     rows = A.events(spark, folder)
