@@ -19,7 +19,8 @@ def top_per_group(
     shuffle, so a group holding most of the rows stays cheap.
     """
     spec = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(rank, F.row_number().over(spec)).where(F.col(rank) <= limit)
+    kept = df.withColumn(rank, F.row_number().over(spec)).where(F.col(rank) <= limit)
+    return kept.withColumn(rank, F.col(rank).cast("bigint"))
 
 
 def top_ranked(df: DataFrame, order: Sequence[Column], limit: int, rank: str = "rank") -> DataFrame:
@@ -29,7 +30,7 @@ def top_ranked(df: DataFrame, order: Sequence[Column], limit: int, rank: str = "
     ``limit`` rows.
     """
     best = df.orderBy(*order).limit(limit)
-    return best.withColumn(rank, F.row_number().over(Window.orderBy(*order)))
+    return best.withColumn(rank, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
 
 
 def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:

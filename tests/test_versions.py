@@ -78,3 +78,13 @@ def test_split_lag_equals_plain_lag(spark, unit):
     plain = with_previous(rows, ["k"], ["t", "id"], columns)
     split = with_previous(rows, ["k"], ["t", "id"], columns, split=F.date_trunc(unit, "t"))
     assert sorted(map(str, plain.collect())) == sorted(map(str, split.select(*plain.columns).collect()))
+
+
+def test_top_per_group_is_cut_before_the_shuffle(spark):
+    from snaptrend.operators.ranking import top_per_group
+
+    df = spark.range(100).select((F.col("id") % 3).alias("k"), "id")
+    best = top_per_group(df, ["k"], [F.col("id").desc()], 2)
+    assert sorted((r.id, r.rank) for r in best.collect()) == [(94, 2), (95, 2), (96, 2), (97, 1), (98, 1), (99, 1)]
+    plan = best._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan
