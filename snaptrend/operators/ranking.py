@@ -74,7 +74,10 @@ def joined_top(
 
 
 def joined_distinct(text: str, separator: str = ", ") -> Column:
-    """Aggregate: distinct non-null values in order, joined; null when there is none."""
+    """Aggregate: distinct non-null values in order, joined; null when there is none.
+
+    Repeats are dropped before the shuffle; what is held per group is the text that comes out.
+    """
     values = F.collect_set(text)
     return F.when(F.size(values) > 0, F.array_join(F.array_sort(values), separator))
 

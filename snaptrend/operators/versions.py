@@ -91,7 +91,8 @@ def merge_hits(hits: DataFrame, key: str = "video_id", query: str = "search_quer
     """One row per key found by several queries.
 
     The queries are joined in order; every other column is its first non-null value in query
-    order. All of it is aggregation, so tasks merge their own hits before the shuffle.
+    order. All of it is aggregation, so tasks merge their own hits before the shuffle. The set per
+    key holds distinct queries, of which a run has a few.
     """
     others = [c for c in hits.columns if c not in (key, query)]
     firsts = [

@@ -366,25 +366,29 @@ def date_window_local(spark, folder):
 # --- landed pages ---------------------------------------------------------------------------
 
 
-def _pages(rows: DataFrame, keys: list[str], item) -> DataFrame:
-    listed = F.sort_array(F.collect_list(item)).alias("items")
-    return rows.groupBy(*keys).agg(listed).select(*keys, F.to_json(F.struct("items")).alias("page"))
+def _pages(rows: DataFrame, keys: list[str], *items) -> DataFrame:
+    """A page per row, as a page holds a bounded number of items."""
+    return rows.select(*keys, F.to_json(F.struct(F.array(*items).alias("items"))).alias("page"))
 
 
 @query
 def flatten_search(spark, folder):
-    """Pages of one minute of events each, flattened again."""
-    rows = A.events(spark, folder).withColumn("minute", F.date_trunc("minute", "ts"))
-    item = F.struct(
-        F.struct(F.when(F.col("event_type") != "error", F.col("event_id").cast("string")).alias("videoId")).alias("id"),
-        F.struct(
-            F.col("channel_id").alias("channelId"), F.col("props").alias("title"),
-            F.struct(F.struct(F.concat(F.lit("u/"), F.col("video_id")).alias("url")).alias("high")).alias("thumbnails"),
-        ).alias("snippet"),
-        F.lit("kept").alias("etag"),
-    )
-    pages = _pages(rows, ["minute", "event_type"], item).withColumnRenamed("event_type", "search_query")
-    flat = landed.flatten_search(pages)
+    """Pages with one hit per event and one entry without a video, flattened again."""
+    rows = A.events(spark, folder)
+
+    def item(video_id):
+        return F.struct(
+            F.struct(video_id.alias("videoId")).alias("id"),
+            F.struct(
+                F.col("channel_id").alias("channelId"), F.col("props").alias("title"),
+                F.struct(F.struct(F.concat(F.lit("u/"), F.col("video_id")).alias("url")).alias("high")).alias("thumbnails"),
+            ).alias("snippet"),
+            F.lit("kept").alias("etag"),
+        )
+
+    found = item(F.when(F.col("event_type") != "error", F.col("event_id").cast("string")))
+    pages = _pages(rows, ["event_type"], item(F.lit(None).cast("string")), found)
+    flat = landed.flatten_search(pages.withColumnRenamed("event_type", "search_query"))
     return flat.select(
         "search_query", "video_id", "channel_id", "channel_title", "title", "thumbnail_url",
         F.get_json_object("raw_search_json", "$.etag").alias("etag"),
@@ -413,24 +417,17 @@ def flatten_details(spark, folder):
 
 @query
 def flatten_comments(spark, folder):
-    """Comment pages of one user and hour of events each; the author id is an object or plain text."""
-    rows = A.events(spark, folder).withColumn("hour", F.date_trunc("hour", "ts"))
-    author = F.to_json(F.struct(F.col("user_id").cast("string").alias("value")))
+    """Comment pages of events; the author id is an object or plain text."""
+    rows = A.events(spark, folder)
+    author = F.to_json(F.struct(F.col("video_id").alias("value")))
     page = F.concat(
-        F.lit('{"items":['),
-        F.array_join(
-            F.sort_array(F.collect_list(F.concat(
-                F.lit('{"snippet":{"topLevelComment":{"id":"'), F.col("event_id").cast("string"),
-                F.lit('","snippet":{"authorChannelId":'),
-                F.when(F.col("event_type") == "view", F.lit('"plain"')).otherwise(author),
-                F.lit(',"textDisplay":"'), F.col("event_type"), F.lit('","likeCount":'), F.col("cents").cast("string"),
-                F.lit("}}}}"),
-            ))), ",",
-        ),
-        F.lit("]}"),
-    )
-    pages = rows.groupBy("video_id", "hour").agg(page.alias("page"))
-    flat = landed.flatten_comments(pages)
+        F.lit('{"items":[{"snippet":{"topLevelComment":{"id":"'), F.col("event_id").cast("string"),
+        F.lit('","snippet":{"authorChannelId":'),
+        F.when(F.col("event_type") == "view", F.lit('"plain"')).otherwise(author),
+        F.lit(',"textDisplay":"'), F.col("event_type"), F.lit('","likeCount":'), F.col("cents").cast("string"),
+        F.lit("}}}}]}"),
+    )
+    flat = landed.flatten_comments(rows.select("video_id", page.alias("page")))
     return flat.select("video_id", "comment_id", "parent_id", "author_channel_id", "comment_text", "like_count")
 
 
@@ -457,7 +454,7 @@ def videos_snapshot(spark, folder):
     search = _pages(rows, ["run_date", "event_type"], hit).withColumnRenamed("event_type", "search_query")
     bought = rows.where(F.col("event_type") == "purchase").groupBy("video_id").agg(F.sum("cents").alias("n"))
     detail = F.struct(F.col("video_id").alias("id"), F.struct(F.col("n").cast("string").alias("viewCount")).alias("statistics"))
-    details = _pages(bought.withColumn("p", F.substring("video_id", -1, 1)), ["p"], detail)
+    details = _pages(bought, [], detail)
     out = ingest.videos_snapshot(search, details, F.lit("2024-01-30"))
     return out.select(
         "run_date", "video_id", "video_url", "channel_id", "search_query", "view_count", "like_count",
