@@ -11,7 +11,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snaptrend.functions.dates import DateWindow
+from snaptrend.functions.dates import DateWindow, date_window
 from snaptrend.functions.lexicon import CATCH_ALL_ID
 from snaptrend.functions.numbers import safe_divide, zero_if_null
 from snaptrend.operators.deltas import with_changes
@@ -38,8 +38,6 @@ def date_bounds(summary: DataFrame, topics: DataFrame) -> DataFrame:
 
 def window_from_tables(summary: DataFrame, topics: DataFrame, start=None, end=None) -> tuple[date | None, DateWindow]:
     """Latest date and the export window; two dates are all that reaches the driver."""
-    from snaptrend.functions.dates import date_window
-
     row = date_bounds(summary, topics).first()
     window = date_window(start or row["earliest_run_date"], end, row["latest_run_date"])
     return row["latest_run_date"], window
@@ -129,12 +127,11 @@ def topics_over_time(
 
 
 def _day_topics(topics: DataFrame, run_date) -> DataFrame:
-    sums = _macro_sums(
+    return _macro_sums(
         on_date(topics, run_date), ["topic_id"],
         videos_count="videos_count", total_views="total_views", total_likes="total_likes",
         total_comments="total_comments",
     )
-    return sums
 
 
 def topic_share(topics: DataFrame, run_date, limit: int = 10, catch_all: str = CATCH_ALL_ID) -> DataFrame:

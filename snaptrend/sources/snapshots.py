@@ -48,7 +48,7 @@ def write_snapshot(df: DataFrame, path: str, spec: TableSpec) -> None:
     """Write the run dates found in ``df``, replacing those partitions only."""
     shaped = align(df, spec.schema)
     if spec.partition:
-        # Spread each day over all tasks, so that one large day is no single writer.
+        # Every task writes its own files, sorted so that readers can skip blocks by cluster key.
         shaped = shaped.sortWithinPartitions(spec.partition, *spec.cluster)
     elif spec.cluster:
         shaped = shaped.sortWithinPartitions(*spec.cluster)

@@ -179,3 +179,16 @@ def test_backfill_order_and_stop():
     with pytest.raises(RuntimeError):
         video_topics.backfill(["2024-01-01"], fail, lambda: seen.append("never"))
     assert seen[-1] == "done"
+
+
+def test_window_from_tables(spark):
+    rows = topic_rows(spark, [(D[1], "a", 1, 1), (D[3], "a", 1, 1)])
+    summary = spark.createDataFrame([(D[4],)], "run_date date")
+    latest, window = export.window_from_tables(summary, rows)
+    assert latest == D[4] and (window.start, window.end) == (D[1], D[4])
+    with pytest.raises(ValueError):
+        export.window_from_tables(summary.where("false"), rows.where("false"))
+    meta = export.metadata(summary, rows, window.days).first()
+    assert (meta.latest_run_date, meta.earliest_run_date, meta.days_available, meta.data_window_days) == (D[4], D[1], 2, 4)
+    empty = export.metadata(summary.where("false"), rows.where("false")).first()
+    assert (empty.latest_run_date, empty.days_available) == (None, 0)

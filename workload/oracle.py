@@ -5,8 +5,6 @@ from __future__ import annotations
 from workload.adapters import SIMILARITY_RULES, SIMILARITY_STOP_WORDS, WORD_RULES
 from workload.registry import DISPLAY_TERMS, FRESH, LIMITS, PHRASE_STOP_WORDS
 
-SHOWN = "strftime({0}, '%Y-%m-%d %H:%M:%S.%f')"
-
 
 def shown(column: str) -> str:
     return f"strftime({column}, '%Y-%m-%d %H:%M:%S.%f')"
