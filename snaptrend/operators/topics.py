@@ -15,6 +15,7 @@ from snaptrend.functions import lexicon
 from snaptrend.functions.lexicon import TopicRule
 from snaptrend.functions.text import drop_words, normalize_text, quoted, with_grams, words
 from snaptrend.operators.ranking import joined_top
+from snaptrend.session import spread
 
 
 def build_documents(
@@ -200,8 +201,14 @@ def classify_macro_topics(
     stop_words: Sequence[str] | None = None,
     text: str = "source_text",
     exact_unicode: bool = False,
+    spread_by: str | None = None,
 ) -> DataFrame:
-    """Add the macro topic of each document: keyword rules, then similarity, then catch-all."""
+    """Add the macro topic of each document: keyword rules, then similarity, then catch-all.
+
+    Working on a text costs far more than moving it. Where texts come straight from a few large
+    files, or vary much in length, ``spread_by`` names a key to spread them over all tasks first.
+    """
+    docs = spread(docs, spread_by) if spread_by else docs
     stop_words = lexicon.default_stop_words() if stop_words is None else stop_words
     seeds = SeedVectors(rules, stop_words)
     base = docs.withColumn("_norm", normalize_text(F.col(text), exact_unicode))

@@ -509,7 +509,7 @@ def build_documents(spark, folder):
 
 def _classified(spark, folder, rules, stop_words):
     docs = A.table(spark, folder, "documents").select("doc_id", F.col("text").alias("source_text"))
-    return topics.classify_macro_topics(docs, rules, stop_words).select(
+    return topics.classify_macro_topics(docs, rules, stop_words, spread_by="doc_id").select(
         "doc_id", "macro_topic_id", "macro_topic_name", "macro_topic_keywords",
         F.round("topic_confidence", 9).alias("topic_confidence"), "topic_method", "matched_source",
     )
