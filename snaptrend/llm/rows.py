@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +13,14 @@ KEYS = ("_id", "_hash")
 KEY_SCHEMA = "_id bigint, _hash bigint"
 
 
+def ship(name: str) -> None:
+    """Send the functions of a module to executors by value, so that they need no copy of this package."""
+    cloudpickle.register_pickle_by_value(sys.modules[name])
+
+
+ship(__name__)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
