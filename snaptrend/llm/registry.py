@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from snaptrend.llm import mixing, neighbours
+from snaptrend.llm import mixing, neighbours, secrets
 
-_OPERATORS = (mixing, neighbours)
+_OPERATORS = (mixing, neighbours, secrets)
 
 QUERIES = {op.QUERY: op.query for op in _OPERATORS}
 ORACLE = {op.QUERY: op.ORACLE for op in _OPERATORS if getattr(op, "ORACLE", None)}
