@@ -9,7 +9,7 @@ from snaptrend.session import checkpointed
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Documents that share one running sum, slots that share one ranking.
-SUM_ROWS = 20_000
+SUM_ROWS = 2_000
 RANK_BITS = 16
 
 
