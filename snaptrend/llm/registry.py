@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from snaptrend.llm import licenses, mixing, neighbours, secrets
+from snaptrend.llm import licenses, mixing, neighbours, pages, secrets
 
-_OPERATORS = (secrets, licenses, mixing, neighbours)
+_OPERATORS = (pages, secrets, licenses, mixing, neighbours)
 
 QUERIES = {op.QUERY: op.query for op in _OPERATORS}
 ORACLE = {op.QUERY: op.ORACLE for op in _OPERATORS if getattr(op, "ORACLE", None)}
