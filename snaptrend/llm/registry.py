@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from snaptrend.llm import licenses, mixing, neighbours, pages, secrets, toxicity
+from snaptrend.llm import leaks, licenses, mixing, neighbours, pages, secrets, toxicity
 
-_OPERATORS = (pages, secrets, licenses, toxicity, mixing, neighbours)
+_OPERATORS = (pages, secrets, licenses, toxicity, leaks, mixing, neighbours)
 
 QUERIES = {op.QUERY: op.query for op in _OPERATORS}
 ORACLE = {op.QUERY: op.ORACLE for op in _OPERATORS if getattr(op, "ORACLE", None)}
