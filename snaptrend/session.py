@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -14,13 +12,16 @@ SETTINGS = {
     # Split a hot join key even where that costs one more shuffle later in the plan.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Checkpoints that nothing refers to any more are deleted.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings every job here relies on."""
     for key, value in SETTINGS.items():
-        spark.conf.set(key, value)
+        if spark.conf.isModifiable(key):
+            spark.conf.set(key, value)
     return spark
 
 
@@ -44,19 +45,22 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(tasks, *keys)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut lineage through a reliable checkpoint.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The shared folder that the cluster names in ``spark.checkpoint.dir``.
 
-    The folder is the cluster's shared one from ``spark.checkpoint.dir``; only a local run that
-    names none gets a temporary folder.
+    Where it is unset, a folder next to the tables in the warehouse takes its place, so that no
+    machine-local temporary folder is ever used.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         shared = spark.conf.get("spark.checkpoint.dir", None)
         if shared is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a shared folder")
-            shared = tempfile.mkdtemp(prefix="snaptrend-checkpoint-")
+            shared = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
         context.setCheckpointDir(shared)
+    return context.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut lineage through a reliable checkpoint in the shared folder."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint()
