@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import sys
+import uuid
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from snaptrend.session import checkpoint_folder
+
 #: Identity of a row: its id and a hash of its whole text. Rows equal in both count as one document.
 KEYS = ("_id", "_hash")
 KEY_SCHEMA = "_id bigint, _hash bigint"
@@ -39,3 +42,13 @@ def keyed(docs: DataFrame, *columns: Column) -> DataFrame:
     )
 
 
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Cut lineage by a written table in the shared folder of checkpoints: columns pack better than rows.
+
+    Lost executors read it again. The folder keeps it, as it keeps checkpoints, until it is emptied.
+    """
+    path = f"{checkpoint_folder(df.sparkSession)}/table-{uuid.uuid4()}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
