@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from snaptrend.llm import leaks, licenses, lines, mixing, neighbours, pages, secret_scan, toxicity
+from snaptrend.llm import leaks, licenses, lines, mixing, near, neighbours, pages, secret_scan, toxicity
 
-_OPERATORS = (pages, lines, secret_scan, licenses, toxicity, leaks, mixing, neighbours)
+_OPERATORS = (pages, lines, secret_scan, licenses, toxicity, leaks, near, mixing, neighbours)
 
 QUERIES = {op.QUERY: op.query for op in _OPERATORS}
 ORACLE = {op.QUERY: op.ORACLE for op in _OPERATORS if getattr(op, "ORACLE", None)}
