@@ -2,9 +2,23 @@
 
 from __future__ import annotations
 
-from snaptrend.llm import leaks, licenses, lines, mixing, near, neighbours, pages, secret_scan, toxicity
+import corpus_pipeline
+from snaptrend.llm import (
+    leaks,
+    licenses,
+    lines,
+    mixing,
+    near,
+    neighbours,
+    pages,
+    secret_scan,
+    toxicity,
+    transcripts,
+)
 
-_OPERATORS = (pages, lines, secret_scan, licenses, toxicity, leaks, near, mixing, neighbours)
+_OPERATORS = (pages, lines, secret_scan, licenses, toxicity, transcripts, leaks, near, mixing, neighbours)
 
-QUERIES = {op.QUERY: op.query for op in _OPERATORS}
+QUERIES = {op.QUERY: op.query for op in _OPERATORS} | {"pipeline": corpus_pipeline.run}
 ORACLE = {op.QUERY: op.ORACLE for op in _OPERATORS if getattr(op, "ORACLE", None)}
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
