@@ -30,9 +30,9 @@ WINDOW = 10
 #: A passage that is removed has at least so many words, and two lines.
 WORDS = 30
 #: Characters to either side that a run is sent with, to be grown.
-MARGIN = 400
+MARGIN = 160
 #: Characters that are hashed in one go; a boundary is forced where a longer text is parted.
-PIECE = 1 << 21
+PIECE = 1 << 18
 
 _P = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -61,42 +61,65 @@ class Chunker:
                 s[0] = 1
             self.powers, self.inverse = (np.cumprod(s) for s in steps)
 
-    def chunks(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Start, end and hash of the chunks of two lines or more."""
-        parts = [self._piece(text[at : at + PIECE], at) for at in range(0, len(text), PIECE)]
+    def chunks(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Text, start, end and hash of the chunks of two lines or more; many short texts go at once."""
+        parts, held, size = [], [], 0
+        for k, text in enumerate(texts):
+            for at in range(0, len(text), PIECE):
+                piece = text[at : at + PIECE]
+                if held and size + len(piece) > PIECE:
+                    parts.append(self._pieces(held))
+                    held, size = [], 0
+                held.append((k, at, piece))
+                size += len(piece) + 1
+        if held:
+            parts.append(self._pieces(held))
         if not parts:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+            return tuple(np.zeros(0, np.int64) for _ in range(4))
         return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
-    def _piece(self, text: str, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    def _pieces(self, held: list[tuple[int, int, str]]):
+        # A line feed ends the last line of a text; lines and chunks never reach into the next text.
+        codes = np.frombuffer("\n".join(x[2] for x in held).encode("utf-32-le", "surrogatepass"), np.uint32)
         n = len(codes)
         self._grow(n + 1)
+        size = np.array([len(x[2]) for x in held])
+        offset = np.cumsum(size + 1) - size - 1
         space = (codes == 32) | ((codes >= 9) & (codes <= 13))
-        ends = self.ends[np.minimum(codes, 127)] & (codes < 127)
-        last = np.flatnonzero(space[1:] & (ends[:-1] | (codes[1:] == 10)) & ~space[:-1])
+        after = np.flatnonzero(space[1:] & ~space[:-1])
+        last = after[self.ends[np.minimum(codes[after], 127)] | (codes[after + 1] == 10)]
         # Lines go from one past the white space after the last end to the next end.
         stop = np.append(last + 1, n) if not len(last) or last[-1] + 1 < n else last + 1
         start = np.concatenate([[0], stop[:-1] + 1])
+        owner = np.searchsorted(offset, start, side="right") - 1
+        # White space before the line feed at the end of a text leaves its last line open; it ends with the text.
+        stop = np.minimum(stop, (offset + size)[owner])
         full = start < stop
-        start, stop = start[full], stop[full]
+        start, stop, owner = start[full], stop[full], owner[full]
         if len(start) < 2:
-            return start[:0], start[:0], start[:0]
-        weighed = np.where(space, 0, codes).astype(np.uint64) * self.powers[:n]
-        upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(weighed)])
+            return (np.zeros(0, np.int64),) * 4
+        weighed = codes * self.powers[:n]
+        weighed[space] = 0
+        upto = np.empty(n + 1, np.uint64)
+        upto[0] = 0
+        np.cumsum(weighed, out=upto[1:])
         line = mixed((upto[stop] - upto[start]) * self.inverse[start])
-        rolled = mixed(line * np.uint64(3) + np.concatenate([np.zeros(1, np.uint64), line[:-1]]))
-        if len(rolled) > WINDOW:
+        new = np.concatenate([[True], owner[1:] != owner[:-1]])
+        before = np.concatenate([np.zeros(1, np.uint64), line[:-1]])
+        before[new] = 0
+        rolled = mixed(line * np.uint64(3) + before)
+        closing = np.concatenate([new[1:], [True]])
+        if len(rolled) >= WINDOW:
             view = np.lib.stride_tricks.sliding_window_view(rolled, WINDOW)
-            cuts = np.unique(view.argmin(axis=1) + np.arange(len(view)))
-        else:
-            cuts = np.zeros(0, np.int64)
-        final = np.unique(np.append(cuts, len(start) - 1))
+            inside = owner[: len(view)] == owner[WINDOW - 1 :]
+            closing[(view.argmin(axis=1) + np.arange(len(view)))[inside]] = True
+        final = np.flatnonzero(closing)
         begin = np.concatenate([[0], final[:-1] + 1])
         several = final > begin
-        a, b = start[begin[several]], stop[final[several]]
+        a, b, who = start[begin[several]], stop[final[several]], owner[final[several]]
         found = mixed((upto[b] - upto[a]) * self.inverse[a] + (b - a).astype(np.uint64))
-        return a + base, b + base, found.view(np.int64)
+        base = np.array([x[1] for x in held])[who] - offset[who]
+        return np.array([x[0] for x in held])[who], a + base, b + base, found.view(np.int64)
 
 
 def chunk_rows(docs: DataFrame) -> DataFrame:
@@ -105,12 +128,9 @@ def chunk_rows(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         chunker = Chunker()
         for batch in batches:
-            found = [chunker.chunks(t) for t in batch["text"]]
-            size = [len(x[0]) for x in found]
-            columns = [np.concatenate([x[k] for x in found]) if found else np.zeros(0, np.int64) for k in range(3)]
+            text, start, stop, found = chunker.chunks(batch["text"].tolist())
             yield pd.DataFrame({
-                "_id": np.repeat(batch["_id"].to_numpy(), size),
-                "start": columns[0].astype(np.int32), "stop": columns[1].astype(np.int32), "h": columns[2],
+                "_id": batch["_id"].to_numpy()[text], "start": start.astype(np.int32), "stop": stop.astype(np.int32), "h": found,
             })
 
     texts = keyed(docs, F.col("text")).where("text is not null and text <> ''").select("_id", "text")
@@ -185,7 +205,7 @@ def unpacked(blob: bytes | None) -> str | None:
 
 
 PLACE = ("ki", "ka", "kb")
-SLICE = "ki bigint, ka int, kb int, _id bigint, _hash bigint, a int, b int, body binary, left binary, right binary, wanted boolean"
+SLICE = "ki bigint, ka int, kb int, _id bigint, _hash bigint, a int, b int, body string, left string, right string, wanted boolean"
 
 
 def slices(bundles: DataFrame, runs: DataFrame) -> DataFrame:
@@ -208,11 +228,7 @@ def slices(bundles: DataFrame, runs: DataFrame) -> DataFrame:
                 for x in places:
                     p = x["p"]
                     a, b = p["a"], p["b"]
-                    # Four bytes a character: places stay places.
-                    parts = (
-                        s.encode("utf-32-le", "surrogatepass")
-                        for s in (text[a:b], text[max(0, a - MARGIN) : a], text[b : b + MARGIN])
-                    )
+                    parts = text[a:b], text[max(0, a - MARGIN) : a], text[b : b + MARGIN]
                     out.append((p["ki"], p["ka"], p["kb"], i, h, a, b, *parts, x["wanted"]))
                 if len(out) > 1000:
                     yield pd.DataFrame(out, columns=names)
@@ -222,18 +238,13 @@ def slices(bundles: DataFrame, runs: DataFrame) -> DataFrame:
     return stored(rows.select(*KEYS, "_blob", "places").mapInPandas(cut, SLICE))
 
 
-def common_prefix(x: bytes, y: bytes) -> int:
-    n = min(len(x), len(y)) // 4
-    a, b = (np.frombuffer(s, np.uint32, n) for s in (x, y))
-    differ = np.flatnonzero(a != b)
-    return int(differ[0]) if len(differ) else n
-
-
-def common_suffix(x: bytes, y: bytes) -> int:
-    n = min(len(x), len(y)) // 4
-    a, b = (np.frombuffer(s[len(s) - 4 * n :], np.uint32)[::-1] for s in (x, y))
-    differ = np.flatnonzero(a != b)
-    return int(differ[0]) if len(differ) else n
+def common_prefix(x: str, y: str) -> int:
+    """Characters that two short texts begin with alike."""
+    lo, hi = 0, min(len(x), len(y))
+    while lo < hi:
+        middle = (lo + hi + 1) // 2
+        lo, hi = (middle, hi) if x[:middle] == y[:middle] else (lo, middle - 1)
+    return lo
 
 
 def verified(parts: DataFrame) -> DataFrame:
@@ -243,9 +254,9 @@ def verified(parts: DataFrame) -> DataFrame:
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            same = batch[[bytes(x) == bytes(y) for x, y in zip(batch["body"], batch["k_body"], strict=True)]]
-            left = [common_suffix(bytes(x), bytes(y)) for x, y in zip(same["left"], same["k_left"], strict=True)]
-            right = [common_prefix(bytes(x), bytes(y)) for x, y in zip(same["right"], same["k_right"], strict=True)]
+            same = batch[batch["body"] == batch["k_body"]]
+            left = [common_prefix(x[::-1], y[::-1]) for x, y in zip(same["left"], same["k_left"], strict=True)]
+            right = [common_prefix(x, y) for x, y in zip(same["right"], same["k_right"], strict=True)]
             yield pd.DataFrame({
                 "_id": same["_id"], "_hash": same["_hash"],
                 "a": same["a"] - np.array(left, np.int32), "b": same["b"] + np.array(right, np.int32),

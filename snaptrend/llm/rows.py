@@ -51,4 +51,6 @@ def stored(df: DataFrame) -> DataFrame:
     """
     path = f"{checkpoint_folder(df.sparkSession)}/table-{uuid.uuid4()}"
     df.write.option("compression", "zstd").parquet(path)
+    # Executors delete the shuffles of a finished step once the driver's garbage collector has seen them go.
+    df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
