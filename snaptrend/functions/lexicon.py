@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.feature import StopWordsRemover
-
 
 @dataclass(frozen=True)
 class TopicRule:
@@ -79,47 +77,58 @@ PROTECTED_TERMS: dict[str, str] = {
 
 # Spanish stop words.
 SPANISH_STOP_WORDS = (
-    "a al algo algunas algunos ante antes como con contra cual cuando de del desde donde durante "
-    "e el ella ellas ellos en entre era eran eres es esa esas ese eso esos esta estaba estado "
-    "estan estar este esto estos fue fueron ha han hasta hay la las le les lo los mas me mi mis "
-    "muy no nos o para pero por que se ser si sin sobre su sus tambien te tiene todo todos tu un "
-    "una unas uno unos y ya"
-).split()
+    "a", "al", "algo", "algunas", "algunos", "ante", "antes", "como", "con", "contra", "cual",
+    "cuando", "de", "del", "desde", "donde", "durante", "e", "el", "ella", "ellas", "ellos", "en",
+    "entre", "era", "eran", "eres", "es", "esa", "esas", "ese", "eso", "esos", "esta", "estaba",
+    "estado", "estan", "estar", "este", "esto", "estos", "fue", "fueron", "ha", "han", "hasta",
+    "hay", "la", "las", "le", "les", "lo", "los", "mas", "me", "mi", "mis", "muy", "no", "nos", "o",
+    "para", "pero", "por", "que", "se", "ser", "si", "sin", "sobre", "su", "sus", "tambien", "te",
+    "tiene", "todo", "todos", "tu", "un", "una", "unas", "uno", "unos", "y", "ya",
+)
 
 # Words too common in this domain to tell topics apart.
 DOMAIN_STOP_WORDS = (
-    "mundial mundial2026 world cup copa mundo 2026 video videos shorts youtube monterrey mexico "
-    "nuevo leon fifa"
-).split()
-
-# The English list is Spark's own default, without its contractions and the
-# "unused" words, plus these further words.
-ENGLISH_UNUSED = "did does doing don having just ought s t theirs".split()
-ENGLISH_FURTHER = (
-    "across afterwards almost alone along already also although always among amongst amoungst "
-    "amount another anyhow anyone anything anyway anywhere around back became become becomes "
-    "becoming beforehand behind beside besides beyond bill bottom call cant co con couldnt cry de "
-    "describe detail done due eg eight either eleven else elsewhere empty enough etc even ever "
-    "every everyone everything everywhere except fifteen fifty fill find fire first five former "
-    "formerly forty found four front full get give go hasnt hence hereafter hereby herein hereupon "
-    "however hundred ie inc indeed interest keep last latter latterly least less ltd made many may "
-    "meanwhile might mill mine moreover mostly move much must name namely neither never "
-    "nevertheless next nine nobody none noone nothing nowhere often one onto others otherwise part "
-    "per perhaps please put rather re see seem seemed seeming seems serious several show side "
-    "since sincere six sixty somehow someone something sometime sometimes somewhere still system "
-    "take ten thence thereafter thereby therefore therein thereupon thick thin third though three "
-    "throughout thru thus together top toward towards twelve twenty two un upon us via well "
-    "whatever whence whenever whereafter whereas whereby wherein whereupon wherever whether "
-    "whither whoever whole whose within without yet"
-).split()
-
+    "mundial", "mundial2026", "world", "cup", "copa", "mundo", "2026", "video", "videos", "shorts",
+    "youtube", "monterrey", "mexico", "nuevo", "leon", "fifa",
+)
 
-def english_stop_words() -> list[str]:
-    """English stop words; needs a running session (Spark holds the base list)."""
-    base = [w for w in StopWordsRemover.loadDefaultStopWords("english") if "'" not in w]
-    return sorted((set(base) - set(ENGLISH_UNUSED)) | set(ENGLISH_FURTHER))
+# The stop word list of the Glasgow information retrieval group, which text mining
+# libraries commonly ship as the English one.
+ENGLISH_STOP_WORDS = (
+    "a", "about", "above", "across", "after", "afterwards", "again", "against", "all", "almost",
+    "alone", "along", "already", "also", "although", "always", "am", "among", "amongst", "amoungst",
+    "amount", "an", "and", "another", "any", "anyhow", "anyone", "anything", "anyway", "anywhere",
+    "are", "around", "as", "at", "back", "be", "became", "because", "become", "becomes", "becoming",
+    "been", "before", "beforehand", "behind", "being", "below", "beside", "besides", "between",
+    "beyond", "bill", "both", "bottom", "but", "by", "call", "can", "cannot", "cant", "co", "con",
+    "could", "couldnt", "cry", "de", "describe", "detail", "do", "done", "down", "due", "during",
+    "each", "eg", "eight", "either", "eleven", "else", "elsewhere", "empty", "enough", "etc",
+    "even", "ever", "every", "everyone", "everything", "everywhere", "except", "few", "fifteen",
+    "fifty", "fill", "find", "fire", "first", "five", "for", "former", "formerly", "forty", "found",
+    "four", "from", "front", "full", "further", "get", "give", "go", "had", "has", "hasnt", "have",
+    "he", "hence", "her", "here", "hereafter", "hereby", "herein", "hereupon", "hers", "herself",
+    "him", "himself", "his", "how", "however", "hundred", "i", "ie", "if", "in", "inc", "indeed",
+    "interest", "into", "is", "it", "its", "itself", "keep", "last", "latter", "latterly", "least",
+    "less", "ltd", "made", "many", "may", "me", "meanwhile", "might", "mill", "mine", "more",
+    "moreover", "most", "mostly", "move", "much", "must", "my", "myself", "name", "namely",
+    "neither", "never", "nevertheless", "next", "nine", "no", "nobody", "none", "noone", "nor",
+    "not", "nothing", "now", "nowhere", "of", "off", "often", "on", "once", "one", "only", "onto",
+    "or", "other", "others", "otherwise", "our", "ours", "ourselves", "out", "over", "own", "part",
+    "per", "perhaps", "please", "put", "rather", "re", "same", "see", "seem", "seemed", "seeming",
+    "seems", "serious", "several", "she", "should", "show", "side", "since", "sincere", "six",
+    "sixty", "so", "some", "somehow", "someone", "something", "sometime", "sometimes", "somewhere",
+    "still", "such", "system", "take", "ten", "than", "that", "the", "their", "them", "themselves",
+    "then", "thence", "there", "thereafter", "thereby", "therefore", "therein", "thereupon",
+    "these", "they", "thick", "thin", "third", "this", "those", "though", "three", "through",
+    "throughout", "thru", "thus", "to", "together", "too", "top", "toward", "towards", "twelve",
+    "twenty", "two", "un", "under", "until", "up", "upon", "us", "very", "via", "was", "we", "well",
+    "were", "what", "whatever", "when", "whence", "whenever", "where", "whereafter", "whereas",
+    "whereby", "wherein", "whereupon", "wherever", "whether", "which", "while", "whither", "who",
+    "whoever", "whole", "whom", "whose", "why", "will", "with", "within", "without", "would", "yet",
+    "you", "your", "yours", "yourself", "yourselves",
+)
 
 
 def default_stop_words() -> list[str]:
     """English, Spanish and domain stop words together."""
-    return sorted({*english_stop_words(), *SPANISH_STOP_WORDS, *DOMAIN_STOP_WORDS})
+    return sorted({*ENGLISH_STOP_WORDS, *SPANISH_STOP_WORDS, *DOMAIN_STOP_WORDS})

@@ -5,12 +5,6 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-import numpy as np
-from pyspark import StorageLevel
-from pyspark.ml import Pipeline
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import IDF, ElementwiseProduct, HashingTF, Normalizer
-from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,8 +12,9 @@ from snaptrend.functions.lexicon import DEFAULT_PHRASE
 from snaptrend.functions.text import (
     drop_words, keyword_set, normalize_text, normalized_set, sub_topic_id, with_grams, words,
 )
+from snaptrend.operators.clusters import k_means
 from snaptrend.operators.ranking import numbered, top_per_group
-from snaptrend.session import checkpointed, spread
+from snaptrend.session import checkpointed, spread, stored
 
 # Weights are summed as integers of this unit, so that sums and ties do not depend on row order.
 UNIT = 1_000_000_000
@@ -97,7 +92,8 @@ def term_weights(
     term on the other.
     """
     group = list(group)
-    counts = term_counts(docs, group, doc, text, stop_words, longest)
+    # Stored, since the vocabulary and the weights both read it: texts are cut into terms once.
+    counts = stored(term_counts(docs, group, doc, text, stop_words, longest))
     idf = vocabulary(counts, docs, group, max_df)
     weighted = counts.join(idf, [*group, "term"]).select(
         *group, doc, "term", (F.col("_tf") * F.col("_idf")).alias("_raw")
@@ -162,62 +158,17 @@ def document_phrases(
     )
 
 
-def cluster_features(
-    docs: DataFrame, documents: int, terms: str = "terms", max_df: float = 0.9, features: int = 1 << 18
-) -> DataFrame:
-    """TF-IDF vectors of unit length in a hashed space of fixed size.
-
-    Hashing needs no vocabulary on the driver; the one vector that reaches it has the length of
-    that space. Phrases are taken from the exact terms, see ``cluster_phrases``.
-    """
-    counted = HashingTF(inputCol=terms, outputCol="_tf", numFeatures=features).transform(docs)
-    idf = IDF(inputCol="_tf", outputCol="_unused").fit(counted).idf.toArray()
-    # The model keeps ln((n + 1) / (df + 1)); one is added, and too frequent terms weigh nothing.
-    too_frequent = idf < math.log((documents + 1) / (max_df * documents + 1)) - 1e-12
-    weights = np.where(too_frequent, 0.0, idf + 1.0)
-    scale = ElementwiseProduct(scalingVec=Vectors.dense(weights), inputCol="_tf", outputCol="_weighted")
-    unit = Normalizer(p=2.0, inputCol="_weighted", outputCol="features")
-    out = Pipeline(stages=[scale, unit]).fit(counted).transform(counted)
-    return out.drop("_tf", "_weighted")
-
-
 def cluster_documents(
+    weights: DataFrame,
     docs: DataFrame,
+    group: Sequence[str],
     doc: str,
-    documents: int,
-    text: str,
-    stop_words: Sequence[str],
     clusters: int | None = None,
     seed: int = 42,
-    starts: int = 1,
-    features: int = 1 << 18,
+    starts: int = 10,
 ) -> DataFrame:
-    """Document and ``label``: k-means on the TF-IDF vectors, the best of ``starts`` seeds.
-
-    Labels are numbered by the smallest document of their cluster, so they do not depend on the
-    order in which the algorithm met the clusters.
-    """
-    clusters = cluster_count(documents) if clusters is None else clusters
-    if clusters <= 1:
-        return docs.select(doc, F.lit(0).alias("label"))
-    termed = with_terms(spread(docs.select(doc, text), doc), F.col(text), stop_words)
-    vectors = cluster_features(termed, documents, features=features).select(doc, "features")
-    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        models = [
-            KMeans(k=clusters, seed=seed + i, maxIter=300, tol=1e-4, predictionCol="_cluster").fit(vectors)
-            for i in range(starts)
-        ]
-        # Costs equal but for rounding are a tie, which the earlier seed wins.
-        best = min(models, key=lambda m: round(m.summary.trainingCost, 9))
-        found = checkpointed(best.transform(vectors).select(doc, "_cluster"))
-    finally:
-        vectors.unpersist()
-    # At most as many rows as there are clusters.
-    numbered = found.groupBy("_cluster").agg(F.min(doc).alias("_first")).withColumn(
-        "label", F.row_number().over(Window.orderBy("_first")) - 1
-    )
-    return found.join(F.broadcast(numbered.select("_cluster", "label")), "_cluster").select(doc, "label")
+    """Group, document and ``label``: k-means on the exact TF-IDF weights of every group."""
+    return k_means(weights, docs, group, doc, clusters, starts, seed)
 
 
 def _class_of(keywords: Column) -> Column:

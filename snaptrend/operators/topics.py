@@ -23,7 +23,7 @@ def build_documents(
     comments: DataFrame,
     keys: Sequence[str] = ("run_date", "video_id"),
     fields: Sequence[str] = ("title", "description", "tags", "search_query"),
-    max_comments: int = 30,
+    max_comments: int | None = 30,
     max_chars: int | None = 12000,
 ) -> DataFrame:
     """Add ``source_text``: the text fields, then the most liked comments, joined by a space.
@@ -33,7 +33,12 @@ def build_documents(
     """
     keys = list(keys)
     order = [F.col("like_count").desc_nulls_last(), F.col("comment_id").asc()]
-    talk = joined_top(comments, keys, "comment_text", order, max_comments, " ", "_talk")
+    if max_comments is None:
+        rank = F.struct(-F.coalesce("like_count", F.lit(-(2**62))), F.col("comment_id"), F.col("comment_text").alias("t"))
+        listed = F.array_sort(F.collect_list(F.when(F.col("comment_text").isNotNull(), rank)))
+        talk = comments.groupBy(*keys).agg(F.array_join(F.transform(listed, lambda x: x["t"]), " ").alias("_talk"))
+    else:
+        talk = joined_top(comments, keys, "comment_text", order, max_comments, " ", "_talk")
     text = F.concat_ws(" ", *fields, F.col("_talk"))
     if max_chars is not None:
         text = F.substring(text, 1, max_chars)

@@ -16,16 +16,14 @@ from snaptrend.functions.lexicon import TopicRule
 from snaptrend.functions.text import displayed_keywords, readable_name
 from snaptrend.operators.ranking import top_per_group
 from snaptrend.operators.subtopics import (
-    cluster_documents, cluster_phrases, document_phrases, stable_ids, term_counts,
-    term_weights, vocabulary,
+    cluster_documents, cluster_phrases, document_phrases, stable_ids, term_weights,
 )
 from snaptrend.operators.topics import build_documents, classify_macro_topics
 from snaptrend.operators.versions import latest_before
 from snaptrend.plans.topic_gold import on_date, stamp
-from snaptrend.session import checkpointed
+from snaptrend.session import checkpointed, stored
 
 LABEL = ["macro_topic_id", "label"]
-STORED_CHARS = 1200
 
 
 def previous_sub_topics(topics: DataFrame, run_date: str | date | Column) -> DataFrame:
@@ -53,46 +51,34 @@ def assign_sub_topics(
     previous: DataFrame,
     stop_words: Sequence[str],
     starts: int = 10,
-    features: int = 1 << 18,
     threshold: float = 0.45,
 ) -> DataFrame:
     """Sub-topic id, name and keywords per video of one run date.
 
-    Clustering runs once per macro topic, of which there are as many as rules. Everything after it
-    is one plan for all of them. The catch-all topic has one fixed sub-topic.
+    All macro topics are clustered at once, on the weights from which the phrases are taken too. A topic
+    of one document, or without a usable term, has a sub-topic per document. The catch-all topic has one
+    fixed sub-topic.
     """
     catch_all = lexicon.CATCH_ALL_ID
     specific = docs.where(F.col("macro_topic_id") != catch_all)
-    weights = term_weights(specific, ["macro_topic_id"], "video_id", "source_text", stop_words)
+    weights = stored(term_weights(specific, ["macro_topic_id"], "video_id", "source_text", stop_words))
     # One row per macro topic: how many documents, and whether any term is left.
-    counts = term_counts(specific, ["macro_topic_id"], "video_id", "source_text", stop_words)
-    kept = vocabulary(counts, specific, ["macro_topic_id"])
-    usable = kept.select("macro_topic_id").distinct().withColumn("_usable", F.lit(True))
+    usable = weights.select("macro_topic_id").distinct().withColumn("_usable", F.lit(True))
     sizes = specific.groupBy("macro_topic_id").agg(F.count(F.lit(1)).alias("n")).join(
         usable, "macro_topic_id", "left"
     ).collect()
+    alone = sorted(r["macro_topic_id"] for r in sizes if r["n"] == 1 or not r["_usable"])
+    together = sorted(r["macro_topic_id"] for r in sizes if r["macro_topic_id"] not in alone)
 
-    clustered, alone = [], []
-    for row in sorted(sizes, key=lambda r: r["macro_topic_id"]):
-        own = specific.where(F.col("macro_topic_id") == row["macro_topic_id"])
-        if row["n"] == 1 or not row["_usable"]:
-            alone.append(row["macro_topic_id"])
-            continue
+    described, members = [], []
+    if together:
+        own = F.col("macro_topic_id").isin(together)
         labels = cluster_documents(
-            own, "video_id", row["n"], "source_text", stop_words, starts=starts, features=features
+            weights.where(own), specific.where(own), ["macro_topic_id"], "video_id", starts=starts
         )
         # Labels are text, so that clusters and single documents can be stacked; up to five
         # clusters sort alike as numbers and as text.
-        clustered.append(
-            labels.select(
-                F.lit(row["macro_topic_id"]).alias("macro_topic_id"), "video_id",
-                F.col("label").cast("string").alias("label"),
-            )
-        )
-
-    described, members = [], []
-    if clustered:
-        labels = reduce(DataFrame.unionByName, clustered)
+        labels = labels.withColumn("label", F.col("label").cast("string"))
         phrases = cluster_phrases(weights, labels, ["macro_topic_id"], "video_id").drop("scores")
         all_labels = labels.select(*LABEL).distinct()
         described.append(
@@ -146,16 +132,23 @@ def video_topics(
     stop_words: Sequence[str] | None = None,
     processed_at: Column | None = None,
     starts: int = 10,
-    features: int = 1 << 18,
+    max_comments: int | None = 30,
+    max_chars: int | None = 12000,
+    stored_chars: int | None = 1200,
 ) -> DataFrame:
-    """Topic assignment of every video of a run date; ``topics`` is the history for stable ids."""
+    """Topic assignment of every video of a run date; ``topics`` is the history for stable ids.
+
+    The document of a video takes ``max_comments`` comments and ``max_chars`` characters, and ``stored_chars`` of
+    it are kept in the result; each limit may be None.
+    """
     stop_words = lexicon.default_stop_words() if stop_words is None else stop_words
-    documents = build_documents(on_date(videos, run_date), on_date(comments, run_date))
-    docs = classify_macro_topics(documents, rules, stop_words).persist(StorageLevel.MEMORY_AND_DISK)
+    documents = build_documents(
+        on_date(videos, run_date), on_date(comments, run_date), max_comments=max_comments, max_chars=max_chars
+    )
+    docs = classify_macro_topics(documents, rules, stop_words, spread_by="video_id").persist(StorageLevel.MEMORY_AND_DISK)
+    kept = F.col("source_text") if stored_chars is None else F.substring("source_text", 1, stored_chars)
     try:
-        subs = checkpointed(
-            assign_sub_topics(docs, previous_sub_topics(topics, run_date), stop_words, starts, features)
-        )
+        subs = checkpointed(assign_sub_topics(docs, previous_sub_topics(topics, run_date), stop_words, starts))
         macro = {"macro_topic_id": "topic_id", "macro_topic_name": "topic_name"}
         out = docs.join(subs, "video_id").select(
             "run_date", "video_id",
@@ -163,7 +156,7 @@ def video_topics(
             *macro, "sub_topic_id", "sub_topic_name",
             F.col("sub_topic_keywords").alias("topic_keywords"),
             "macro_topic_keywords", "sub_topic_keywords", "topic_confidence", "topic_method", "matched_source",
-            F.coalesce(F.substring("source_text", 1, STORED_CHARS), F.lit("")).alias("source_text"),
+            F.coalesce(kept, F.lit("")).alias("source_text"),
             stamp(processed_at).alias("processed_at"),
         )
         return checkpointed(out)

@@ -52,7 +52,7 @@ def test_restore_terms(spark):
 
 
 def test_stop_words(spark):
-    assert len(lexicon.english_stop_words()) == 318
+    assert len(lexicon.ENGLISH_STOP_WORDS) == 318
     assert len(lexicon.SPANISH_STOP_WORDS) == len(set(lexicon.SPANISH_STOP_WORDS)) == 85
     assert len(lexicon.DOMAIN_STOP_WORDS) == 16
 

@@ -147,7 +147,7 @@ def test_video_topics_stay_stable_over_days(spark):
     empty = spark.createDataFrame(
         [], "run_date date, macro_topic_id string, sub_topic_id string, sub_topic_name string, keywords string"
     )
-    first = video_topics.video_topics(videos, comments, empty, D[0], starts=2, features=1 << 12)
+    first = video_topics.video_topics(videos, comments, empty, D[0], starts=2)
     got = {r.video_id: r for r in first.collect()}
     assert len(got) == 6
     assert got["v5"].sub_topic_id == "other__otros" and got["v4"].macro_topic_id == "tourism"
@@ -155,7 +155,7 @@ def test_video_topics_stay_stable_over_days(spark):
     assert got["v4"].sub_topic_id.startswith("tourism__hotel_lujo_centro__")
     assert got["v4"].source_text == "hotel lujo centro hotel barato"
     daily = topic_gold.topic_daily(first, videos, comments)
-    second = video_topics.video_topics(videos, comments, daily, D[1], starts=2, features=1 << 12)
+    second = video_topics.video_topics(videos, comments, daily, D[1], starts=2)
     again = {r.video_id: r.sub_topic_id for r in second.collect()}
     assert {v: again[v] for v in ("v0", "v2", "v5")} == {v: got[v].sub_topic_id for v in ("v0", "v2", "v5")}
 

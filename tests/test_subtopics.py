@@ -50,8 +50,10 @@ def test_document_phrases(spark):
 def test_clusters_cover_documents_and_repeat(spark):
     texts = [f"{a} {b} x{i}" for i, (a, b) in enumerate([("red", "apple"), ("blue", "sky"), ("green", "tree")] * 4)]
     docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
-    one = {r.id: r.label for r in cluster_documents(docs, "id", 12, "text", STOPS, clusters=3, features=1 << 12, starts=3).collect()}
-    two = {r.id: r.label for r in cluster_documents(docs, "id", 12, "text", STOPS, clusters=3, features=1 << 12, starts=3).collect()}
+    grouped = docs.withColumn("g", F.lit("g"))
+    weights = term_weights(grouped, ["g"], "id", "text", STOPS)
+    one = {r.id: r.label for r in cluster_documents(weights, grouped, ["g"], "id", clusters=3, starts=3).collect()}
+    two = {r.id: r.label for r in cluster_documents(weights, grouped, ["g"], "id", clusters=3, starts=3).collect()}
     assert one == two and len(one) == 12
     assert [one[i] for i in range(3)] == [0, 1, 2] and all(one[i] == one[i % 3] for i in range(12))
 

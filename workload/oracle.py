@@ -549,4 +549,25 @@ pick AS (
   FROM pick p JOIN lbl l ON l.m = p.m AND l.label = p.label + 1)
 SELECT p.m AS macro_topic_id, p.label, 'day ' || l.run_date AS name, p.id AS sub_topic_id
 FROM pick p JOIN lbl l ON l.m = p.m AND l.label = p.label""",
+    # Clusters of a language: about the root of its documents, two to five; copies are never parted.
+    "subtopic_clusters": """
+SELECT lang, count(*) AS documents, CAST(0 AS BIGINT) AS parted_copies,
+       CAST(CASE WHEN count(*) <= 2 THEN count(*) ELSE greatest(2, least(5, ceil(sqrt(count(*))))) END AS BIGINT) AS clusters
+FROM documents GROUP BY lang""",
+    # Five vocabularies without a common word: the clusters are the priorities.
+    "subtopic_clusters_orders": """
+WITH f AS (SELECT o_orderpriority AS p, min(o_orderkey) AS first FROM orders GROUP BY 1),
+n AS (SELECT p, row_number() OVER (ORDER BY first) - 1 AS label FROM f)
+SELECT o_orderkey, label FROM orders JOIN n ON p = o_orderpriority""",
+    "video_topics": """
+WITH o AS (
+  SELECT lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS video_id, o_custkey % 2 = 0 AS is_even,
+         substr(o_orderpriority, 1, 1) || CASE WHEN o_custkey % 2 = 0 THEN 'a' ELSE 'b' END AS kind, o_orderkey AS k
+  FROM orders)
+SELECT video_id, CASE WHEN is_even THEN 'even' ELSE 'odd' END AS macro_topic_id,
+       CASE WHEN is_even THEN 'Even customers' ELSE 'Odd customers' END AS macro_topic_name,
+       min(video_id) OVER (PARTITION BY kind) AS first_video, count(*) OVER (PARTITION BY kind) AS videos,
+       'grp' || kind || ' grp' || kind || ' core' || kind || ' base' || kind || ' tail' || kind || 'x' || (k % 3)
+         || ' end' || kind || 'x' || (k % 2) AS source_text
+FROM o""",
 }

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from snaptrend.functions import dates, text
 from snaptrend.functions.dates import date_window
+from snaptrend.functions.lexicon import TopicRule
 from snaptrend.operators import subtopics, topics, versions
 from snaptrend.operators.deltas import with_changes
 from snaptrend.plans import export, ingest, momentum, topic_gold
@@ -565,34 +566,66 @@ def cluster_top_phrases(spark, folder):
 
 @query
 def subtopic_clusters(spark, folder):
-    """Documents of each language in clusters of similar texts."""
+    """Documents of each language in clusters of similar texts: what any correct clustering must give."""
     docs = A.table(spark, folder, "documents").select("doc_id", "lang", "text")
-    parts = []
-    for row in docs.groupBy("lang").count().orderBy("lang").collect():
-        own = docs.where(F.col("lang") == row["lang"])
-        labels = subtopics.cluster_documents(
-            own, "doc_id", row["count"], "text", PHRASE_STOP_WORDS, features=1 << 16
-        )
-        parts.append(labels.withColumn("lang", F.lit(row["lang"])))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out.select("doc_id", "lang", "label")
+    weights = subtopics.term_weights(docs, ["lang"], "doc_id", "text", PHRASE_STOP_WORDS)
+    labels = subtopics.cluster_documents(weights, docs, ["lang"], "doc_id")
+    found = docs.join(labels, ["lang", "doc_id"])
+    # Equal texts must share a label.
+    copies = found.groupBy("lang", "text").agg(F.count_distinct("label").alias("n"))
+    parted = copies.groupBy("lang").agg(F.sum(F.col("n") - 1).alias("parted_copies"))
+    counted = found.groupBy("lang").agg(F.count(F.lit(1)).alias("documents"), F.count_distinct("label").alias("clusters"))
+    return counted.join(parted, "lang")
+
+
+def _worded_orders(spark, folder, kind):
+    """Orders as documents whose words tell their kind; kinds share no word."""
+    word = lambda stem, by: F.concat(F.lit(stem), kind, F.lit("x"), (F.col("o_orderkey") % by).cast("string"))
+    said = [F.concat(F.lit(stem), kind) for stem in ("grp", "core", "base")]
+    return A.table(spark, folder, "orders").select(
+        "o_orderkey", kind.alias("kind"), F.concat_ws(" ", *said, word("tail", 3), word("end", 2)).alias("text")
+    )
+
+
+@query
+def subtopic_clusters_orders(spark, folder):
+    """All orders in five clusters by what their words say, numbered by the smallest order."""
+    docs = _worded_orders(spark, folder, F.substring("o_orderpriority", 1, 1)).withColumn("topic", F.lit("orders"))
+    weights = subtopics.term_weights(docs, ["topic"], "o_orderkey", "text", PHRASE_STOP_WORDS)
+    labels = subtopics.cluster_documents(weights, docs, ["topic"], "o_orderkey")
+    return labels.select("o_orderkey", F.col("label").cast("bigint").alias("label"))
+
+
+# Orders of even customers are one macro topic, those of odd ones another; each has five priorities.
+ORDER_RULES = (
+    TopicRule("even", "Even customers", tuple(f"core{n}a" for n in range(1, 6))),
+    TopicRule("odd", "Odd customers", tuple(f"core{n}b" for n in range(1, 6))),
+)
 
 
 @query
 def video_topics(spark, folder):
-    """Topic and sub-topic of every document, with conversation turns as comments."""
+    """Topics and sub-topics of all orders as videos of one day, with the first of each sub-topic."""
     day = F.lit("2024-01-30").cast("date")
-    videos = A.document_videos(spark, folder).withColumns({
-        "run_date": day, "view_count": F.length("description"), "comment_count": F.lit(0),
-    })
-    comments = A.turn_comments(spark, folder).withColumn("run_date", day)
-    history = _topic_daily(spark, folder)
+    side = F.when(F.col("o_custkey") % 2 == 0, "a").otherwise("b")
+    orders = _worded_orders(spark, folder, F.concat(F.substring("o_orderpriority", 1, 1), side))
+    nothing, zero = F.lit(None).cast("string"), F.lit(0).cast("bigint")
+    videos = orders.select(
+        day.alias("run_date"), F.lpad(F.col("o_orderkey").cast("string"), 12, "0").alias("video_id"),
+        F.concat(F.lit("grp"), "kind").alias("title"), F.col("text").alias("description"),
+        nothing.alias("tags"), nothing.alias("search_query"), zero.alias("view_count"), zero.alias("comment_count"),
+    )
+    comments = videos.limit(0).select(
+        "run_date", "video_id", nothing.alias("comment_id"), nothing.alias("comment_text"), zero.alias("like_count")
+    )
     out = assign_topics(
-        videos, comments, history, "2024-01-30", A.WORD_RULES, PHRASE_STOP_WORDS, starts=1, features=1 << 16
+        videos, comments, _topic_daily(spark, folder), "2024-01-30", ORDER_RULES, PHRASE_STOP_WORDS,
+        max_comments=None, max_chars=None, stored_chars=None,
+    )
+    firsts = out.groupBy("macro_topic_id", "sub_topic_id").agg(F.min("video_id").alias("first_video"), F.count(F.lit(1)).alias("videos"))
+    return out.join(firsts, ["macro_topic_id", "sub_topic_id"]).select(
+        "video_id", "macro_topic_id", "macro_topic_name", "first_video", "videos", "source_text",
     )
-    return out.drop("processed_at")
 
 
 def _event_labels(spark, folder):
