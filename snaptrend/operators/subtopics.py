@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from snaptrend.functions.lexicon import DEFAULT_PHRASE
 from snaptrend.functions.text import (
-    drop_words, keyword_set, normalize_text, normalized_set, sub_topic_id, with_grams, words,
+    drop_words, jaccard, keyword_set, normalize_text, normalized_set, sub_topic_id, with_grams, words,
 )
 from snaptrend.operators.clusters import k_means
 from snaptrend.operators.ranking import numbered, top_per_group
@@ -182,111 +182,74 @@ def _earlier_classes(previous: DataFrame, macro: str) -> tuple[DataFrame, DataFr
     old = previous.select(macro, F.col("sub_topic_id").alias("_old_id"), keywords.alias("_old_set")).where(
         F.col(macro).isNotNull() & F.col("_old_id").isNotNull()
     ).withColumn("_old_class", _class_of(F.col("_old_set")))
+    old = stored(old)
     classes = old.groupBy(macro, "_old_class").agg(
         F.min("_old_id").alias("_first_id"), F.count(F.lit(1)).alias("_seats"), F.min("_old_set").alias("_old_set")
     )
     return old.drop("_old_set"), classes
 
 
+def _prefixes(sets: DataFrame, common: DataFrame, macro: str, name: str, threshold: float) -> DataFrame:
+    """The rarest keywords of each set, as many as a similar set must share one of."""
+    words = sets.select(macro, name, F.explode("_kws").alias("_kw")).join(common, [macro, "_kw"])
+    ranked = words.groupBy(macro, name).agg(F.array_sort(F.collect_list(F.struct("_often", "_kw"))).alias("_r"))
+    length = F.size("_r") - F.ceil(F.size("_r") * F.lit(threshold) - 1e-9).cast("int") + 1
+    return ranked.select(macro, name, F.explode(F.transform(F.slice("_r", F.lit(1), length), lambda x: x["_kw"])).alias("_kw"))
+
+
 def similar_classes(
     labels: DataFrame, classes: DataFrame, macro: str = "macro_topic_id", threshold: float = 0.45
 ) -> DataFrame:
     """Pairs of keyword sets of one macro topic that are similar enough, with their score.
 
-    Sets that occur many times take part once. Only sets that share a keyword can be similar, so
-    both sides are exploded to keywords, meet on them, and the overlap is counted.
+    Sets that occur many times take part once. Two sets of the wanted similarity share one of the rarest
+    ``n - ceil(t n) + 1`` keywords of either, so only those meet: a keyword that all sets hold pairs nothing
+    unless it is among a set's rarest. Pairs that meet are verified on the whole sets.
     """
-    mine = labels.select(macro, "_class", "_set").dropDuplicates([macro, "_class"])
-    mine = mine.select(macro, "_class", F.size("_set").alias("_mine"), F.explode("_set").alias("_kw"))
-    theirs = classes.select(
-        macro, "_old_class", "_first_id", "_seats", F.size("_old_set").alias("_theirs"), F.explode("_old_set").alias("_kw")
+    mine = labels.select(macro, "_class", F.col("_set").alias("_kws")).dropDuplicates([macro, "_class"])
+    theirs = classes.select(macro, "_old_class", F.col("_old_set").alias("_kws"))
+    words = mine.select(macro, F.explode("_kws").alias("_kw")).unionByName(theirs.select(macro, F.explode("_kws").alias("_kw")))
+    common = words.groupBy(macro, "_kw").agg(F.count(F.lit(1)).alias("_often"))
+    met = (
+        _prefixes(mine, common, macro, "_class", threshold)
+        .join(_prefixes(theirs, common, macro, "_old_class", threshold), [macro, "_kw"])
+        .select(macro, "_class", "_old_class").distinct()
     )
-    shared = (
-        mine.join(theirs, [macro, "_kw"])
-        .groupBy(macro, "_class", "_old_class", "_first_id", "_seats", "_mine", "_theirs")
-        .agg(F.count(F.lit(1)).alias("_both"))
+    rows = met.join(mine, [macro, "_class"]).join(
+        classes.select(macro, "_old_class", "_first_id", "_seats", "_old_set"), [macro, "_old_class"]
     )
-    score = F.col("_both") / (F.col("_mine") + F.col("_theirs") - F.col("_both"))
-    return shared.withColumn("_score", score).where(F.col("_score") >= threshold).drop("_both", "_mine", "_theirs")
+    scored = rows.withColumn("_score", jaccard(F.col("_kws"), F.col("_old_set"))).where(F.col("_score") >= threshold)
+    return scored.select(macro, "_class", "_old_class", "_first_id", "_seats", "_score")
 
 
 def stable_ids(
-    labels: DataFrame,
-    previous: DataFrame,
-    macro: str = "macro_topic_id",
-    threshold: float = 0.45,
-    most_labels: int = 64,
+    labels: DataFrame, previous: DataFrame, macro: str = "macro_topic_id", threshold: float = 0.45
 ) -> DataFrame:
     """Add ``sub_topic_id``: labels in order take the most similar earlier id still free.
 
     ``labels`` has the macro topic, ``label``, ``name`` and ``phrases``. A label without a similar
-    earlier id gets a new one, numbered when taken. The labels of a macro topic are its clusters,
-    at most five, and the decision folds over that short array. A macro topic with more than
-    ``most_labels``, which only single documents can make, is decided in distributed rounds.
+    earlier id gets a new one, numbered when taken. One way serves any number of labels.
     """
-    prepared = labels.select(
+    # Labels and earlier ids are few next to the documents, and read many times below.
+    prepared = stored(labels.select(
         macro, "label",
         normalized_set(F.col("phrases")).alias("_set"),
         sub_topic_id(F.col(macro), F.col("phrases"), F.col("name")).alias("_new_id"),
-    ).withColumn("_class", _class_of(F.col("_set")))
+    ).withColumn("_class", _class_of(F.col("_set"))))
     old, classes = _earlier_classes(previous, macro)
     pairs = similar_classes(prepared, classes, macro, threshold)
-    # One row per macro topic that is too large to fold.
-    large = [
-        r[macro] for r in labels.groupBy(macro).count().where(F.col("count") > most_labels).select(macro).collect()
-    ]
-    few = prepared.where(~F.col(macro).isin(large)) if large else prepared
-    chosen = _fold_ids(few, old, pairs, macro, most_labels)
-    if large:
-        is_large = F.col(macro).isin(large)
-        rounds = _ids_in_rounds(prepared.where(is_large), old.where(is_large), pairs.where(is_large), macro)
-        chosen = chosen.unionByName(rounds)
-    return labels.join(chosen, [macro, "label"])
-
-
-def _fold_ids(few: DataFrame, old: DataFrame, pairs: DataFrame, macro: str, most_labels: int) -> DataFrame:
-    """Decide label by label within each macro topic, all of it at most ``most_labels`` long.
-
-    No label can lose more candidates than there are other labels, so keeping as many candidates
-    as labels is exact.
-    """
-    order = [F.col("_score").desc(), F.col("_first_id"), F.col("_old_id")]
-    near = top_per_group(pairs, [macro, "_class"], order[:2], most_labels, "_rank").drop("_rank")
-    ids = top_per_group(near.join(old, [macro, "_old_class"]), [macro, "_class"], order, most_labels, "_rank")
-    options = ids.groupBy(macro, "_class").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("_rank", "_old_id"))), lambda x: x["_old_id"]).alias("_options")
-    )
-    empty = F.array().cast("array<string>")
-    rows = few.join(options, [macro, "_class"], "left")
-    entry = F.struct("label", "_new_id", F.coalesce("_options", empty).alias("_options"))
-    per_macro = rows.groupBy(macro).agg(F.array_sort(F.collect_list(entry)).alias("_labels"))
-
-    def choose(acc: Column, x: Column) -> Column:
-        names = F.transform(
-            F.sequence(F.lit(1), F.size(acc["used"]) + 1),
-            lambda i: F.when(i == 1, x["_new_id"]).otherwise(F.concat(x["_new_id"], F.lit("_"), i.cast("string"))),
-        )
-        free = F.filter(F.concat(x["_options"], names), lambda c: ~F.array_contains(acc["used"], c))
-        picked = F.get(free, F.lit(0))
-        return F.struct(
-            F.array_append(acc["used"], picked).alias("used"),
-            F.array_append(acc["out"], F.struct(x["label"].alias("label"), picked.alias("id"))).alias("out"),
-        )
-
-    label_type = few.schema["label"].dataType.simpleString()
-    state = f"struct<used:array<string>,out:array<struct<label:{label_type},id:string>>>"
-    start = F.struct(F.array().alias("used"), F.array().alias("out")).cast(state)
-    folded = F.aggregate("_labels", start, lambda acc, x: choose(acc, x).cast(state), lambda acc: acc["out"])
-    return per_macro.select(macro, F.inline(folded).alias("label", "sub_topic_id"))
+    return labels.join(_ids_in_rounds(prepared, old, pairs, macro), [macro, "label"])
 
 
 def _ids_in_rounds(members: DataFrame, old: DataFrame, pairs: DataFrame, macro: str) -> DataFrame:
-    """The same decision for any number of labels.
+    """Decide as label by label would, but all labels at once.
 
     Every label asks the class of earlier ids it likes best; a class with fewer ids than askers
     keeps the earliest labels and turns the later ones away, who then ask their next class. Since
     all classes prefer early labels, the end is what deciding label by label gives. Each round
-    handles all labels at once, and a round without a turn-down is the last.
+    handles all labels at once, and a round without a turn-down is the last. A class that is full turns away all later
+    labels for good, so rounds are as many as the longest chain of classes that fill one after another: at most
+    the similar earlier sets of one label.
     """
     liked = F.array_sort(
         F.collect_list(F.struct((-F.col("_score")).alias("s"), F.col("_first_id").alias("f"), F.col("_old_class").alias("c"), "_seats"))

@@ -78,7 +78,7 @@ def assign_sub_topics(
         )
         # Labels are text, so that clusters and single documents can be stacked; up to five
         # clusters sort alike as numbers and as text.
-        labels = labels.withColumn("label", F.col("label").cast("string"))
+        labels = stored(labels.select("macro_topic_id", "video_id", F.col("label").cast("string").alias("label")))
         phrases = cluster_phrases(weights, labels, ["macro_topic_id"], "video_id").drop("scores")
         all_labels = labels.select(*LABEL).distinct()
         described.append(
@@ -110,12 +110,12 @@ def assign_sub_topics(
     named = reduce(DataFrame.unionByName, described).withColumn(
         "name", readable_name(F.col("phrases"), F.col("titles"))
     )
-    payload = stable_ids(checkpointed(named.drop("titles")), previous, threshold=threshold).select(
+    payload = stable_ids(stored(named.drop("titles")), previous, threshold=threshold).select(
         *LABEL, "sub_topic_id", F.col("name").alias("sub_topic_name"),
         displayed_keywords(F.col("phrases")).alias("sub_topic_keywords"),
     )
-    assigned = reduce(DataFrame.unionByName, members).join(payload, LABEL).drop(*LABEL)
-    return assigned.unionByName(other)
+    assigned = reduce(DataFrame.unionByName, members).join(checkpointed(payload), LABEL)
+    return assigned.select("video_id", "sub_topic_id", "sub_topic_name", "sub_topic_keywords").unionByName(other)
 
 
 def _numbered_documents(docs: DataFrame) -> DataFrame:

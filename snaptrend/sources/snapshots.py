@@ -58,21 +58,27 @@ def write_snapshot(df: DataFrame, path: str, spec: TableSpec) -> None:
     writer.parquet(path)
 
 
+def run_dates(spark: SparkSession, path: str, column: str = "run_date") -> list[date]:
+    """Run dates of a partitioned snapshot, from the names of its folders: one listing, no file is opened."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in files.listStatus(where)] if files.exists(where) else []
+    found = (n.removeprefix(f"{column}=") for n in names if n.startswith(f"{column}="))
+    return sorted(date.fromisoformat(n) for n in found if n != "__HIVE_DEFAULT_PARTITION__")
+
+
 def read_snapshot(
     spark: SparkSession, path: str, spec: TableSpec, run_date: str | date | None = None
 ) -> DataFrame:
     """Snapshot of one run date, or the newest when none is given; a missing date is an error.
 
-    Only the chosen partition is read: a date is a literal partition filter, the newest one is a
-    scalar subquery over the partition column.
+    Only the folder of the chosen date is listed and read.
     """
-    df = spark.read.schema(spec.schema).parquet(path)
-    if run_date is None:
-        return df.where(F.col("run_date") == latest_run_date(df))
-    chosen = df.where(F.col("run_date") == F.lit(as_date(run_date, "run_date")))
-    if chosen.isEmpty():
-        raise FileNotFoundError(f"no snapshot for run_date {run_date} in {path}")
-    return chosen
+    present = run_dates(spark, path)
+    day = as_date(run_date, "run_date") if run_date is not None else max(present, default=None)
+    if day not in present:
+        raise FileNotFoundError(f"no snapshot for run_date {run_date or '(newest)'} in {path}")
+    return spark.read.schema(spec.schema).option("basePath", path).parquet(f"{path.rstrip('/')}/run_date={day}")
 
 
 def latest_run_date(df: DataFrame, column: str = "run_date") -> Column:

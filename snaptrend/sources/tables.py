@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from snaptrend.functions.dates import as_date
@@ -74,22 +74,26 @@ def append_rows(df: DataFrame, database: str, spec: TableSpec) -> None:
 def replace_run_dates(
     df: DataFrame, database: str, spec: TableSpec, run_dates: Sequence[str | date]
 ) -> None:
-    """Replace some run dates; a date without rows ends up empty.
+    """Replace some run dates; a date without rows ends up empty, a row of another date is an error.
 
-    One dynamic overwrite writes all of them. It touches only partitions it has rows for, so the
-    other dates are dropped afterwards.
+    One dynamic overwrite writes all of them, and notes in passing which dates it had rows for. It touches
+    only those partitions, so the others are dropped afterwards.
     """
     spark, table = df.sparkSession, f"{database}.{spec.name}"
-    days = [as_date(d, "run_date") for d in run_dates]
-    rows = align(df, spec.schema).where(F.col("run_date").isin(days))
-    filled = {r["run_date"] for r in rows.select("run_date").distinct().collect()}
+    days = sorted({as_date(d, "run_date") for d in run_dates})
+    foreign = F.raise_error(F.concat(F.lit("run_date is not to be replaced: "), F.coalesce(F.col("run_date").cast("string"), F.lit("null"))))
+    rows = align(df, spec.schema).withColumn(
+        "run_date", F.when(F.col("run_date").isin(days), F.col("run_date")).otherwise(foreign.cast("date"))
+    )
+    seen = Observation()
+    # At most as many dates as are replaced.
+    rows = rows.observe(seen, F.collect_set("run_date").alias("days"))
     keys = ["run_date", *spec.cluster]
     previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        if filled:
-            _ordered(rows, spark, table).sortWithinPartitions(*keys).write.insertInto(table, overwrite=True)
+        _ordered(rows, spark, table).sortWithinPartitions(*keys).write.insertInto(table, overwrite=True)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
-    for day in sorted(set(days) - filled):
+    for day in sorted(set(days) - set(seen.get["days"])):
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (run_date = DATE'{day}')")

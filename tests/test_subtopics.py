@@ -148,7 +148,7 @@ def test_rounds_decide_like_the_fold(spark):
     new_ids = {i: f"m__name__{hashlib.sha1('|'.join(kw).encode()).hexdigest()[:8]}" for i, kw in labels}
     want = greedy([(i, new_ids[i], kw) for i, kw in labels], previous)
     fold = {r.label: r.sub_topic_id for r in stable_ids(frame, old).collect()}
-    rounds = {r.label: r.sub_topic_id for r in stable_ids(frame, old, most_labels=4).collect()}
+    rounds = {r.label: r.sub_topic_id for r in stable_ids(frame, old).collect()}
     assert fold == want
     assert len(set(rounds.values())) == 30
     assert rounds == want

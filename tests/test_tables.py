@@ -48,7 +48,10 @@ def test_layers_evolution_and_replacement(spark):
     assert tables.add_missing_columns(spark, "t_gold", spec) == []
     rows = spark.createDataFrame([(D1, "a"), (D2, "b")], "run_date date, topic_id string")
     tables.append_rows(rows, "t_gold", spec)
-    tables.replace_run_dates(rows.withColumn("topic_id", F.lit("z")), "t_gold", spec, [D2])
+    with pytest.raises(Exception, match="not to be replaced"):
+        tables.replace_run_dates(rows, "t_gold", spec, [D2])
+    assert spark.table("t_gold.old_topics").count() == 2
+    tables.replace_run_dates(rows.where(F.col("run_date") == D2).withColumn("topic_id", F.lit("z")), "t_gold", spec, [D2])
     assert sorted((r.topic_id, r.run_date) for r in spark.table("t_gold.old_topics").collect()) == [("a", D1), ("z", D2)]
     tables.replace_run_dates(rows.where("false"), "t_gold", spec, [D2])
     assert [r.topic_id for r in spark.table("t_gold.old_topics").collect()] == ["a"]
