@@ -89,8 +89,8 @@ def iso_duration_seconds(col: Column) -> Column:
     time_part = "".join(rf"(?:{number}{unit})?" for unit in "HMS")
     pattern = rf"^([+-])?P(?!\b){date_part}(?:T{time_part})?$"
 
-    # One pass cuts the text into its numbers; the parts are computed for every row, so that the
-    # generated code shares that pass between them.
+    # One replacement cuts the text into its numbers; the parts are computed for every row, so that the
+    # generated code shares it between them. The pattern is tried once more to tell unreadable text.
     parts = F.split(F.regexp_replace(col, pattern, "$1|$4|$5|$6|$7|$8"), r"\|")
 
     def part(position: int, seconds: int) -> Column:

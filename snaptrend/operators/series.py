@@ -20,8 +20,7 @@ def densify(
     """One row per key and day of the window; a day without a row gets zeros.
 
     Zeros are filled for absent days only, a null of a present day stays. Each key makes its own
-    calendar, and those rows are merged with the data in one aggregation: a key and day has at
-    most one data row.
+    calendar, to which the data is joined: a key and day has at most one data row.
     """
     calendar = df.select(*keys).distinct().select(
         *keys,
