@@ -570,4 +570,16 @@ SELECT video_id, CASE WHEN is_even THEN 'even' ELSE 'odd' END AS macro_topic_id,
        'grp' || kind || ' grp' || kind || ' core' || kind || ' base' || kind || ' tail' || kind || 'x' || (k % 3)
          || ' end' || kind || 'x' || (k % 2) AS source_text
 FROM o""",
+    "snapshot_round_trip": """
+WITH o AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS run_date, CAST(o_orderkey AS VARCHAR) AS video_id,
+                  CAST(round(o_totalprice * 100) AS BIGINT) AS view_count, o_orderkey AS k FROM orders)
+SELECT run_date, video_id, view_count, 'again' AS note FROM o WHERE k = (SELECT max(k) FROM o WHERE run_date = (SELECT max(run_date) FROM o))
+UNION ALL
+SELECT run_date, video_id, view_count, NULL FROM o WHERE run_date = (SELECT min(run_date) FROM o)""",
+    "table_changes": """
+WITH o AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS run_date, CAST(o_orderkey AS VARCHAR) AS video_id,
+                  CAST(round(o_totalprice * 100) AS BIGINT) AS view_count FROM orders),
+l AS (SELECT run_date, video_id, view_count + 1 AS view_count FROM o WHERE run_date = (SELECT max(run_date) FROM o))
+SELECT *, NULL AS note FROM o WHERE run_date > (SELECT min(run_date) FROM o) AND run_date < (SELECT max(run_date) FROM o)
+UNION ALL SELECT *, 'replaced' FROM l UNION ALL SELECT *, 'rebuilt' FROM l""",
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,9 +16,9 @@ from snaptrend.operators.deltas import with_changes
 from snaptrend.plans import export, ingest, momentum, topic_gold
 from snaptrend.plans.video_topics import previous_sub_topics
 from snaptrend.plans.video_topics import video_topics as assign_topics
-from snaptrend.schemas import VIDEOS_RAW
-from snaptrend.session import checkpointed
-from snaptrend.sources import landed
+from snaptrend.schemas import VIDEOS_RAW, TableSpec
+from snaptrend.session import checkpoint_folder, checkpointed, stored
+from snaptrend.sources import landed, snapshots, tables
 from snaptrend.sources.json_sink import to_records
 from snaptrend.sources.snapshots import align, coerce
 from workload import adapters as A
@@ -651,3 +652,50 @@ def stable_ids_jaccard(spark, folder):
     return subtopics.stable_ids(labels, previous).select(
         "macro_topic_id", F.col("label").cast("bigint").alias("label"), "name", "sub_topic_id"
     )
+
+
+# --- tables and snapshots -------------------------------------------------------------------
+
+MONTHLY = TableSpec("orders_monthly", "silver", "run_date date, video_id string, view_count bigint, note string", ("video_id",))
+
+
+def _monthly_orders(spark, folder):
+    return A.order_videos(spark, folder).select("run_date", "video_id", "view_count")
+
+
+@query
+def snapshot_round_trip(spark, folder):
+    """All orders written as monthly snapshots, the last of the newest month once more; two months read back."""
+    path = f"{checkpoint_folder(spark)}/snapshots-{uuid.uuid4()}"
+    rows = _monthly_orders(spark, folder)
+    snapshots.write_snapshot(rows, path, MONTHLY)
+    newest = snapshots.read_snapshot(spark, path, MONTHLY)
+    # A month that is written again is replaced as a whole.
+    last = newest.orderBy(F.col("video_id").cast("bigint").desc()).limit(1)
+    again = stored(last.withColumn("note", F.lit("again")))
+    snapshots.write_snapshot(again, path, MONTHLY)
+    return snapshots.read_snapshot(spark, path, MONTHLY).unionByName(
+        snapshots.read_snapshot(spark, path, MONTHLY, snapshots.run_dates(spark, path)[0])
+    )
+
+
+@query
+def table_changes(spark, folder):
+    """A table that is made, appended to, widened, replaced by month (one month ends up empty), and read back."""
+    database = f"changes_{uuid.uuid4().hex}"
+    tables.create_database(spark, database)
+    narrow = TableSpec("orders_monthly", "silver", "run_date date, video_id string, view_count bigint", ("video_id",))
+    rows = _monthly_orders(spark, folder)
+    tables.create_table(spark, database, narrow)
+    tables.append_rows(rows, database, narrow)
+    tables.add_missing_columns(spark, database, MONTHLY)
+    months = sorted(r[0] for r in spark.sql(f"SHOW PARTITIONS {database}.orders_monthly").select(F.substring("partition", 10, 10)).collect())
+    fresh = rows.where(F.col("run_date") == F.lit(months[-1]).cast("date")).withColumns(
+        {"view_count": F.col("view_count") + 1, "note": F.lit("replaced")}
+    )
+    tables.replace_run_dates(fresh, database, MONTHLY, [months[0], months[-1]])
+    out = stored(spark.table(f"{database}.orders_monthly").select("run_date", "video_id", "view_count", "note"))
+    tables.replace_table(out.where("note is not null"), database, MONTHLY)
+    kept = stored(spark.table(f"{database}.orders_monthly").select("run_date", "video_id", "view_count", F.lit("rebuilt").alias("note")))
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return out.unionByName(kept)
