@@ -157,8 +157,8 @@ class Index:
         window, term = window[keep], term[keep]
         edges = np.flatnonzero(np.diff(window, prepend=-1))
         ends = np.append(edges[1:], len(window))
-        for lo in range(0, len(edges), 512):
-            hi = min(lo + 512, len(edges))
+        for lo in range(0, len(edges), 128):
+            hi = min(lo + 128, len(edges))
             own = self.maxima[term[edges[lo] : ends[hi - 1]]]
             live = np.add.reduceat(own, edges[lo:hi] - edges[lo], axis=0) >= threshold - 1e-9
             for k in np.flatnonzero(live.any(axis=1)):
@@ -190,22 +190,28 @@ def indexes(benchmark: DataFrame, shard_items: int = SHARD_ITEMS) -> list[Index]
     return [Index([tuple(r) for r in items.where(cut == s).collect()]) for s in range(shards)]
 
 
+def portions(texts: list[str | None], most: int = 1_000_000) -> Iterator[tuple[int, int]]:
+    """Stretches of a batch of about so many characters, so that few are in words at a time; a longer text goes alone."""
+    lo, size = 0, 0
+    for k, text in enumerate(texts):
+        if k > lo and size + len(text or "") > most:
+            yield lo, k
+            lo, size = k, 0
+        size += len(text or "")
+    if lo < len(texts):
+        yield lo, len(texts)
+
+
 def _scan(rows: DataFrame, columns: str, index: Index, threshold: float, names: list[str]) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            texts = [words_of(t) for t in batch["text"]]
-            ends = np.cumsum([len(t) for t in texts])
-            lo = 0
-            while lo < len(texts):
-                # Some hundred thousand words at a time bound the arrays; a longer text goes alone.
-                base = ends[lo - 1] if lo else 0
-                hi = max(lo + 1, int(np.searchsorted(ends, base + 200_000, side="right")))
-                hits = list(verified(index, texts[lo:hi], threshold))
+            texts = batch["text"].tolist()
+            for lo, hi in portions(texts):
+                hits = list(verified(index, [words_of(t) for t in texts[lo:hi]], threshold))
                 if hits:
                     found = pd.DataFrame(hits, columns=["_at", *(c.split()[0] for c in HIT.split(", "))])
                     own = batch.iloc[lo:hi][names].reset_index(drop=True).iloc[found["_at"]].reset_index(drop=True)
                     yield pd.concat([own, found.drop(columns="_at")], axis=1)
-                lo = hi
 
     return rows.mapInPandas(run, f"{columns}, {HIT}")
 
@@ -239,15 +245,10 @@ def _clean(index: Index, threshold: float):
     @F.pandas_udf("boolean")
     def clean(texts: pd.Series) -> pd.Series:
         stays = np.ones(len(texts), dtype=bool)
-        words = [words_of(t) for t in texts]
-        ends = np.cumsum([len(t) for t in words])
-        lo = 0
-        while lo < len(words):
-            base = ends[lo - 1] if lo else 0
-            hi = max(lo + 1, int(np.searchsorted(ends, base + 200_000, side="right")))
-            for hit in verified(index, words[lo:hi], threshold):
+        held = texts.tolist()
+        for lo, hi in portions(held):
+            for hit in verified(index, [words_of(t) for t in held[lo:hi]], threshold):
                 stays[lo + hit[0]] = False
-            lo = hi
         return pd.Series(stays)
 
     return clean
