@@ -120,20 +120,33 @@ def sketches(docs: DataFrame) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """Least node of the component of every node that has a link: node, label.
 
-    Every round takes the least label among the neighbours and then that label's own label, which halves
-    what is left of a path; a star is done after one. All joins are by node, and sums are partial.
+    Every node points to its least neighbour if that is less, and the pointers are followed to their ends by
+    doubling. Links are then drawn between ends; those within one are gone, so each round has far fewer than the
+    last. All joins are by node, and sums are partial.
     """
-    both = stored(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = stored(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("label")))
+    ordered = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
+    edges = stored(links.where("a <> b").select(*ordered("a", "b")).distinct())
+    labels = None
     while True:
-        there = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
-        near = both.join(there, "b").groupBy("a").agg(F.min("lb").alias("m")).withColumnRenamed("a", "node")
-        step = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "m").alias("up"))
-        jump = labels.select(F.col("node").alias("up"), F.col("label").alias("top"))
-        new = stored(step.join(jump, "up").select("node", "old", F.least("up", "top").alias("label")))
-        done = new.where("old <> label").isEmpty()
-        labels = new.select("node", "label")
-        if done:
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = both.groupBy("a").agg(F.min("b").alias("m"))
+        ends = stored(least.select(F.col("a").alias("node"), F.least("a", "m").alias("up")))
+        while True:
+            above = ends.select(F.col("node").alias("up"), F.col("up").alias("top"))
+            new = stored(ends.join(above, "up").select("node", F.col("up").alias("old"), F.col("top").alias("up")))
+            done = new.where("old <> up").isEmpty()
+            ends = new.select("node", "up")
+            if done:
+                break
+        if labels is None:
+            labels = ends.select("node", F.col("up").alias("label"))
+        else:
+            moved = ends.select(F.col("node").alias("label"), "up")
+            labels = stored(labels.join(moved, "label", "left").select("node", F.coalesce("up", "label").alias("label")))
+        here = ends.select(F.col("node").alias("a"), F.col("up").alias("x"))
+        there = ends.select(F.col("node").alias("b"), F.col("up").alias("y"))
+        edges = stored(edges.join(here, "a").join(there, "b").where("x <> y").select(*ordered("x", "y")).distinct())
+        if edges.isEmpty():
             return labels
 
 
