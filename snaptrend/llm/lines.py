@@ -307,7 +307,8 @@ def without_repeats(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """
     bundles = packed(docs)
     places = verified(slices(bundles, repeated_runs(docs)))
-    cuts = places.groupBy(*KEYS).agg(F.collect_set(F.struct("a", "b")).alias("_cuts"))
+    # Stored, so that the bytes that were compared are gone before the texts are shuffled once more.
+    cuts = stored(places.groupBy(*KEYS).agg(F.collect_set(F.struct("a", "b")).alias("_cuts")))
     rows = bundles.join(cuts, list(KEYS), "left")
     names = docs.columns
     inner = [f"_c{i}" if n != "text" else "_text" for i, n in enumerate(names)]

@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 import sys
-import uuid
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snaptrend.session import checkpoint_folder
+from snaptrend.session import stored
 
 #: Identity of a row: its id and a hash of its whole text. Rows equal in both count as one document.
 KEYS = ("_id", "_hash")
@@ -23,6 +22,8 @@ def ship(name: str) -> None:
 
 ship(__name__)
 
+__all__ = ["KEYS", "KEY_SCHEMA", "keyed", "ship", "stored", "table", "text_of"]
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -40,17 +41,3 @@ def keyed(docs: DataFrame, *columns: Column) -> DataFrame:
         F.xxhash64(text_of()).alias("_hash"),
         *columns,
     )
-
-
-
-
-def stored(df: DataFrame) -> DataFrame:
-    """Cut lineage by a written table in the shared folder of checkpoints: columns pack better than rows.
-
-    Lost executors read it again. The folder keeps it, as it keeps checkpoints, until it is emptied.
-    """
-    path = f"{checkpoint_folder(df.sparkSession)}/table-{uuid.uuid4()}"
-    df.write.option("compression", "zstd").parquet(path)
-    # Executors delete the shuffles of a finished step once the driver's garbage collector has seen them go.
-    df.sparkSession.sparkContext._jvm.System.gc()
-    return df.sparkSession.read.schema(df.schema).parquet(path)
