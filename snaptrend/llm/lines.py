@@ -1,16 +1,16 @@
-"""Repeated passages across documents: content-defined chunks of short lines, removed after byte comparison.
+"""Repeated passages across documents: content-defined chunks of words, removed after byte comparison.
 
-Texts are read as lines: a physical line is wrapped after punctuation and after some word endings, so that
-a passage in the middle of a long line has lines of its own. A rolling hash over two line hashes is least
-somewhere in every window of lines; those places are chunk boundaries, and they depend on nothing further away
-than the window. Chunks whose hash occurs in several documents are seeds. Runs of neighbouring seeds
+Texts are read as words, whatever their script and case, so that a passage in the middle of a long line has words of its
+own; a sign of Chinese or Japanese writing is a word. A rolling hash over two word hashes is least somewhere in
+every window of words; those places are chunk boundaries, and they depend on nothing further away than the window.
+Two windows and a few words, some 50 words, are sure to hold a whole chunk. Chunks whose hash occurs in several documents are seeds. Runs of neighbouring seeds
 are compared byte by byte with the earliest document that holds them, and grown to both sides as far as the
 bytes agree.
 """
 
 from __future__ import annotations
 
-import string
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,11 +23,13 @@ from snaptrend.llm.rows import KEY_SCHEMA, KEYS, keyed, ship, stored, table
 
 ship(__name__)
 
-#: Characters that end a line when white space follows.
-ENDS = string.punctuation + "aeiouyr"
-#: Lines in a window, each of which has a boundary.
-WINDOW = 10
-#: A passage that is removed has at least so many words, and two lines.
+#: Signs that are words of their own: writing without white space between words.
+WIDE = ((0x2E80, 0xA4CF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x20000, 0x3FFFF))
+#: Words in a window, each of which has a boundary.
+WINDOW = 22
+#: Words of the shortest chunk that is looked up.
+CHUNK = 4
+#: A passage that is removed has at least so many words.
 WORDS = 30
 #: Characters to either side that a run is sent with, to be grown.
 MARGIN = 160
@@ -40,6 +42,28 @@ _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 # --- chunks of one text ---------------------------------------------------------------------
 
+_WIDE = "".join(f"{chr(a)}-{chr(b)}" for a, b in WIDE)
+WORD = re.compile(rf"[{_WIDE}]|[^\s{_WIDE}]+")
+
+
+def word_count(text: str) -> int:
+    return len(text.split()) if text.isascii() else sum(1 for _ in WORD.finditer(text))
+
+
+def within_word(text: str, at: int) -> bool:
+    """Whether a place parts a word in two."""
+    if not 0 < at < len(text) or text[at - 1].isspace() or text[at].isspace():
+        return False
+    return not any(a <= ord(c) <= b for c in text[at - 1 : at + 1] for a, b in WIDE)
+
+
+def sliding(x: np.ndarray, width: int, fold) -> np.ndarray:
+    """Least or greatest value of every window, by windows of doubled width."""
+    size = 1
+    while 2 * size <= width:
+        x, size = fold(x[:-size], x[size:]), 2 * size
+    return fold(x[: len(x) - (width - size)], x[width - size :]) if width > size else x
+
 
 def mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
@@ -50,8 +74,6 @@ def mixed(x: np.ndarray) -> np.ndarray:
 class Chunker:
     def __init__(self):
         self.powers = self.inverse = np.ones(1, np.uint64)
-        self.ends = np.zeros(128, bool)
-        self.ends[[ord(c) for c in ENDS]] = True
 
     def _grow(self, n: int) -> None:
         if n > len(self.powers):
@@ -62,7 +84,7 @@ class Chunker:
             self.powers, self.inverse = (np.cumprod(s) for s in steps)
 
     def chunks(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Text, start, end and hash of the chunks of two lines or more; many short texts go at once."""
+        """Text, start, end and hash of the chunks of ``CHUNK`` words or more; many short texts go at once."""
         parts, held, size = [], [], 0
         for k, text in enumerate(texts):
             for at in range(0, len(text), PIECE):
@@ -79,43 +101,51 @@ class Chunker:
         return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
     def _pieces(self, held: list[tuple[int, int, str]]):
-        # A line feed ends the last line of a text; lines and chunks never reach into the next text.
+        # A line feed parts two texts; words and chunks never reach into the next text.
         codes = np.frombuffer("\n".join(x[2] for x in held).encode("utf-32-le", "surrogatepass"), np.uint32)
         n = len(codes)
         self._grow(n + 1)
         size = np.array([len(x[2]) for x in held])
         offset = np.cumsum(size + 1) - size - 1
         space = (codes == 32) | ((codes >= 9) & (codes <= 13))
-        after = np.flatnonzero(space[1:] & ~space[:-1])
-        last = after[self.ends[np.minimum(codes[after], 127)] | (codes[after + 1] == 10)]
-        # Lines go from one past the white space after the last end to the next end.
-        stop = np.append(last + 1, n) if not len(last) or last[-1] + 1 < n else last + 1
-        start = np.concatenate([[0], stop[:-1] + 1])
-        owner = np.searchsorted(offset, start, side="right") - 1
-        # White space before the line feed at the end of a text leaves its last line open; it ends with the text.
-        stop = np.minimum(stop, (offset + size)[owner])
-        full = start < stop
-        start, stop, owner = start[full], stop[full], owner[full]
-        if len(start) < 2:
+        parted = space.copy()
+        if n and codes.max() >= WIDE[0][0]:
+            for lo, hi in WIDE:
+                parted |= (codes >= lo) & (codes <= hi)
+        edge = np.ones(n + 1, bool)
+        edge[1:-1] = parted[1:] | parted[:-1]
+        start, stop = np.flatnonzero(edge[:-1] & ~space), np.flatnonzero(edge[1:] & ~space) + 1
+        if len(start) < CHUNK:
             return (np.zeros(0, np.int64),) * 4
+        owner = np.searchsorted(offset, start, side="right") - 1
         weighed = codes * self.powers[:n]
         weighed[space] = 0
         upto = np.empty(n + 1, np.uint64)
         upto[0] = 0
         np.cumsum(weighed, out=upto[1:])
-        line = mixed((upto[stop] - upto[start]) * self.inverse[start])
+        word = mixed((upto[stop] - upto[start]) * self.inverse[start])
         new = np.concatenate([[True], owner[1:] != owner[:-1]])
-        before = np.concatenate([np.zeros(1, np.uint64), line[:-1]])
+        before = np.concatenate([np.zeros(1, np.uint64), word[:-1]])
         before[new] = 0
-        rolled = mixed(line * np.uint64(3) + before)
+        rolled = word * np.uint64(3) + before
+        # Words that go on with a short period are told apart by their number in it, or every one would be a boundary.
+        place = np.arange(len(word))
+        for period in range(1, CHUNK):
+            again = np.zeros(len(word), bool)
+            again[period:] = (word[period:] == word[:-period]) & (owner[period:] == owner[:-period])
+            if again.any():
+                number = place - np.maximum.accumulate(np.where(again, -1, place))
+                rolled += number.astype(np.uint64) * (_P << np.uint64(period))
+        rolled = mixed(rolled)
         closing = np.concatenate([new[1:], [True]])
         if len(rolled) >= WINDOW:
-            view = np.lib.stride_tricks.sliding_window_view(rolled, WINDOW)
-            inside = owner[: len(view)] == owner[WINDOW - 1 :]
-            closing[(view.argmin(axis=1) + np.arange(len(view)))[inside]] = True
+            least = sliding(rolled, WINDOW, np.minimum)
+            least[owner[: len(least)] != owner[WINDOW - 1 :]] = 0
+            closed = np.zeros(WINDOW - 1, np.uint64)
+            closing |= sliding(np.concatenate([closed, least, closed]), WINDOW, np.maximum) == rolled
         final = np.flatnonzero(closing)
         begin = np.concatenate([[0], final[:-1] + 1])
-        several = final > begin
+        several = final - begin >= CHUNK - 1
         a, b, who = start[begin[several]], stop[final[several]], owner[final[several]]
         found = mixed((upto[b] - upto[a]) * self.inverse[a] + (b - a).astype(np.uint64))
         base = np.array([x[1] for x in held])[who] - offset[who]
@@ -275,12 +305,11 @@ def passages(text: str, places: list[tuple[int, int]], words: int = WORDS) -> li
             joined.append([a, b])
     kept = []
     for a, b in joined:
-        while a < b and a > 0 and not text[a - 1].isspace() and not text[a].isspace():
+        while a < b and within_word(text, a):
             a += 1
-        while b > a and b < len(text) and not text[b - 1].isspace() and not text[b].isspace():
+        while b > a and within_word(text, b):
             b -= 1
-        inside = text[a:b].split()
-        if len(inside) >= words and sum(w[-1] in ENDS for w in inside[:-1]):
+        if word_count(text[a:b]) >= words:
             kept.append((a, b))
     return kept
 
@@ -300,7 +329,7 @@ def without_repeats(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """Documents with all their columns and one more, ``removed_words``; ``text`` lacks the passages
     that an earlier document (smaller id) holds.
 
-    Passages of under ``words`` words or of one line stay, as does what repeats within one document only. Rows that
+    Passages of under ``words`` words stay, as does what repeats within one document only. Rows that
     share an id are one document, so nothing goes for being in another of them; rows without id share one that comes
     first. Null texts stay null, a text of which nothing is left becomes empty; no row is dropped. Columns of
     any name are passed on.
@@ -320,7 +349,7 @@ def without_repeats(docs: DataFrame, words: int = WORDS) -> DataFrame:
             for blob, places in zip(batch["_blob"], batch["_cuts"], strict=True):
                 text = unpacked(blob)
                 found = passages(text, [(p["a"], p["b"]) for p in places], words) if places is not None else []
-                gone.append(sum(len(text[a:b].split()) for a, b in found))
+                gone.append(sum(word_count(text[a:b]) for a, b in found))
                 texts.append(cut_out(text, found) if found else text)
             yield batch.assign(_text=texts, _gone=gone)[[*inner, "_gone"]]
 
