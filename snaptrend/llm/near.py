@@ -36,15 +36,16 @@ AGREE = 2
 #: Texts of one block, and runs; two blocks meet in a task.
 BLOCK_TEXTS, BLOCK_RUNS = 256, 400_000
 
-_ODD = (np.arange(1, UNITS + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03)) | np.uint64(1)
-
-
 def mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
     return x ^ (x >> np.uint64(33))
 
 
+#: Unrelated seeds, one for every unit.
+_SEEDS = mixed(np.arange(1, UNITS + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
+
+
 def runs_of(text: str | None) -> tuple[np.ndarray, int]:
     """Hashes of the five-word runs in text order, and one of all words; a shorter text is one run, if it has words."""
     words = WORD.findall((text or "").lower())
@@ -84,7 +85,7 @@ def units(runs: np.ndarray) -> np.ndarray:
         few = min(taken, n)
         least = np.empty((count, few), np.int64)
         for lo in range(0, count, 8):
-            ranked = mixed_rows(marks, _ODD[lo : lo + 8])[: count - lo]
+            ranked = mixed_rows(marks, _SEEDS[lo : lo + 8])[: count - lo]
             least[lo : lo + 8] = np.argpartition(ranked, few - 1, axis=1)[:, :few] if few < n else np.arange(n)
         picked = marks[np.sort(least, axis=1)]
         key = np.full(count, kind, np.uint64) * np.uint64(0xA24BAED4963EE407) + np.arange(count, dtype=np.uint64)
@@ -94,9 +95,9 @@ def units(runs: np.ndarray) -> np.ndarray:
     return np.concatenate(keys) if keys else np.zeros(0, np.uint64)
 
 
-def mixed_rows(marks: np.ndarray, odd: np.ndarray) -> np.ndarray:
-    x = marks[None, :] * odd[:, None]
-    return x ^ (x >> np.uint64(29))
+def mixed_rows(marks: np.ndarray, seeds: np.ndarray) -> np.ndarray:
+    """Ranks of the runs under every unit's own hash; multiples of one number would agree or fail together."""
+    return mixed(marks[None, :] ^ seeds[:, None])
 
 
 def sketches(docs: DataFrame) -> DataFrame:

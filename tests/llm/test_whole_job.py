@@ -2,9 +2,10 @@
 
 import random
 
+import numpy as np
 import pytest
 
-from snaptrend.llm import lines
+from snaptrend.llm import lines, near
 
 
 def prose(seed, n, letters="abcdefghijklmnopqrstuvwxyz"):
@@ -46,3 +47,17 @@ def test_passages_of_other_scripts_go(spark):
     got = {r.doc_id: r for r in lines.without_repeats(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
     assert [got[2 * k].removed_words for k in range(4)] == [0] * 4
     assert [got[2 * k + 1].removed_words for k in range(4)] == [60] * 4
+
+
+# --- near-duplicates ------------------------------------------------------------------------
+
+
+def test_units_fail_apart():
+    """Pairs of similarity 0.8 that agree in too few units: about one in 20,000."""
+    rng, n, missed = np.random.default_rng(7), 45, 0
+    for _ in range(4000):
+        x = rng.integers(0, 2**63, n).astype(np.uint64)
+        y = x.copy()
+        y[rng.choice(n, n // 9, replace=False)] = rng.integers(0, 2**63, n // 9).astype(np.uint64)
+        missed += (near.units(x) == near.units(y)).sum() < near.AGREE
+    assert missed <= 1
