@@ -235,6 +235,7 @@ def unpacked(blob: bytes | None) -> str | None:
 
 
 PLACE = ("ki", "ka", "kb")
+SIDES = ("body", "left", "right", "k_body", "k_left", "k_right")
 SLICE = "ki bigint, ka int, kb int, _id bigint, _hash bigint, a int, b int, body string, left string, right string, wanted boolean"
 
 
@@ -277,6 +278,16 @@ def common_prefix(x: str, y: str) -> int:
     return lo
 
 
+def equal_stretches(x: str, y: str) -> list[tuple[int, int]]:
+    """Stretches in which two texts that lie side by side agree."""
+    if x == y:
+        return [(0, len(x))]
+    n = min(len(x), len(y))
+    u, v = (np.frombuffer(z[:n].encode("utf-32-le", "surrogatepass"), np.uint32) for z in (x, y))
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], u == v, [False]]).astype(np.int8)))
+    return list(zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True))
+
+
 def verified(parts: DataFrame) -> DataFrame:
     """Places whose bytes agree with the earliest document's, grown to both sides."""
     wanted = parts.where("wanted").select(*PLACE, *(F.col(c).alias(f"k_{c}") for c in ("body", "left", "right")))
@@ -284,13 +295,15 @@ def verified(parts: DataFrame) -> DataFrame:
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            same = batch[batch["body"] == batch["k_body"]]
-            left = [common_prefix(x[::-1], y[::-1]) for x, y in zip(same["left"], same["k_left"], strict=True)]
-            right = [common_prefix(x, y) for x, y in zip(same["right"], same["k_right"], strict=True)]
-            yield pd.DataFrame({
-                "_id": same["_id"], "_hash": same["_hash"],
-                "a": same["a"] - np.array(left, np.int32), "b": same["b"] + np.array(right, np.int32),
-            })
+            out = []
+            for i, h, at, *sides in batch[["_id", "_hash", "a", *SIDES]].itertuples(index=False, name=None):
+                body, left, right, k_body, k_left, k_right = sides
+                # Where bytes differ the run is parted, and what agrees on either side of them stays.
+                for a, b in equal_stretches(body, k_body):
+                    more = common_prefix(left[::-1], k_left[::-1]) if a == 0 else 0
+                    on = common_prefix(right, k_right) if b == len(body) == len(k_body) else 0
+                    out.append((i, h, at + a - more, at + b + on))
+            yield pd.DataFrame(out, columns=["_id", "_hash", "a", "b"])
 
     return pairs.mapInPandas(compare, f"{KEY_SCHEMA}, a int, b int")
 

@@ -61,3 +61,14 @@ def test_units_fail_apart():
         y[rng.choice(n, n // 9, replace=False)] = rng.integers(0, 2**63, n // 9).astype(np.uint64)
         missed += (near.units(x) == near.units(y)).sum() < near.AGREE
     assert missed <= 1
+
+
+# --- passages, compared and grown -----------------------------------------------------------
+
+
+def test_one_other_white_space_leaves_the_rest_of_a_run(spark):
+    words = prose("run", 300).split(" ")
+    other = " ".join(words[:150]) + "\n" + " ".join(words[150:])
+    rows = spark.createDataFrame([(1, " ".join(words)), (2, f"{prose('x', 40)} {other}")], "doc_id int, text string")
+    got = {r.doc_id: r for r in lines.without_repeats(rows).collect()}
+    assert got[2].removed_words == 300 and got[2].text.strip() == prose("x", 40)
