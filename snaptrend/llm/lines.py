@@ -11,6 +11,7 @@ bytes agree.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +32,7 @@ WINDOW = 22
 CHUNK = 4
 #: A passage that is removed has at least so many words.
 WORDS = 30
-#: Characters to either side that a run is sent with, to be grown.
+#: Characters to either side that a run is sent with, to be grown; where they all agree, eight times as many follow.
 MARGIN = 160
 #: Characters that are hashed in one go; a boundary is forced where a longer text is parted.
 PIECE = 1 << 18
@@ -234,12 +235,12 @@ def unpacked(blob: bytes | None) -> str | None:
     return zstandard.ZstdDecompressor().decompress(bytes(blob)).decode("utf-8", "surrogatepass")
 
 
-PLACE = ("ki", "ka", "kb")
+PLACE = ("ki", "ka", "kb", "side")
 SIDES = ("body", "left", "right", "k_body", "k_left", "k_right")
-SLICE = "ki bigint, ka int, kb int, _id bigint, _hash bigint, a int, b int, body string, left string, right string, wanted boolean"
+SLICE = "ki bigint, ka int, kb int, side int, _id bigint, _hash bigint, a int, b int, body string, left string, right string, wanted boolean"
 
 
-def slices(bundles: DataFrame, runs: DataFrame) -> DataFrame:
+def slices(bundles: DataFrame, runs: DataFrame, margin: int) -> DataFrame:
     """Bytes of every run and of its like in the earliest document, with what surrounds them.
 
     A document gets the list of its own runs and of those that others want from it, each place once.
@@ -259,8 +260,8 @@ def slices(bundles: DataFrame, runs: DataFrame) -> DataFrame:
                 for x in places:
                     p = x["p"]
                     a, b = p["a"], p["b"]
-                    parts = text[a:b], text[max(0, a - MARGIN) : a], text[b : b + MARGIN]
-                    out.append((p["ki"], p["ka"], p["kb"], i, h, a, b, *parts, x["wanted"]))
+                    parts = text[a:b], text[max(0, a - margin) : a] if p["side"] <= 0 else "", text[b : b + margin] if p["side"] >= 0 else ""
+                    out.append((p["ki"], p["ka"], p["kb"], p["side"], i, h, a, b, *parts, x["wanted"]))
                 if len(out) > 1000:
                     yield pd.DataFrame(out, columns=names)
                     out = []
@@ -288,24 +289,81 @@ def equal_stretches(x: str, y: str) -> list[tuple[int, int]]:
     return list(zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True))
 
 
-def verified(parts: DataFrame) -> DataFrame:
-    """Places whose bytes agree with the earliest document's, grown to both sides."""
+FOUND = f"{KEY_SCHEMA}, a int, b int, ki bigint, d int, lo boolean, ro boolean"
+
+
+def verified(parts: DataFrame, margin: int) -> DataFrame:
+    """Places whose bytes agree with the earliest document's (ki, at a distance of d), grown to both sides, and whether
+    the whole margin agreed there."""
     wanted = parts.where("wanted").select(*PLACE, *(F.col(c).alias(f"k_{c}") for c in ("body", "left", "right")))
-    pairs = parts.where("not wanted").drop("wanted").join(wanted.dropDuplicates([*PLACE, "k_body"]), list(PLACE))
+    pairs = parts.where("not wanted").drop("wanted").join(wanted.distinct(), list(PLACE))
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for i, h, at, *sides in batch[["_id", "_hash", "a", *SIDES]].itertuples(index=False, name=None):
+            for i, h, at, ki, ka, *sides in batch[["_id", "_hash", "a", "ki", "ka", *SIDES]].itertuples(index=False, name=None):
                 body, left, right, k_body, k_left, k_right = sides
                 # Where bytes differ the run is parted, and what agrees on either side of them stays.
                 for a, b in equal_stretches(body, k_body):
                     more = common_prefix(left[::-1], k_left[::-1]) if a == 0 else 0
                     on = common_prefix(right, k_right) if b == len(body) == len(k_body) else 0
-                    out.append((i, h, at + a - more, at + b + on))
-            yield pd.DataFrame(out, columns=["_id", "_hash", "a", "b"])
+                    out.append((i, h, at + a - more, at + b + on, ki, ka - at, more == margin, on == margin))
+            yield pd.DataFrame(out, columns=[c.split()[0] for c in FOUND.split(", ")])
+
+    return pairs.mapInPandas(compare, FOUND)
 
-    return pairs.mapInPandas(compare, f"{KEY_SCHEMA}, a int, b int")
+
+def further(places: list[tuple]) -> set[tuple[int, int, int, int]]:
+    """Where growing goes on in a document: place, document and place there, side.
+
+    An edge inside what is already found goes on at the end of that; if found at the same distance, that place goes on itself.
+    """
+    joined: list[list[int]] = []
+    for a, b, *_ in sorted(places):
+        if joined and a <= joined[-1][1]:
+            joined[-1][1] = max(joined[-1][1], b)
+        else:
+            joined.append([a, b])
+    starts = [a for a, _ in joined]
+    reach: dict[tuple[int, int], list[tuple]] = {}
+    for a, b, ki, d, lo, ro in places:
+        reach.setdefault((ki, d), []).append((a, b, lo, ro))
+    out = set()
+    for (ki, d), own in reach.items():
+        opened = {(x, side) for a, b, lo, ro in own for x, side, on in ((a, -1, lo), (b, 1, ro)) if on}
+        for x, side in opened:
+            if any(a < x < b or (x == a and side > 0) or (x == b and side < 0) for a, b, _, _ in own):
+                continue
+            a, b = joined[bisect_right(starts, x) - 1]
+            at = b if side > 0 else a
+            if at + d >= 0:
+                out.add((at, ki, at + d, side))
+    return out
+
+
+def grown(bundles: DataFrame, runs: DataFrame) -> DataFrame:
+    """Verified places, each grown until a byte differs or a text ends."""
+    margin = MARGIN
+    found = stored(verified(slices(bundles, runs.withColumn("side", F.lit(0)), margin), margin))
+    done = found
+
+    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for i, held in zip(batch["_id"], batch["held"], strict=True):
+                places = [(p["a"], p["b"], p["ki"], p["d"], p["lo"], p["ro"]) for p in held]
+                out += [(i, at, at, ki, ka, ka, side) for at, ki, ka, side in further(places)]
+            yield pd.DataFrame(out, columns=["_id", "a", "b", "ki", "ka", "kb", "side"])
+
+    while not found.where("lo or ro").isEmpty():
+        margin *= 8
+        seen = done.withColumn("lo", F.lit(False)).withColumn("ro", F.lit(False)).unionByName(found)
+        texts = seen.join(found.where("lo or ro").select(*KEYS).distinct(), list(KEYS), "left_semi")
+        held = texts.groupBy(*KEYS).agg(F.collect_set(F.struct("a", "b", "ki", "d", "lo", "ro")).alias("held"))
+        asked = held.mapInPandas(ask, "_id bigint, a int, b int, ki bigint, ka int, kb int, side int").distinct()
+        found = stored(verified(slices(bundles, stored(asked), margin), margin))
+        done = done.unionByName(found)
+    return done
 
 
 def passages(text: str, places: list[tuple[int, int]], words: int = WORDS) -> list[tuple[int, int]]:
@@ -348,7 +406,7 @@ def without_repeats(docs: DataFrame, words: int = WORDS) -> DataFrame:
     any name are passed on.
     """
     bundles = packed(docs)
-    places = verified(slices(bundles, repeated_runs(docs)))
+    places = grown(bundles, repeated_runs(docs))
     # Stored, so that the bytes that were compared are gone before the texts are shuffled once more.
     cuts = stored(places.groupBy(*KEYS).agg(F.collect_set(F.struct("a", "b")).alias("_cuts")))
     rows = bundles.join(cuts, list(KEYS), "left")

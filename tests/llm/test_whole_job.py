@@ -72,3 +72,12 @@ def test_one_other_white_space_leaves_the_rest_of_a_run(spark):
     rows = spark.createDataFrame([(1, " ".join(words)), (2, f"{prose('x', 40)} {other}")], "doc_id int, text string")
     got = {r.doc_id: r for r in lines.without_repeats(rows).collect()}
     assert got[2].removed_words == 300 and got[2].text.strip() == prose("x", 40)
+
+
+def test_growing_goes_on_until_a_byte_differs(spark):
+    """Long words without a chunk of their own at the head and tail of a passage: more than a margin of them."""
+    long = ["".join(random.Random(f"w{k}").choices("ABCDEFGH", k=3000)) for k in range(2)]
+    shared = f"{long[0]} {prose('grow', 60)} {long[1]}"
+    rows = [(1, f"{prose('l', 30)} {shared} {prose('r', 30)}"), (2, f"{prose('m', 30)} {shared} {prose('s', 30)}")]
+    got = {r.doc_id: r for r in lines.without_repeats(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
+    assert got[2].removed_words == 62 and not any(w in got[2].text for w in long)
