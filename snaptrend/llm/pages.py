@@ -24,6 +24,12 @@ ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""
 
 #: Elements whose content is no text of the page.
 SILENT = frozenset("script style title template noscript iframe svg canvas select option textarea button object".split())
+#: Those among them whose content is no markup: without an end tag they reach to the end of the page.
+RAW = frozenset("script style title textarea".split())
+#: Those that hold themselves, and those that hold no paragraphs.
+NESTED, PHRASE = frozenset("template svg object".split()), frozenset("select option button".split())
+#: Blocks with which an article goes on after an element that was never closed.
+TEXTUAL = frozenset("article main section p h1 h2 h3 h4 h5 h6 blockquote ul ol dl table".split())
 #: Elements that end a block; others stand inside one. A line break is white space inside its block.
 BLOCK = frozenset(
     "html head body p div section article main nav header footer aside form fieldset ul ol li dl dt dd table thead tbody "
@@ -167,6 +173,44 @@ def _surroundings(name: str, attributes: str) -> tuple[bool, bool, bool, bool]:
     return article, kind, named and name not in ("article", "main"), comments
 
 
+def silent_end(page: str, at: int, name: str) -> int:
+    """Where a silent element ends whose content begins at ``at``: after its end tag, or where its parent ends.
+
+    One without an end tag of its own before that gives back all from its first block of text.
+    """
+    if name in RAW:
+        end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
+        return end.end() if end else len(page)
+    inside: list[str] = []
+    block = None
+    while m := TAG.search(page, at):
+        at, tag = m.end(), (m[2] or "").lower()
+        if not tag or tag in EMPTY or (not m[1] and m[3].endswith("/")):
+            continue
+        if m[1]:
+            if tag in inside:
+                del inside[len(inside) - 1 - inside[::-1].index(tag) :]
+            elif tag == name:
+                return at
+            elif name == "select" and tag in ("option", "optgroup"):
+                continue
+            elif tag in BLOCK or tag in SILENT or tag in ("datalist", "optgroup"):
+                return m.start() if block is None else block
+        elif tag in RAW:
+            at = silent_end(page, at, tag)
+        elif (tag == name and tag not in NESTED) or (name == "option" and tag == "optgroup"):
+            return m.start() if block is None else block
+        else:
+            if tag in TEXTUAL:
+                if name in PHRASE:
+                    return m.start()
+                block = m.start() if block is None else block
+            # The end tag of an option may be left out.
+            if tag not in ("option", "optgroup"):
+                inside.append(tag)
+    return len(page) if block is None else block
+
+
 def text_blocks(page: str | None) -> list[tuple[str, int, float, bool, bool]]:
     """Blocks of a page in order: text, words, share of words in links, inside an article, inside chrome."""
     page = page or ""
@@ -211,8 +255,7 @@ def text_blocks(page: str | None) -> list[tuple[str, int, float, bool, bool]]:
         name, closing = name.lower(), bool(m[1])
         if name in SILENT:
             if not closing and not m[3].endswith("/"):
-                end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
-                at = end.end() if end else n
+                at = silent_end(page, at, name)
             continue
         if name == "br":
             parts.append((" ", False))

@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from snaptrend.llm import lines, near
+from snaptrend.llm import lines, near, pages
 
 
 def prose(seed, n, letters="abcdefghijklmnopqrstuvwxyz"):
@@ -81,3 +81,20 @@ def test_growing_goes_on_until_a_byte_differs(spark):
     rows = [(1, f"{prose('l', 30)} {shared} {prose('r', 30)}"), (2, f"{prose('m', 30)} {shared} {prose('s', 30)}")]
     got = {r.doc_id: r for r in lines.without_repeats(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
     assert got[2].removed_words == 62 and not any(w in got[2].text for w in long)
+
+
+# --- pages ----------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize(
+    "silent",
+    [
+        "<button>Buy", "<noscript><img src=x>", "<canvas>", "<svg><path d=x>", "<object data=x>", "<template>", "<iframe src=x>",
+        "<div><button>Buy</div>", "<datalist><option value=a>A<option value=b>B</datalist>",
+        "<select><option>A<option>B</select>", "<noscript><p>Turn it on</p></noscript>", "<button><div>Buy</div></button>",
+    ],
+)
+@pytest.mark.parametrize("later", ["", "<button>Sell</button>"])
+def test_unclosed_silent_elements_leave_the_article(silent, later):
+    page = f"<article><p>Before it.</p>{silent}<p>The rest of the article.</p>{later}<p>Its end.</p></article>"
+    assert pages.main_text(page, pages.trained_tree()) == "Before it.\nThe rest of the article.\nIts end."
