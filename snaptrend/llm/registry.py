@@ -11,12 +11,13 @@ from snaptrend.llm import (
     near,
     neighbours,
     pages,
+    runs,
     secret_scan,
     toxicity,
     transcripts,
 )
 
-_OPERATORS = (pages, lines, secret_scan, licenses, toxicity, transcripts, leaks, near, mixing, neighbours)
+_OPERATORS = (pages, lines, secret_scan, licenses, toxicity, transcripts, leaks, near, mixing, neighbours, runs)
 
 QUERIES = {op.QUERY: op.query for op in _OPERATORS} | {"pipeline": corpus_pipeline.run}
 ORACLE = {op.QUERY: op.ORACLE for op in _OPERATORS if getattr(op, "ORACLE", None)}
