@@ -12,13 +12,14 @@ from snaptrend.llm import (
     neighbours,
     pages,
     prefixes,
+    quality,
     runs,
     secret_scan,
     toxicity,
     transcripts,
 )
 
-_OPERATORS = (pages, lines, secret_scan, licenses, toxicity, transcripts, leaks, near, mixing, neighbours, prefixes, runs)
+_OPERATORS = (pages, lines, secret_scan, licenses, toxicity, transcripts, leaks, near, mixing, neighbours, quality, prefixes, runs)
 
 QUERIES = {op.QUERY: op.query for op in _OPERATORS} | {"pipeline": corpus_pipeline.run}
 ORACLE = {op.QUERY: op.ORACLE for op in _OPERATORS if getattr(op, "ORACLE", None)}
