@@ -147,9 +147,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE)
         share = F.when(F.col("_y") == r["_y"], min(1.0, per_class / r["count"])).otherwise(share)
     chosen = known.where(F.pmod(F.xxhash64("_id"), F.lit(1_000_003)) < share * 1_000_003)
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
-    # One sorted part, so that trees and weights repeat: a few numbers for each row of the sample.
+    # One sorted part, so that trees and weights repeat: a few numbers for each row of the sample. They are shuffled
+    # there, or the one task would read all documents.
     rows = with_statistics(texts, F.col("_y").cast("double").alias("_y"), F.col("doc_id").alias("_id"))
-    return stored(rows.coalesce(1).sortWithinPartitions("_id", *(f"_s_{n}" for n in STATISTICS)))
+    return stored(rows.repartition(1).sortWithinPartitions("_id", *(f"_s_{n}" for n in STATISTICS)))
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE, penalty: float = PENALTY) -> Ensemble:
@@ -164,7 +165,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE, penalty: fl
     ).fit(rows)
     rules = list(dict.fromkeys(rule for tree in forest.trees for rule in paths(tree.toDebugString)))
     held = F.array(*(rule.column().cast("double") for rule in rules))
-    lasso = LogisticRegression(featuresCol="x", labelCol="_y", elasticNetParam=1.0, regParam=penalty, maxIter=100)
+    lasso = LogisticRegression(featuresCol="x", labelCol="_y", elasticNetParam=1.0, regParam=penalty, maxIter=40)
     model = lasso.fit(sample.select("_y", array_to_vector(held).alias("x")))
     weights = model.coefficients.toArray()
     return Ensemble(float(model.intercept), {r: float(w) for r, w in zip(rules, weights, strict=True) if w})
