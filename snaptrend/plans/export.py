@@ -6,6 +6,8 @@ data-sized passes through the driver: a chosen set of topics is a frame that lat
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -20,6 +22,8 @@ from snaptrend.operators.ranking import (
 )
 from snaptrend.operators.series import densify
 from snaptrend.plans.topic_gold import on_date
+from snaptrend.session import stored
+from snaptrend.sources.json_sink import write_array, write_object
 
 SERIES = ("videos_count", "total_comments", "total_views", "comments_change", "views_change")
 MACRO_ID = ("macro_topic_id", "topic_id")
@@ -101,14 +105,20 @@ def summary_of_day(summary: DataFrame, run_date) -> DataFrame:
 
 
 def topics_over_time(
-    topics: DataFrame, window: DateWindow, limit: int = 6, catch_all: str = CATCH_ALL_ID
+    topics: DataFrame,
+    window: DateWindow,
+    limit: int = 6,
+    catch_all: str = CATCH_ALL_ID,
+    chosen: DataFrame | None = None,
 ) -> DataFrame:
     """Gap-free daily series of the most relevant topics, with the change to the day before.
 
+    ``chosen`` are those topics where they are known already.
+
     Changes look at the window only, so the first present day has none. A day without data has
     zeros, also for its changes.
     """
-    chosen = top_relevant_topics(topics, window, limit, catch_all)
+    chosen = top_relevant_topics(topics, window, limit, catch_all) if chosen is None else chosen
     daily = _macro_sums(
         _in_window(topics, window), ["run_date", "topic_id"],
         videos_count="videos_count", total_comments="total_comments", total_views="total_views",
@@ -217,9 +227,11 @@ def top_videos_by_topic(
     catch_all: str = CATCH_ALL_ID,
 ) -> DataFrame:
     """Most discussed videos of each chosen topic; ``chosen`` has ``topic_id`` and ``rank``."""
-    rows = _topic_videos(assignments, videos, run_date, catch_all).withColumnsRenamed(
-        {"_macro": "topic_id", "_macro_name": "topic_name"}
-    )
+    return _best_of_topics(_topic_videos(assignments, videos, run_date, catch_all), chosen, limit)
+
+
+def _best_of_topics(rows: DataFrame, chosen: DataFrame, limit: int) -> DataFrame:
+    rows = rows.withColumnsRenamed({"_macro": "topic_id", "_macro_name": "topic_name"})
     # The chosen topics come from a top-k with a fixed limit, so broadcasting them is safe.
     kept = rows.join(F.broadcast(chosen.select("topic_id", F.col("rank").alias("topic_rank"))), "topic_id")
     return top_per_group(kept, ["topic_id"], _video_order(), limit, "video_rank").select(
@@ -233,7 +245,11 @@ def videos_by_sub_topic(
     assignments: DataFrame, videos: DataFrame, run_date, limit: int = 5, catch_all: str = CATCH_ALL_ID
 ) -> DataFrame:
     """Most discussed videos of each sub-topic."""
-    rows = _topic_videos(assignments, videos, run_date, catch_all).where(F.col("sub_topic_id").isNotNull())
+    return _best_of_sub_topics(_topic_videos(assignments, videos, run_date, catch_all), limit)
+
+
+def _best_of_sub_topics(rows: DataFrame, limit: int) -> DataFrame:
+    rows = rows.where(F.col("sub_topic_id").isNotNull())
     return top_per_group(rows, ["sub_topic_id"], _video_order(), limit, "video_rank").select(
         F.col("_macro").alias("macro_topic_id"), F.col("_macro_name").alias("macro_topic_name"),
         "sub_topic_id", "sub_topic_name", "video_rank", "video_id", "title", "channel_title",
@@ -357,3 +373,88 @@ def nested_sub_topics(rows: DataFrame) -> DataFrame:
     fields = [c for c in rows.columns if not c.startswith("macro_topic")]
     inner = nested(rows, ["macro_topic_id"], fields, [F.col("sub_topic_rank")], "sub_topics")
     return names.join(inner, "macro_topic_id")
+
+
+# --- the whole set --------------------------------------------------------------------------
+
+
+@dataclass
+class Document:
+    """One JSON document: an object of one row, or an array of rows in order."""
+
+    rows: DataFrame
+    order: tuple[str, ...] | None = None
+
+    def write(self, *paths: str) -> None:
+        if self.order is None:
+            write_object(self.rows, *paths)
+        else:
+            hidden = [c for c in self.order if c.startswith("_")]
+            write_array(self.rows, [F.col(c) for c in self.order], *paths, hidden=hidden)
+
+
+def dashboard_documents(
+    summary: DataFrame,
+    topics: DataFrame,
+    assignments: DataFrame,
+    videos: DataFrame,
+    channels: DataFrame,
+    start=None,
+    end=None,
+    topic_limit: int = 6,
+    generated_at: Column | None = None,
+) -> dict[str, Document]:
+    """All documents of the dashboard by file name.
+
+    The gold topics are read once, for the columns and dates that any document needs; what several documents share (the
+    chosen topics, the day's videos with their topics) is made once. Without a summary there is no latest date: then the
+    window needs both bounds, and the documents of the latest day are empty.
+    """
+    latest, window = window_from_tables(summary, topics, start, end)
+    slim = stored(topics.select(*TOPIC_COLUMNS))
+    day = F.lit(latest).cast("date")
+    chosen = stored(top_relevant_topics(slim, window, topic_limit))
+    seen = stored(_topic_videos(assignments, videos, day, CATCH_ALL_ID))
+    series = topics_over_time(slim, window, topic_limit, chosen=chosen)
+    shares = topic_share(slim, day)
+    changes = topic_changes(slim, day)
+    return {
+        "latest_metadata.json": Document(metadata(summary, slim, window.days, generated_at)),
+        "dashboard_summary.json": Document(summary_of_day(summary, day)),
+        "relevant_topics_over_time.json": Document(topics_over_time_document(series, window)),
+        "topic_share_today.json": Document(*_by(shares, "total_comments", "total_views", "topic_id")),
+        "topic_changes_today.json": Document(*_by(changes, "comments_change", "views_change", "topic_id")),
+        "top_topics_today.json": Document(top_topics(slim, day), ("rank",)),
+        "top_videos_by_topic.json": Document(
+            nested_videos(_best_of_topics(seen, chosen, 5), ["topic_rank", "topic_id", "topic_name"]).withColumnRenamed("topic_rank", "_rank"),
+            ("_rank",),
+        ),
+        "sub_topics_over_time.json": Document(sub_topics_over_time_document(sub_topics_over_time(slim, window), window)),
+        "top_sub_topics_by_macro.json": Document(nested_sub_topics(top_sub_topics_by_macro(slim, day)), ("macro_topic_id",)),
+        "videos_by_sub_topic.json": Document(
+            nested_videos(_best_of_sub_topics(seen, 5), ["macro_topic_id", "macro_topic_name", "sub_topic_id", "sub_topic_name"]),
+            ("macro_topic_id", "sub_topic_id", "macro_topic_name", "sub_topic_name"),
+        ),
+        "channel_daily.json": Document(top_channels(channels, day), ("rank",)),
+    }
+
+
+#: What the documents read of the gold topics.
+TOPIC_COLUMNS = (
+    "run_date", "topic_id", "topic_name", "macro_topic_id", "macro_topic_name", "sub_topic_id", "sub_topic_name", "keywords",
+    "representative_videos", "sample_comments", "videos_count", "total_views", "total_likes", "total_comments", "relevance_score",
+)
+
+
+def _by(rows: DataFrame, first: str, second: str, tie: str) -> tuple[DataFrame, tuple[str, ...]]:
+    """Rows of a top-k in its order: two columns descending (null last), then the id."""
+    return rows.withColumns({"_a": -F.col(first), "_b": -F.col(second)}).withColumns(
+        {"_na": F.col("_a").isNull(), "_nb": F.col("_b").isNull()}
+    ), ("_na", "_a", "_nb", "_b", tie)
+
+
+def export_dashboard(documents: dict[str, Document], folders: Sequence[str]) -> list[str]:
+    """Write every document to every folder; returns the file names."""
+    for name, document in documents.items():
+        document.write(*(f"{folder.rstrip('/')}/{name}" for folder in folders))
+    return sorted(documents)

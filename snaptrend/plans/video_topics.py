@@ -1,8 +1,8 @@
-"""Topic assignment of the videos of one run date, and the backfill over many dates."""
+"""Topic assignment of the videos of one run date."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from datetime import date
 from functools import reduce
 
@@ -162,13 +162,3 @@ def video_topics(
         return checkpointed(out)
     finally:
         docs.unpersist()
-
-
-def backfill(dates: Sequence[str | date], one_date: Callable[[date], None], finish: Callable[[], None]) -> None:
-    """Process dates in order, then finish once; the first failing date stops the run.
-
-    Dates depend on each other through the stable ids, so they cannot run side by side.
-    """
-    for day in sorted(as_date(d, "run_date") for d in dates):
-        one_date(day)
-    finish()

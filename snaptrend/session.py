@@ -50,13 +50,15 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
 def checkpoint_folder(spark: SparkSession) -> str:
     """The shared folder that the cluster names in ``spark.checkpoint.dir``.
 
-    Where it is unset, a folder next to the tables in the warehouse takes its place, so that no
-    machine-local temporary folder is ever used.
+    Where it is unset, a local session takes a folder next to the tables of its warehouse. On a cluster that
+    folder may lie on one machine, so there the setting is required.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         shared = spark.conf.get("spark.checkpoint.dir", None)
         if shared is None:
+            if not context.master.startswith("local["):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             shared = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
         context.setCheckpointDir(shared)
     return context.getCheckpointDir()
@@ -68,13 +70,30 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: Folders written by ``stored`` and not yet deleted, by application.
+_STORED: dict[str, list[str]] = {}
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Cut lineage by a written table in the same folder: columns pack better than checkpointed rows.
 
-    Lost executors read it again. The folder keeps it until it is emptied.
+    Lost executors read it again. It stays until ``drop_stored``.
     """
-    path = f"{checkpoint_folder(df.sparkSession)}/table-{uuid.uuid4()}"
+    spark = df.sparkSession
+    path = f"{checkpoint_folder(spark)}/table-{uuid.uuid4()}"
     df.write.option("compression", "zstd").parquet(path)
-    # Executors delete the shuffles of a finished step once the driver's garbage collector has seen them go.
-    df.sparkSession.sparkContext._jvm.System.gc()
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    _STORED.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_stored(spark: SparkSession) -> int:
+    """Delete the tables that this application has stored, once nothing that reads them is left; returns their number."""
+    paths = _STORED.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        delete_folder(spark, path)
+    return len(paths)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

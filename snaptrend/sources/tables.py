@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from snaptrend.functions.dates import as_date
 from snaptrend.schemas import TABLES, TableSpec
+from snaptrend.session import delete_folder
 from snaptrend.sources.snapshots import align
 
 
@@ -97,3 +98,58 @@ def replace_run_dates(
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
     for day in sorted(set(days) - set(seen.get["days"])):
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (run_date = DATE'{day}')")
+
+
+# --- staged run dates -----------------------------------------------------------------------
+
+
+def stage_run_date(df: DataFrame, spec: TableSpec, run_date: str | date, folder: str) -> DataFrame:
+    """Write the rows of one run date to a folder of their own, seen by nobody yet; a row of another date is an error.
+
+    Returns the rows as the table will show them.
+    """
+    day = as_date(run_date, "run_date")
+    foreign = F.raise_error(F.concat(F.lit("run_date is not to be replaced: "), F.coalesce(F.col("run_date").cast("string"), F.lit("null"))))
+    rows = align(df, spec.schema).withColumn(
+        "run_date", F.when(F.col("run_date") == F.lit(day), F.col("run_date")).otherwise(foreign.cast("date"))
+    )
+    # The date is checked in the files' place: it is kept by the catalog alone.
+    kept = rows.where(F.col("run_date").isNotNull()).drop("run_date")
+    if spec.cluster:
+        kept = kept.sortWithinPartitions(*spec.cluster)
+    kept.write.mode("overwrite").parquet(folder)
+    return staged_rows(df.sparkSession, spec, day, folder)
+
+
+def staged_rows(spark: SparkSession, spec: TableSpec, day: date, folder: str) -> DataFrame:
+    names = [f.name for f in spec.schema]
+    inner = spec.schema.__class__([f for f in spec.schema if f.name != "run_date"])
+    return spark.read.schema(inner).parquet(folder).withColumn("run_date", F.lit(day)).select(*names)
+
+
+def partition_folder(spark: SparkSession, table: str, day: date) -> str | None:
+    """Folder of a run date, None where the table has no such partition."""
+    if spark.sql(f"SHOW PARTITIONS {table} PARTITION (run_date = DATE'{day}')").isEmpty():
+        return None
+    told = spark.sql(f"DESCRIBE TABLE EXTENDED {table} PARTITION (run_date = DATE'{day}')")
+    return next((r["data_type"] for r in told.collect() if r["col_name"] == "Location"), None)
+
+
+def switch_run_date(spark: SparkSession, table: str, run_date: str | date, folder: str) -> str | None:
+    """Let a run date of a table be what a folder holds: a change of the catalog only. Returns the former folder."""
+    day = as_date(run_date, "run_date")
+    former = partition_folder(spark, table, day)
+    where = f"{table} PARTITION (run_date = DATE'{day}')"
+    if former is None:
+        spark.sql(f"ALTER TABLE {table} ADD PARTITION (run_date = DATE'{day}') LOCATION '{folder}'")
+    else:
+        spark.sql(f"ALTER TABLE {where} SET LOCATION '{folder}'")
+    spark.catalog.refreshTable(table)
+    return former
+
+
+def discard_folder(spark: SparkSession, former: str | None, now: str) -> None:
+    """Delete the former folder of a partition that has moved on."""
+    path = lambda x: spark._jvm.org.apache.hadoop.fs.Path(x).toUri().getPath()
+    if former is not None and path(former) != path(now):
+        delete_folder(spark, former)

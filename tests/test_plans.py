@@ -168,19 +168,6 @@ def test_equal_documents_fall_back_to_their_own_phrases(spark):
     assert got[1:] == [f"{got[0]}_2", f"{got[0]}_3"]
 
 
-def test_backfill_order_and_stop():
-    seen = []
-    video_topics.backfill(["2024-01-02", "2024-01-01"], seen.append, lambda: seen.append("done"))
-    assert seen == [date(2024, 1, 1), date(2024, 1, 2), "done"]
-
-    def fail(day):
-        raise RuntimeError(day)
-
-    with pytest.raises(RuntimeError):
-        video_topics.backfill(["2024-01-01"], fail, lambda: seen.append("never"))
-    assert seen[-1] == "done"
-
-
 def test_window_from_tables(spark):
     rows = topic_rows(spark, [(D[1], "a", 1, 1), (D[3], "a", 1, 1)])
     summary = spark.createDataFrame([(D[4],)], "run_date date")

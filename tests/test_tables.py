@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from snaptrend import schemas
 from snaptrend.plans.silver import refresh_silver
+from snaptrend.session import drop_stored, stored
 from snaptrend.sources import json_sink, landed, snapshots, tables
 
 D1, D2 = date(2024, 1, 1), date(2024, 1, 2)
@@ -127,6 +128,44 @@ def test_json_files(spark, tmp_path):
     assert [r.value for r in spark.read.text(str(tmp_path / "doc")).collect()] == ['{"id":0}']
 
 
+def written(path):
+    return path.read_text()
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_arrays_are_joined_byte_by_byte(spark, tmp_path, parts):
+    rows = spark.range(40, -1, -1, numPartitions=parts).select(
+        "id", F.when(F.col("id") % 2 == 0, F.concat(F.lit('é "\n'), F.col("id"))).alias("s"), (-F.col("id")).alias("_o")
+    )
+    paths = [tmp_path / name / "rows.json" for name in ("site", "mirror")]
+    json_sink.write_array(rows, [F.col("_o")], *map(str, paths), hidden=["_o"])
+    records = [{"id": i, "s": None if i % 2 else f'é "\n{i}'} for i in range(40, -1, -1)]
+    said = "\n,".join(json.dumps(r, ensure_ascii=False, separators=(",", ":")) for r in records)
+    assert [written(p) for p in paths] == [f"[{said}\n]\n"] * 2
+    json_sink.write_array(rows.where("false"), [F.col("id")], *map(str, paths))
+    assert [written(p) for p in paths] == ["[]\n"] * 2
+    json_sink.write_array(rows.where("id = 3").select("id"), [F.col("id")], str(paths[0]))
+    assert written(paths[0]) == '[{"id":3}\n]\n'
+    assert sorted(p.name for p in paths[0].parent.iterdir() if not p.name.endswith(".crc")) == ["rows.json"]
+
+
+def test_objects(spark, tmp_path):
+    path = tmp_path / "one.json"
+    json_sink.write_object(spark.range(1).select("id", F.lit(None).cast("string").alias("x")), str(path))
+    assert written(path) == '{"id":0,"x":null}\n'
+    json_sink.write_object(spark.range(0), str(path))
+    assert written(path) == "{}\n"
+    with pytest.raises(ValueError):
+        json_sink.write_object(spark.range(2), str(path))
+    assert written(path) == "{}\n"
+
+
+def test_stored_tables_are_dropped(spark):
+    kept = stored(spark.range(5))
+    assert kept.count() == 5
+    assert drop_stored(spark) >= 1 and drop_stored(spark) == 0
+
+
 def test_load_tables(spark, tmp_path):
     tables.create_database(spark, "l_raw")
     for value in (1, 2):

@@ -376,9 +376,10 @@ ORDER BY comments_change DESC NULLS LAST, views_change DESC NULLS LAST, topic_id
 SELECT CAST(row_number() OVER (ORDER BY total_comments DESC, total_views DESC, topic_id) AS BIGINT) AS rank, topic_id, topic_name,
        videos_count, total_views, total_likes, total_comments, CAST(total_comments AS DOUBLE) / nullif(videos_count, 0) AS avg_comments_per_video
 FROM sel ORDER BY rank LIMIT 10""",
-    "catch_all_only_share": f"""WITH {DAY_TOPICS}, o AS (SELECT * FROM dt WHERE topic_id = 'other')
-SELECT topic_id, topic_name, total_comments, CAST(total_comments AS DOUBLE) / nullif((SELECT sum(total_comments) FROM o), 0) AS share_of_comments,
-       total_views, videos_count FROM o""",
+    "catch_all_only_share": f"""WITH {TOPICS}
+SELECT 'other' AS topic_id, 'other' AS topic_name, CAST(sum(total_comments) AS BIGINT) AS total_comments, CAST(1 AS DOUBLE) AS share_of_comments,
+       CAST(sum(total_views) AS BIGINT) AS total_views, CAST(sum(videos_count) AS BIGINT) AS videos_count
+FROM td WHERE run_date = {LAST_DAY}""",
     "top_videos_by_topic": f"""WITH {RELEVANT}, r AS (
   SELECT x.rank AS topic_rank, coalesce(a.raw_macro, a.topic_id) AS topic_id, upper(coalesce(a.raw_macro, a.topic_id)) AS topic_name,
          CAST(row_number() OVER (PARTITION BY x.topic_id ORDER BY v.comment_count DESC, v.view_count DESC, v.video_id) AS BIGINT) AS video_rank,
@@ -583,3 +584,134 @@ l AS (SELECT run_date, video_id, view_count + 1 AS view_count FROM o WHERE run_d
 SELECT *, NULL AS note FROM o WHERE run_date > (SELECT min(run_date) FROM o) AND run_date < (SELECT max(run_date) FROM o)
 UNION ALL SELECT *, 'replaced' FROM l UNION ALL SELECT *, 'rebuilt' FROM l""",
 }
+
+
+def record(columns: str, alias: str = "x", **named: str) -> str:
+    """JSON text of a row; ``named`` gives other expressions for some of the columns."""
+    return "to_json({" + ", ".join(f"'{c}': {named.get(c, f'{alias}.{c}')}" for c in columns.split()) + "})"
+
+
+def array_of(rows: str, order: str) -> str:
+    """An array document, a record to a line."""
+    return f"""SELECT coalesce('[' || string_agg(j, chr(10) || ',' ORDER BY {order}) || chr(10) || ']', '[]') || chr(10) FROM ({rows}) q"""
+
+
+ISO = "replace(substr(x.published_at, 1, 19), ' ', 'T') || CASE WHEN substr(x.published_at, 21) = '000000' THEN 'Z' ELSE '.' || substr(x.published_at, 21) || 'Z' END"
+VIDEO_FIELDS = "title channel_title video_url thumbnail_url view_count like_count comment_count published_at topic_keywords"
+DAY_FIELDS = "run_date videos_count total_comments total_views comments_change views_change"
+
+SUB_SERIES = f"""(
+  WITH rows AS ({ORACLE["sub_topics_over_time"]}),
+  sub AS (SELECT macro_topic_id, min(macro_topic_name) AS macro_topic_name, sub_topic_rank, sub_topic_id, min(sub_topic_name) AS sub_topic_name,
+                 min(keywords) AS keywords, min(window_total_comments) AS window_total_comments, min(window_total_views) AS window_total_views,
+                 list({record(DAY_FIELDS)} ORDER BY run_date) AS series FROM rows x GROUP BY macro_topic_id, sub_topic_rank, sub_topic_id),
+  macro AS (SELECT macro_topic_id, min(macro_topic_name) AS macro_topic_name,
+                   list({record("sub_topic_id sub_topic_name keywords window_total_comments window_total_views series")} ORDER BY sub_topic_rank) AS sub_topics
+            FROM sub x GROUP BY macro_topic_id)
+  SELECT to_json({{'start_date': '2023-12-31', 'end_date': '2024-01-31',
+    'dates': (SELECT list(CAST(run_date AS VARCHAR) ORDER BY run_date) FROM (SELECT DISTINCT run_date FROM rows) q), 'window_days': 32, 'metric': 'total_comments',
+    'macros': (SELECT list({record("macro_topic_id macro_topic_name sub_topics")} ORDER BY macro_topic_id) FROM macro x)}}) || chr(10))"""
+
+LAST_CHANNELS = f"""WITH {TOPICS}, own AS (
+  SELECT channel_id, channel_title, count(DISTINCT video_id) AS videos_count, sum(view_count) AS v, sum(like_count) AS l, sum(comment_count) AS c
+  FROM videos WHERE run_date = {LAST_DAY} GROUP BY channel_id, channel_title),
+known AS (SELECT channel_id, count(*) AS s FROM ev WHERE event_type = 'signup' AND run_date = {LAST_DAY} GROUP BY channel_id)
+SELECT row_number() OVER (ORDER BY c DESC, v DESC, o.channel_id, channel_title) AS rank, o.channel_id, channel_title, videos_count, CAST(v AS BIGINT) AS total_views,
+       CAST(l AS BIGINT) AS total_likes, CAST(c AS BIGINT) AS total_comments, s AS subscriber_count, CAST(c AS DOUBLE) / videos_count AS avg_comments_per_video
+FROM own o LEFT JOIN known k ON k.channel_id = o.channel_id ORDER BY rank LIMIT 10"""
+
+SUMMARY_FIELDS = (
+    "run_date videos_monitored channels_monitored topics_detected comments_available total_views total_likes total_comments "
+    "top_topic_id top_topic_name top_topic_comments top_channel_id top_channel_title top_channel_views"
+)
+CHANGE_FIELDS = (
+    "topic_id topic_name total_comments previous_total_comments comments_change total_views previous_total_views views_change videos_count videos_count_change"
+)
+SUB_FIELDS = (
+    "sub_topic_rank sub_topic_id sub_topic_name keywords representative_videos sample_comments videos_count total_views total_comments relevance_score"
+)
+
+
+def by_line(name: str, columns: str, order: str) -> str:
+    """An array document with a record for each row of another query."""
+    kept = ", ".join(f"{c} AS {c}" for c in dict.fromkeys(order.replace(" DESC", "").replace(" NULLS LAST", "").split(", ")))
+    return array_of(f"SELECT {record(columns)} AS j, {kept} FROM ({ORACLE[name]}) x", order)
+
+
+DOCUMENTS = {
+    "latest_metadata.json": f"""(WITH {EV} SELECT to_json({{'generated_at': replace(strftime(max(ts), '%Y-%m-%dT%H:%M:%S.%fZ'), '.000000Z', 'Z'),
+  'latest_run_date': max(run_date), 'earliest_run_date': min(run_date), 'days_available': count(DISTINCT run_date), 'data_window_days': 32}}) || chr(10) FROM ev)""",
+    "dashboard_summary.json": f"SELECT {record(SUMMARY_FIELDS)} || chr(10) FROM ({ORACLE['dashboard_summary_export']}) x",
+    "relevant_topics_over_time.json": f"SELECT document || chr(10) FROM ({ORACLE['topics_over_time_json']}) x",
+    "topic_share_today.json": by_line(
+        "topic_share", "topic_id topic_name total_comments share_of_comments total_views videos_count", "total_comments DESC, total_views DESC, topic_id"
+    ),
+    "topic_changes_today.json": by_line("topic_changes", CHANGE_FIELDS, "comments_change DESC NULLS LAST, views_change DESC NULLS LAST, topic_id"),
+    "top_topics_today.json": by_line(
+        "top_topics", "rank topic_id topic_name videos_count total_views total_likes total_comments avg_comments_per_video", "rank"
+    ),
+    "top_videos_by_topic.json": array_of(
+        f"""SELECT topic_rank, to_json({{'topic_id': topic_id, 'topic_name': topic_name,
+  'videos': list({record("video_id sub_topic_id sub_topic_name " + VIDEO_FIELDS + " matched_source", published_at=ISO)} ORDER BY video_rank)}}) AS j
+FROM ({ORACLE["top_videos_by_topic"]}) x WHERE topic_rank <= 3 GROUP BY topic_rank, topic_id, topic_name""", "topic_rank"
+    ),
+    "sub_topics_over_time.json": SUB_SERIES,
+    "top_sub_topics_by_macro.json": array_of(
+        f"""SELECT macro_topic_id, to_json({{'macro_topic_id': macro_topic_id, 'macro_topic_name': min(macro_topic_name),
+  'sub_topics': list({record(SUB_FIELDS)} ORDER BY sub_topic_rank)}}) AS j FROM ({ORACLE["top_sub_topics_by_macro"]}) x GROUP BY macro_topic_id""",
+        "macro_topic_id",
+    ),
+    "videos_by_sub_topic.json": array_of(
+        f"""SELECT macro_topic_id, sub_topic_id, to_json({{'macro_topic_id': macro_topic_id, 'macro_topic_name': macro_topic_name, 'sub_topic_id': sub_topic_id,
+  'sub_topic_name': sub_topic_name, 'videos': list({record("video_id " + VIDEO_FIELDS, published_at=ISO)} ORDER BY video_rank)}}) AS j
+FROM ({ORACLE["videos_by_sub_topic"]}) x GROUP BY macro_topic_id, macro_topic_name, sub_topic_id, sub_topic_name""", "macro_topic_id, sub_topic_id"
+    ),
+    "channel_daily.json": array_of(
+        f"""SELECT rank, {record("rank channel_id channel_title videos_count total_views total_likes total_comments subscriber_count avg_comments_per_video")} AS j
+FROM ({LAST_CHANNELS}) x""", "rank"
+    ),
+}
+ORACLE["export_set"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS document, CAST(({sql}) AS VARCHAR) AS content, CAST(2 AS BIGINT) AS copies" for name, sql in DOCUMENTS.items()
+)
+
+ORACLE["gold_backfill"] = """
+WITH v AS (
+  SELECT lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS video_id, substr(o_orderpriority, 1, 1) || CASE WHEN o_custkey % 2 = 0 THEN 'a' ELSE 'b' END AS kind,
+         CASE WHEN o_custkey % 2 = 0 THEN 'even' ELSE 'odd' END AS macro, CAST(o_custkey % 25 AS VARCHAR) AS channel_id, o_orderkey AS k,
+         [DATE '2024-01-01', DATE '2024-01-03'][1 + (o_orderkey // 6) % 2] AS run_date,
+         CAST(round(o_totalprice * 100) AS BIGINT) AS views, length(o_orderstatus) AS likes, o_orderkey % 100 AS talks
+  FROM orders),
+c AS (
+  SELECT v.run_date, v.video_id, v.kind, v.video_id || '-' || l_linenumber AS comment_id, CAST(trunc(l_quantity) AS BIGINT) AS likes,
+         CASE WHEN l_returnflag <> 'R' THEN 'talk' || v.kind END AS said
+  FROM lineitem JOIN v ON v.k = l_orderkey),
+first AS (SELECT kind, min(video_id) AS first FROM v GROUP BY kind),
+t AS (SELECT run_date, kind, macro, count(*) AS n, CAST(sum(views) AS BIGINT) AS views, CAST(sum(talks) AS BIGINT) AS talks, CAST(sum(likes) AS BIGINT) AS likes
+      FROM v GROUP BY run_date, kind, macro),
+best AS (SELECT run_date, kind, string_agg(said, ' | ') AS said FROM (
+  SELECT *, row_number() OVER (PARTITION BY run_date, kind ORDER BY likes DESC, comment_id) AS rn FROM c WHERE said IS NOT NULL) q WHERE rn <= 5 GROUP BY run_date, kind),
+talk AS (SELECT video_id, least(30, count(said)) AS n FROM c GROUP BY video_id),
+doc AS (SELECT v.run_date, v.macro, v.kind,
+  length('grp' || v.kind || ' grp' || v.kind || ' core' || v.kind || ' base' || v.kind || ' tail' || v.kind || 'x0 end' || v.kind || 'x0')
+  + coalesce(n, 0) * (1 + length('talk' || v.kind)) AS size FROM v LEFT JOIN talk ON talk.video_id = v.video_id),
+day AS (SELECT run_date, count(*) AS n, CAST(sum(talks) AS BIGINT) AS talks FROM v GROUP BY run_date),
+said AS (SELECT run_date, count(DISTINCT comment_id) AS n FROM c GROUP BY run_date),
+top AS (SELECT run_date, macro FROM (SELECT run_date, macro, row_number() OVER (PARTITION BY run_date ORDER BY sum(talks) DESC, macro) AS rn FROM v GROUP BY run_date, macro) q WHERE rn = 1),
+channel AS (SELECT run_date, channel_id, count(*) AS n, CAST(sum(views) AS BIGINT) AS views FROM v GROUP BY run_date, channel_id),
+top_channel AS (SELECT run_date, channel_id FROM (
+  SELECT *, row_number() OVER (PARTITION BY run_date ORDER BY views DESC, channel_id) AS rn FROM channel) q WHERE rn = 1)
+SELECT 'text' AS kind, run_date, macro AS a, '' AS b, count(*) AS n, CAST(sum(least(size, 1200)) AS BIGINT) AS total, count(DISTINCT kind) AS change
+FROM doc GROUP BY run_date, macro
+UNION ALL
+SELECT 'topic', run_date, macro, first, n, views, n - lag(n) OVER (PARTITION BY t.kind ORDER BY run_date) FROM t JOIN first ON first.kind = t.kind
+UNION ALL SELECT 'topic', DATE '2024-01-02', 'kept', NULL, 7, NULL, NULL
+UNION ALL
+SELECT 'talk', t.run_date, coalesce(said, ''), first, talks, likes, 0 FROM t JOIN first ON first.kind = t.kind LEFT JOIN best ON best.kind = t.kind AND best.run_date = t.run_date
+UNION ALL SELECT 'talk', DATE '2024-01-02', '', NULL, NULL, NULL, 0
+UNION ALL
+SELECT 'channel', run_date, channel_id, 'channel ' || channel_id, n, views, n_regionkey FROM channel LEFT JOIN nation ON CAST(n_nationkey AS VARCHAR) = channel_id
+UNION ALL
+SELECT 'summary', day.run_date, macro, channel_id, day.n, talks, said.n FROM day JOIN top ON top.run_date = day.run_date
+JOIN top_channel ON top_channel.run_date = day.run_date JOIN said ON said.run_date = day.run_date
+"""

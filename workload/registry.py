@@ -13,10 +13,13 @@ from snaptrend.functions.dates import date_window
 from snaptrend.functions.lexicon import TopicRule
 from snaptrend.operators import subtopics, topics, versions
 from snaptrend.operators.deltas import with_changes
-from snaptrend.plans import export, ingest, momentum, topic_gold
+from snaptrend.plans import export, gold_job, ingest, momentum, topic_gold
 from snaptrend.plans.video_topics import previous_sub_topics
 from snaptrend.plans.video_topics import video_topics as assign_topics
-from snaptrend.schemas import VIDEOS_RAW, TableSpec
+from snaptrend.schemas import (
+    CHANNEL_DAILY, CHANNELS_DAILY, COMMENTS_CURRENT, DASHBOARD_SUMMARY_DAILY, TOPIC_DAILY, TOPIC_TRENDS_DAILY, VIDEO_TOPICS_DAILY,
+    VIDEOS_DAILY, VIDEOS_RAW, TableSpec,
+)
 from snaptrend.session import checkpoint_folder, checkpointed, stored
 from snaptrend.sources import landed, snapshots, tables
 from snaptrend.sources.json_sink import to_records
@@ -244,8 +247,8 @@ def top_topics(spark, folder):
 @query
 def catch_all_only_share(spark, folder):
     """Share of topics where every topic counts as the catch-all: the fallback keeps them."""
-    rows = _stored_topics(spark, folder).where(F.col("topic_id") == "other")
-    return export.topic_share(rows, A.latest_day(spark, folder))
+    same = {c: F.lit("other") for c in ("topic_id", "topic_name", "macro_topic_id", "macro_topic_name")}
+    return export.topic_share(_stored_topics(spark, folder).withColumns(same), A.latest_day(spark, folder))
 
 
 @query
@@ -306,6 +309,22 @@ def json_records(spark, folder):
     return to_records(rows)
 
 
+@query
+def export_set(spark, folder):
+    """All documents of the dashboard written to two folders, and the bytes that are found there."""
+    documents = export.dashboard_documents(
+        _summary(spark, folder), _topic_daily(spark, folder), A.assignments(spark, folder), A.daily_videos(spark, folder),
+        topic_gold.channel_daily(A.daily_videos(spark, folder), A.daily_channels(spark, folder)),
+        WINDOW.start, WINDOW.end, topic_limit=3, generated_at=as_of(spark, folder),
+    )
+    base = f"{checkpoint_folder(spark)}/dashboard-{uuid.uuid4()}"
+    copies = [f"{base}/{name}" for name in ("site", "mirror")]
+    names = export.export_dashboard(documents, copies)
+    found = spark.read.text([f"{c}/{n}" for c in copies for n in names], wholetext=True)
+    name = F.element_at(F.split(F.input_file_name(), "/"), -1)
+    return found.groupBy(name.alias("document"), F.col("value").alias("content")).agg(F.count(F.lit(1)).alias("copies"))
+
+
 # --- scalar expressions ---------------------------------------------------------------------
 
 
@@ -629,6 +648,82 @@ def video_topics(spark, folder):
     )
 
 
+#: Two days of orders; the run date between them has none.
+GOLD_DAYS = ("2024-01-01", "2024-01-02", "2024-01-03")
+
+
+def _silver_of_orders(spark, folder, database):
+    """Orders as videos of two days in silver tables, their line items as comments, nations as channels."""
+    side = F.when(F.col("o_custkey") % 2 == 0, "a").otherwise("b")
+    kind = F.concat(F.substring("o_orderpriority", 1, 1), side)
+    days = F.array(*(F.lit(GOLD_DAYS[i]).cast("date") for i in (0, 2)))
+    day = F.element_at(days, (F.expr("o_orderkey div 6") % 2 + 1).cast("int"))
+    key = F.lpad(F.col("o_orderkey").cast("string"), 12, "0")
+    orders = A.table(spark, folder, "orders").withColumns({"kind": kind, "run_date": day, "video_id": key})
+    words = _worded_orders(spark, folder, kind).select(F.col("o_orderkey").alias("k"), "text")
+    channel = (F.col("o_custkey") % 25).cast("string")
+    videos = orders.join(words, F.col("o_orderkey") == F.col("k")).select(
+        "run_date", "video_id", F.concat(F.lit("grp"), "kind").alias("title"), F.col("text").alias("description"),
+        channel.alias("channel_id"), F.concat(F.lit("channel "), channel).alias("channel_title"),
+        A.cents("o_totalprice").alias("view_count"), F.length("o_orderstatus").cast("bigint").alias("like_count"),
+        (F.col("o_orderkey") % 100).alias("comment_count"),
+    )
+    lines = A.table(spark, folder, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    comments = lines.select(
+        "run_date", "video_id", F.concat_ws("-", "video_id", "l_linenumber").alias("comment_id"),
+        F.when(F.col("l_returnflag") != "R", F.concat(F.lit("talk"), "kind")).alias("comment_text"),
+        F.col("l_quantity").cast("bigint").alias("like_count"),
+    )
+    channels = A.table(spark, folder, "nation").select(
+        F.explode(days).alias("run_date"), F.col("n_nationkey").cast("string").alias("channel_id"),
+        F.concat(F.lit("channel "), "n_name").alias("channel_title"), F.col("n_regionkey").cast("bigint").alias("subscriber_count"),
+    )
+    for rows, spec in ((videos, VIDEOS_DAILY), (comments, COMMENTS_CURRENT), (channels, CHANNELS_DAILY)):
+        tables.create_table(spark, database, spec)
+        tables.append_rows(rows, database, spec)
+
+
+@query
+def gold_backfill(spark, folder):
+    """The gold job over three run dates of all orders, one of them without any: what the gold tables hold afterwards.
+
+    The empty date keeps the row it had. Sub-topics of a kind of order keep their id over the dates.
+    """
+    name = uuid.uuid4().hex
+    silver, gold = f"silver_{name}", f"gold_{name}"
+    for database in (silver, gold):
+        tables.create_database(spark, database)
+    _silver_of_orders(spark, folder, silver)
+    gold_job.prepare_gold(spark, gold)
+    kept = spark.range(1).select(F.lit(GOLD_DAYS[1]).alias("run_date"), F.lit("kept").alias("topic_id"), F.lit(7).alias("videos_count"))
+    tables.append_rows(kept, gold, TOPIC_DAILY)
+    gold_job.run_gold(spark, silver, gold, GOLD_DAYS, rules=ORDER_RULES, stop_words=PHRASE_STOP_WORDS, starts=2)
+    read = lambda spec: spark.table(f"{gold}.{spec.name}")
+    first = read(VIDEO_TOPICS_DAILY).groupBy("sub_topic_id").agg(F.min("video_id").alias("first"))
+    texts = read(VIDEO_TOPICS_DAILY).groupBy("run_date", "macro_topic_id").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.length("source_text")).alias("total"), F.count_distinct("sub_topic_id").alias("change"),
+    )
+    totals = read(TOPIC_TRENDS_DAILY).join(first, "sub_topic_id", "left")
+    parts = (
+        texts.select(F.lit("text").alias("kind"), "run_date", F.col("macro_topic_id").alias("a"), F.lit("").alias("b"), "n", "total", "change"),
+        totals.select(F.lit("topic"), "run_date", "topic_id", "first", "videos_count", "total_views", "videos_count_change"),
+        read(TOPIC_DAILY).join(first, "sub_topic_id", "left").select(
+            F.lit("talk"), "run_date", F.coalesce("sample_comments", F.lit("")), "first", "total_comments", "total_likes", F.lit(0).cast("bigint"),
+        ),
+        read(CHANNEL_DAILY).select(F.lit("channel"), "run_date", "channel_id", "channel_title", "videos_count", "total_views", "subscriber_count"),
+        read(DASHBOARD_SUMMARY_DAILY).select(
+            F.lit("summary"), "run_date", "top_topic_id", "top_channel_id", "videos_monitored", "total_comments", "comments_available"
+        ),
+    )
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.union(part)
+    out = stored(out)
+    for database in (silver, gold):
+        spark.sql(f"DROP DATABASE {database} CASCADE")
+    return out
+
+
 def _event_labels(spark, folder):
     """Per event type and day a label whose keywords are the users of that day."""
     rows = A.events(spark, folder)
