@@ -16,11 +16,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snaptrend.llm.rows import KEY_SCHEMA, KEYS, keyed, ship, stored, table
+from snaptrend.llm.rows import KEY_SCHEMA, KEYS, keyed, portions, ship, stored, table
+from snaptrend.session import configure
 
 ship(__name__)
 
@@ -156,16 +158,17 @@ class Chunker:
 def chunk_rows(docs: DataFrame) -> DataFrame:
     """Chunks of all texts: id, start, end, hash. Empty and null texts have none."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunker = Chunker()
-        for batch in batches:
-            text, start, stop, found = chunker.chunks(batch["text"].tolist())
-            yield pd.DataFrame({
-                "_id": batch["_id"].to_numpy()[text], "start": start.astype(np.int32), "stop": stop.astype(np.int32), "h": found,
-            })
+        for part in portions(batches, "text"):
+            text, start, stop, found = chunker.chunks(part.column("text").to_pylist())
+            yield pa.RecordBatch.from_arrays([
+                part.column("_id").take(pa.array(text, pa.int64())), pa.array(start.astype(np.int32)), pa.array(stop.astype(np.int32)),
+                pa.array(found.astype(np.int64)),
+            ], names=["_id", "start", "stop", "h"])
 
     texts = keyed(docs, F.col("text")).where("text is not null and text <> ''").select("_id", "text")
-    return texts.mapInPandas(run, "_id bigint, start int, stop int, h bigint")
+    return texts.mapInArrow(run, "_id bigint, start int, stop int, h bigint")
 
 
 # --- repeated chunks ------------------------------------------------------------------------
@@ -177,7 +180,8 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
     Hashes are counted with partial sums first; only rows of repeated ones are joined, and a hash that is in
     a third of all documents is one row on the side it is joined with.
     """
-    chunks = chunk_rows(docs)
+    # Stored, or both sides of the join would read and hash all texts.
+    chunks = stored(chunk_rows(docs))
     often = chunks.groupBy("h").count().where("count > 1").select("h")
     seen = stored(chunks.join(often, "h"))
     keeper = seen.groupBy("h").agg(F.min(F.struct("_id", "start", "stop")).alias("k"))
@@ -219,14 +223,16 @@ def packed(docs: DataFrame) -> DataFrame:
     rest = [F.col(f"`{n}`").alias(f"_c{i}") for i, n in enumerate(names) if n != "text"]
     rows = keyed(docs, F.col("text").alias("_text"), *rest)
     others = [f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name.startswith("_c")]
+    kept = [*KEYS, *(c.split()[0] for c in others)]
 
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=1)
-        for batch in batches:
-            blob = [None if t is None else squeeze.compress(t.encode("utf-8", "surrogatepass")) for t in batch["_text"]]
-            yield batch.drop(columns="_text").assign(_blob=blob)
+        for part in portions(batches, "_text"):
+            texts = part.column("_text").to_pylist()
+            blobs = pa.array([None if t is None else squeeze.compress(t.encode("utf-8", "surrogatepass")) for t in texts], pa.binary())
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), blobs], names=[*kept, "_blob"])
 
-    return rows.mapInPandas(pack, ", ".join([KEY_SCHEMA, *others, "_blob binary"]))
+    return rows.mapInArrow(pack, ", ".join([KEY_SCHEMA, *others, "_blob binary"]))
 
 
 def unpacked(blob: bytes | None) -> str | None:
@@ -240,34 +246,41 @@ SIDES = ("body", "left", "right", "k_body", "k_left", "k_right")
 SLICE = "ki bigint, ka int, kb int, side int, _id bigint, _hash bigint, a int, b int, body string, left string, right string, wanted boolean"
 
 
-def slices(bundles: DataFrame, runs: DataFrame, margin: int) -> DataFrame:
-    """Bytes of every run and of its like in the earliest document, with what surrounds them.
+def frame(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    kinds = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "boolean": pa.bool_()}
+    fields = [c.split() for c in schema.split(", ")]
+    columns = zip(*rows, strict=True) if rows else [()] * len(fields)
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(columns, fields, strict=True)], names=[n for n, _ in fields])
 
-    A document gets the list of its own runs and of those that others want from it, each place once.
-    """
+
+def places_of(runs: DataFrame) -> DataFrame:
+    """The places that each document is to hand out: its own runs and those that others want from it, each place once."""
     own = runs.select("_id", F.struct("a", "b", *PLACE).alias("p"), F.lit(False).alias("wanted"))
     there = F.struct(F.col("ka").alias("a"), F.col("kb").alias("b"), *PLACE)
     asked = runs.select(F.col("ki").alias("_id"), there.alias("p"), F.lit(True).alias("wanted")).distinct()
-    places = own.unionByName(asked).groupBy("_id").agg(F.collect_set(F.struct("p", "wanted")).alias("places"))
-    rows = bundles.join(places, "_id")
+    return own.unionByName(asked).groupBy("_id").agg(F.collect_set(F.struct("p", "wanted")).alias("places"))
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [c.split()[0] for c in SLICE.split(", ")]
-        for batch in batches:
-            out = []
-            for i, h, blob, places in zip(batch["_id"], batch["_hash"], batch["_blob"], batch["places"], strict=True):
-                text = unpacked(blob) or ""
-                for x in places:
+
+def slices(rows: DataFrame, margin: int) -> DataFrame:
+    """Bytes of every run and of its like in the earliest document, with what surrounds them; rows have text and places."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in portions(batches, "_blob", 1 << 18):
+            out, size = [], 0
+            for row in part.to_pylist():
+                text = unpacked(row["_blob"]) or ""
+                for x in row["places"]:
                     p = x["p"]
                     a, b = p["a"], p["b"]
                     parts = text[a:b], text[max(0, a - margin) : a] if p["side"] <= 0 else "", text[b : b + margin] if p["side"] >= 0 else ""
-                    out.append((p["ki"], p["ka"], p["kb"], p["side"], i, h, a, b, *parts, x["wanted"]))
-                if len(out) > 1000:
-                    yield pd.DataFrame(out, columns=names)
-                    out = []
-            yield pd.DataFrame(out, columns=names)
+                    out.append((p["ki"], p["ka"], p["kb"], p["side"], row["_id"], row["_hash"], a, b, *parts, x["wanted"]))
+                    size += sum(map(len, parts))
+                    if size > 1 << 20:
+                        yield frame(out, SLICE)
+                        out, size = [], 0
+            yield frame(out, SLICE)
 
-    return stored(rows.select(*KEYS, "_blob", "places").mapInPandas(cut, SLICE))
+    return stored(rows.select(*KEYS, "_blob", "places").mapInArrow(cut, SLICE))
 
 
 def common_prefix(x: str, y: str) -> int:
@@ -298,19 +311,20 @@ def verified(parts: DataFrame, margin: int) -> DataFrame:
     wanted = parts.where("wanted").select(*PLACE, *(F.col(c).alias(f"k_{c}") for c in ("body", "left", "right")))
     pairs = parts.where("not wanted").drop("wanted").join(wanted.distinct(), list(PLACE))
 
-    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in portions(batches, "body", 1 << 18):
             out = []
-            for i, h, at, ki, ka, *sides in batch[["_id", "_hash", "a", "ki", "ka", *SIDES]].itertuples(index=False, name=None):
+            columns = (part.column(c).to_pylist() for c in ("_id", "_hash", "a", "ki", "ka", *SIDES))
+            for i, h, at, ki, ka, *sides in zip(*columns, strict=True):
                 body, left, right, k_body, k_left, k_right = sides
                 # Where bytes differ the run is parted, and what agrees on either side of them stays.
                 for a, b in equal_stretches(body, k_body):
                     more = common_prefix(left[::-1], k_left[::-1]) if a == 0 else 0
                     on = common_prefix(right, k_right) if b == len(body) == len(k_body) else 0
                     out.append((i, h, at + a - more, at + b + on, ki, ka - at, more == margin, on == margin))
-            yield pd.DataFrame(out, columns=[c.split()[0] for c in FOUND.split(", ")])
+            yield frame(out, FOUND)
 
-    return pairs.mapInPandas(compare, FOUND)
+    return pairs.mapInArrow(compare, FOUND)
 
 
 def further(places: list[tuple]) -> set[tuple[int, int, int, int]]:
@@ -341,10 +355,10 @@ def further(places: list[tuple]) -> set[tuple[int, int, int, int]]:
     return out
 
 
-def grown(bundles: DataFrame, runs: DataFrame) -> DataFrame:
-    """Verified places, each grown until a byte differs or a text ends."""
+def grown(held: DataFrame) -> DataFrame:
+    """Verified places of documents that have some, each grown until a byte differs or a text ends."""
     margin = MARGIN
-    found = stored(verified(slices(bundles, runs.withColumn("side", F.lit(0)), margin), margin))
+    found = stored(verified(slices(held, margin), margin))
     done = found
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -359,9 +373,10 @@ def grown(bundles: DataFrame, runs: DataFrame) -> DataFrame:
         margin *= 8
         seen = done.withColumn("lo", F.lit(False)).withColumn("ro", F.lit(False)).unionByName(found)
         texts = seen.join(found.where("lo or ro").select(*KEYS).distinct(), list(KEYS), "left_semi")
-        held = texts.groupBy(*KEYS).agg(F.collect_set(F.struct("a", "b", "ki", "d", "lo", "ro")).alias("held"))
-        asked = held.mapInPandas(ask, "_id bigint, a int, b int, ki bigint, ka int, kb int, side int").distinct()
-        found = stored(verified(slices(bundles, stored(asked), margin), margin))
+        reached = texts.groupBy(*KEYS).agg(F.collect_set(F.struct("a", "b", "ki", "d", "lo", "ro")).alias("held"))
+        asked = reached.mapInPandas(ask, "_id bigint, a int, b int, ki bigint, ka int, kb int, side int").distinct()
+        more = held.select(*KEYS, "_blob").join(places_of(stored(asked)), "_id")
+        found = stored(verified(slices(more, margin), margin))
         done = done.unionByName(found)
     return done
 
@@ -396,36 +411,42 @@ def cut_out(text: str, places: list[tuple[int, int]]) -> str:
     return out if not places or out.strip() else ""
 
 
-def without_repeats(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """Documents with all their columns and one more, ``removed_words``; ``text`` lacks the passages
-    that an earlier document (smaller id) holds.
+def without_repeats(docs: DataFrame, words: int = WORDS, gone: str | None = "removed_words") -> DataFrame:
+    """Documents with all their columns, and one more, named by ``gone``, that counts the removed words; ``text`` lacks
+    the passages that an earlier document (smaller id) holds.
 
     Passages of under ``words`` words stay, as does what repeats within one document only. Rows that
     share an id are one document, so nothing goes for being in another of them; rows without id share one that comes
     first. Null texts stay null, a text of which nothing is left becomes empty; no row is dropped. Columns of
-    any name are passed on.
+    any name are passed on. All texts are shuffled once, and those with a repeated passage once more.
     """
-    bundles = packed(docs)
-    places = grown(bundles, repeated_runs(docs))
-    # Stored, so that the bytes that were compared are gone before the texts are shuffled once more.
-    cuts = stored(places.groupBy(*KEYS).agg(F.collect_set(F.struct("a", "b")).alias("_cuts")))
-    rows = bundles.join(cuts, list(KEYS), "left")
+    configure(docs.sparkSession)
+    runs = repeated_runs(docs).withColumn("side", F.lit(0))
+    held = stored(packed(docs).join(places_of(runs), "_id", "left"))
+    some = held.where("places is not null")
+    cuts = grown(some).groupBy(*KEYS).agg(F.collect_set(F.struct("a", "b")).alias("_cuts"))
+    # Stored, so that the bytes that were compared are read no more.
+    cut = some.drop("places").join(stored(cuts), list(KEYS), "left")
+    rows = cut.unionByName(held.where("places is null").drop("places"), allowMissingColumns=True)
     names = docs.columns
     inner = [f"_c{i}" if n != "text" else "_text" for i, n in enumerate(names)]
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema} | {"_text": "string"}
+    last = [] if gone is None else [gone]
 
-    def remove(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            texts, gone = [], []
-            for blob, places in zip(batch["_blob"], batch["_cuts"], strict=True):
+    def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in portions(batches, "_blob", 1 << 18):
+            texts, counts = [], []
+            for blob, places in zip(part.column("_blob").to_pylist(), part.column("_cuts").to_pylist(), strict=True):
                 text = unpacked(blob)
                 found = passages(text, [(p["a"], p["b"]) for p in places], words) if places is not None else []
-                gone.append(sum(word_count(text[a:b]) for a, b in found))
+                counts.append(sum(word_count(text[a:b]) for a, b in found))
                 texts.append(cut_out(text, found) if found else text)
-            yield batch.assign(_text=texts, _gone=gone)[[*inner, "_gone"]]
+            own = {"_text": pa.array(texts, pa.string())}
+            columns = [own.get(c) if c in own else part.column(c) for c in inner]
+            yield pa.RecordBatch.from_arrays([*columns, *([pa.array(counts, pa.int64())] * len(last))], names=[*inner, *["_gone"] * len(last)])
 
-    schema = ", ".join([*(f"{c} {kinds[c]}" for c in inner), "_gone bigint"])
-    return rows.mapInPandas(remove, schema).toDF(*names, "removed_words")
+    schema = ", ".join([*(f"{c} {kinds[c]}" for c in inner), *["_gone bigint"] * len(last)])
+    return rows.mapInArrow(remove, schema).toDF(*names, *last)
 
 
 QUERY = "op2_line_dedup"

@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +26,7 @@ def ship(name: str) -> None:
 
 ship(__name__)
 
-__all__ = ["KEYS", "KEY_SCHEMA", "keyed", "ship", "stored", "table", "text_of"]
+__all__ = ["KEYS", "KEY_SCHEMA", "keyed", "portions", "ship", "stored", "table", "text_of"]
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -41,3 +45,18 @@ def keyed(docs: DataFrame, *columns: Column) -> DataFrame:
         F.xxhash64(text_of()).alias("_hash"),
         *columns,
     )
+
+
+def portions(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Batches cut into rows of about so many bytes in a column, so that few texts are Python objects at a time.
+
+    Nothing is copied, and ids stay Arrow numbers: null ones next to any 64-bit one. A longer text goes alone.
+    """
+    for batch in batches:
+        size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 64
+        upto, at = np.cumsum(size), 0
+        while at < batch.num_rows:
+            before = upto[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(upto, before + most, side="right")))
+            yield batch.slice(at, to - at)
+            at = to

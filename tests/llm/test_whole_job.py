@@ -98,3 +98,16 @@ def test_growing_goes_on_until_a_byte_differs(spark):
 def test_unclosed_silent_elements_leave_the_article(silent, later):
     page = f"<article><p>Before it.</p>{silent}<p>The rest of the article.</p>{later}<p>Its end.</p></article>"
     assert pages.main_text(page, pages.trained_tree()) == "Before it.\nThe rest of the article.\nIts end."
+
+
+def test_lines_keep_ids_and_clashing_columns(spark):
+    far, shared = 2**53 + 1, prose("ids", 80)
+    rows = [(far, f"a {shared}"), (None, f"b {shared}"), (far + 2, f"c {shared}"), (None, None), (7, ""), (far, f"a {shared}")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr(
+        "*", "1 as removed_words", "2 as _id", "3 as _hash", "4 as _blob", "5 as places", "timestamp'2024-01-01 00:00:00' as _c0", "array(doc_id) as _cuts"
+    )
+    got = lines.without_repeats(docs, gone=None)
+    assert got.columns == docs.columns
+    found = got.collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in found) == sorted([(far, "a"), (far, "a"), (0, f"b {shared}"), (far + 2, "c"), (0, ""), (7, "")])
+    assert all(r.removed_words == 1 and r.places == 5 and list(r._cuts) == [r.doc_id] for r in found)
