@@ -19,7 +19,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that an earlier document holds are cut out of the texts; every document stays."""
-    kept = lines.without_repeats(docs).drop("removed_words")
+    kept = lines.without_repeats(docs, gone=None)
     return kept.withColumn("n_chars", F.length("text").cast("bigint")) if "n_chars" in docs.columns else kept
 
 
