@@ -697,7 +697,7 @@ def gold_backfill(spark, folder):
     gold_job.prepare_gold(spark, gold)
     kept = spark.range(1).select(F.lit(GOLD_DAYS[1]).alias("run_date"), F.lit("kept").alias("topic_id"), F.lit(7).alias("videos_count"))
     tables.append_rows(kept, gold, TOPIC_DAILY)
-    gold_job.run_gold(spark, silver, gold, GOLD_DAYS, rules=ORDER_RULES, stop_words=PHRASE_STOP_WORDS, starts=2)
+    gold_job.run_gold(spark, silver, gold, GOLD_DAYS, rules=ORDER_RULES, stop_words=PHRASE_STOP_WORDS, starts=1)
     read = lambda spec: spark.table(f"{gold}.{spec.name}")
     first = read(VIDEO_TOPICS_DAILY).groupBy("sub_topic_id").agg(F.min("video_id").alias("first"))
     texts = read(VIDEO_TOPICS_DAILY).groupBy("run_date", "macro_topic_id").agg(
