@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from snaptrend.llm.rows import ship, table
+from snaptrend.llm.rows import ship, table, through_pandas
 
 ship(__name__)
 
@@ -202,7 +202,7 @@ def portions(texts: list[str | None], most: int = 1_000_000) -> Iterator[tuple[i
         yield lo, len(texts)
 
 
-def _scan(rows: DataFrame, columns: str, index: Index, threshold: float, names: list[str]) -> DataFrame:
+def _scan(rows: DataFrame, index: Index, threshold: float) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = batch["text"].tolist()
@@ -210,10 +210,10 @@ def _scan(rows: DataFrame, columns: str, index: Index, threshold: float, names:
                 hits = list(verified(index, [words_of(t) for t in texts[lo:hi]], threshold))
                 if hits:
                     found = pd.DataFrame(hits, columns=["_at", *(c.split()[0] for c in HIT.split(", "))])
-                    own = batch.iloc[lo:hi][names].reset_index(drop=True).iloc[found["_at"]].reset_index(drop=True)
+                    own = batch.iloc[lo:hi][["doc_id"]].reset_index(drop=True).iloc[found["_at"]].reset_index(drop=True)
                     yield pd.concat([own, found.drop(columns="_at")], axis=1)
 
-    return rows.mapInPandas(run, f"{columns}, {HIT}")
+    return through_pandas(rows, run, HIT, "doc_id")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -225,10 +225,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     give that id's pairs once; items that share an id are told apart only by text. Other columns are ignored.
     """
     rows = docs.select("doc_id", "text")
-    kind = rows.schema["doc_id"].dataType.simpleString()
     found = None
     for index in indexes(benchmark):
-        hits = _scan(rows, f"doc_id {kind}", index, threshold, ["doc_id"])
+        hits = _scan(rows, index, threshold)
         found = hits if found is None else found.unionByName(hits)
     best = Window.partitionBy("doc_id", "item_id").orderBy(F.desc("score"), F.desc("question_overlap"), F.desc("answer_overlap"), "first_word")
     return found.withColumn("_rn", F.row_number().over(best)).where("_rn = 1").drop("_rn")

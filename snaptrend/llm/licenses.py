@@ -11,7 +11,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snaptrend.llm.rows import ship, table
+from snaptrend.llm.rows import ship, table, through_pandas
 
 ship(__name__)
 
@@ -45,7 +45,7 @@ NOTICES = (
 RATE = 0.1
 
 SCHEMA = (
-    "doc_id {id}, n_words bigint, "
+    "n_words bigint, "
     "base array<struct<label:string,word:bigint>>, "
     "fuzzy array<struct<label:string,first_word:bigint,last_word:bigint,edits:int,score:double>>"
 )
@@ -102,19 +102,31 @@ def words_of(text: str | None) -> list[str]:
     return WORD.findall((text or "").encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass"))
 
 
+def word_numbers(padded: str) -> Iterator[int]:
+    """Takes rising places of a text whose words are parted by one space, gives the number of spaces before each."""
+    at = n = 0
+    while True:
+        to = yield n
+        n += padded.count(" ", at, to)
+        at = to
+
+
 def scan_text(text: str | None, search: NoticeSearch, phrases=PHRASES) -> tuple[int, list, list]:
     words = words_of(text)
     joined = " ".join(words)
     padded = f" {joined} "
     base = []
     for phrase, label in phrases:
-        needle, at = f" {phrase} ", 0
+        needle, at, number = f" {phrase} ", 0, word_numbers(padded)
+        next(number)
         while (at := padded.find(needle, at)) >= 0:
-            base.append((label, padded.count(" ", 0, at)))
+            base.append((label, number.send(at)))
             at += 1
-    fuzzy = []
+    fuzzy, number = [], word_numbers(joined)
+    next(number)
+    # In order of their start.
     for label, start, stop, edits, score in search.find(joined):
-        first = joined.count(" ", 0, start)
+        first = number.send(start)
         fuzzy.append((label, first, first + joined.count(" ", start, stop), edits, score))
     return len(words), sorted(base, key=lambda x: (x[1], x[0])), fuzzy
 
@@ -126,7 +138,6 @@ def scan(docs: DataFrame, notices=NOTICES, phrases=PHRASES, rate: float = RATE)
     spans. Matches of one notice do not overlap; those of different notices may. Other columns are ignored.
     """
     rows = docs.select("doc_id", "text")
-    schema = SCHEMA.format(id=rows.schema["doc_id"].dataType.simpleString())
     notices, phrases = tuple(notices), tuple(phrases)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -143,7 +154,7 @@ def scan(docs: DataFrame, notices=NOTICES, phrases=PHRASES, rate: float = RATE)
                 ],
             })
 
-    return rows.mapInPandas(run, schema)
+    return through_pandas(rows, run, SCHEMA, "doc_id")
 
 
 QUERY = "op4_license_scan"

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snaptrend.llm.rows import ship, table
+from snaptrend.llm.rows import ship, table, through_pandas
 
 ship(__name__)
 
@@ -319,7 +319,7 @@ def extract(pages: DataFrame, labelled=LABELLED) -> DataFrame:
         for batch in batches:
             yield batch[["page_id", "url"]].assign(text=[main_text(x, tree) for x in batch["html"]])
 
-    found = rows.mapInPandas(run, f"page_id {kinds['page_id']}, url {kinds['url']}, text string")
+    found = through_pandas(rows, run, f"url {kinds['url']}, text string", "page_id")
     return found.withColumn("n_chars", F.length("text").cast("bigint"))
 
 

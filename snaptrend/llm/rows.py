@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +26,7 @@ def ship(name: str) -> None:
 
 ship(__name__)
 
-__all__ = ["KEYS", "KEY_SCHEMA", "keyed", "portions", "ship", "stored", "table", "text_of"]
+__all__ = ["KEYS", "KEY_SCHEMA", "keyed", "portions", "ship", "stored", "table", "text_of", "through_pandas"]
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -60,3 +60,14 @@ def portions(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 20
             to = max(at + 1, int(np.searchsorted(upto, before + most, side="right")))
             yield batch.slice(at, to - at)
             at = to
+
+
+def through_pandas(rows: DataFrame, run: Callable, schema: str, *ids: str) -> DataFrame:
+    """``mapInPandas`` whose id columns, first in the result, are text in between.
+
+    Pandas holds whole numbers next to a null one as floats, and those know only 53 bits of an id.
+    """
+    kinds = {f.name: f.dataType for f in rows.schema}
+    told = rows.select(*(F.col(c).cast("string").alias(c) if c in ids else F.col(c) for c in rows.columns))
+    found = told.mapInPandas(run, ", ".join([*(f"{c} string" for c in ids), schema]))
+    return found.select(*(F.col(c).cast(kinds[c]).alias(c) if c in ids else F.col(c) for c in found.columns))

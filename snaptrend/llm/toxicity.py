@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snaptrend.llm.rows import ship, table, text_of
+from snaptrend.llm.rows import ship, table, text_of, through_pandas
 from snaptrend.session import checkpointed
 
 ship(__name__)
@@ -48,7 +48,7 @@ class Severity:
 def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE) -> DataFrame:
     """At most about ``per_class`` labelled texts of each class, chosen by a hash of the id.
 
-    Texts that share their four least word hashes count once: copies and near copies say nothing new
+    Texts that share their four least word hashes count once, by the least id: copies and near copies say nothing new
     about a word. The chosen ids are few (the bound), so they are sent to all tasks.
     """
     # An id that is labelled twice counts as toxic if either says so.
@@ -62,7 +62,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE)
     texts = docs.select("doc_id", text_of().alias("_text")).join(F.broadcast(chosen), "doc_id")
     words = F.array_distinct(F.split(F.lower("_text"), r"(?U)\W+"))
     least = F.slice(F.array_sort(F.transform(words, lambda w: F.xxhash64(w))), 1, 4)
-    return checkpointed(texts.select("_y", "_text", least.alias("_least")).dropDuplicates(["_least", "_y"]).drop("_least"))
+    kept = texts.groupBy(least.alias("_least"), "_y").agg(F.min(F.struct("doc_id", "_text"))["_text"].alias("_text"))
+    return checkpointed(kept.select("_y", "_text"))
 
 
 def leaning_words(sample: DataFrame, limit: int = VOCABULARY) -> list[str]:
@@ -155,7 +156,6 @@ def rate(docs: DataFrame, model: Severity, bar: float = 0.5) -> DataFrame:
     severity of clean text. Whole texts are read. Other columns are ignored.
     """
     rows = docs.select("doc_id", "text")
-    kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -165,7 +165,7 @@ def rate(docs: DataFrame, model: Severity, bar: float = 0.5) -> DataFrame:
                 "p_toxic": 1 - p[:, 0], "rejected": 1 - p[:, 0] >= bar,
             })
 
-    return rows.mapInPandas(run, f"doc_id {kind}, {ADDED}")
+    return through_pandas(rows, run, ADDED, "doc_id")
 
 
 def without_toxic(docs: DataFrame, model: Severity, bar: float = 0.5) -> DataFrame:

@@ -13,10 +13,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snaptrend.llm.rows import ship, stored, table
+from snaptrend.llm.rows import ship, stored, table, through_pandas
 
 ship(__name__)
 
@@ -172,7 +172,6 @@ def parse(parts: DataFrame, model: RoleModel) -> DataFrame:
     ``parts`` has conv_id, part (unique within a conversation, in order) and lines. Parts without lines give no turns.
     A null conv_id is a conversation of its own. A conversation of any length is spread by part.
     """
-    kind = parts.schema["conv_id"].dataType.simpleString()
     rows = parts.where(F.size("lines") > 0).select("conv_id", "part", "lines")
 
     def tables(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -189,10 +188,10 @@ def parse(parts: DataFrame, model: RoleModel) -> DataFrame:
                 out += [(conv, x["part"], a, b) for x, (a, b) in zip(held, ends, strict=True)]
             yield pd.DataFrame(out, columns=["conv_id", "part", "first", "last"])
 
-    best = rows.mapInPandas(tables, f"conv_id {kind}, part bigint, best array<double>")
+    best = through_pandas(rows, tables, "part bigint, best array<double>", "conv_id")
     # A few numbers for each part of a conversation, not its lines.
     held = best.groupBy("conv_id").agg(F.collect_list(F.struct("part", "best")).alias("held"))
-    ends = held.mapInPandas(chain, f"conv_id {kind}, part bigint, first int, last int")
+    ends = through_pandas(held, chain, "part bigint, first int, last int", "conv_id")
     named = ends.select(F.col("conv_id").alias("_c"), F.col("part").alias("_p"), "first", "last")
     joined = rows.join(named, rows["conv_id"].eqNullSafe(named["_c"]) & (rows["part"] == named["_p"]))
 
@@ -213,8 +212,9 @@ def parse(parts: DataFrame, model: RoleModel) -> DataFrame:
                     out.append((conv, part, k, role, text, render(role, text)))
             yield pd.DataFrame(out, columns=["conv_id", "part", "turn", "role", "text", "rendered"])
 
-    return joined.select("conv_id", "part", "lines", "first", "last").mapInPandas(
-        turns, f"conv_id {kind}, part bigint, turn int, role string, text string, rendered string"
+    return through_pandas(
+        joined.select("conv_id", "part", "lines", "first", "last"), turns,
+        "part bigint, turn int, role string, text string, rendered string", "conv_id",
     )
 
 
