@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import json
+from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -98,12 +102,88 @@ def latest_run_date_value(df: DataFrame, column: str = "run_date") -> date:
     return value
 
 
-def load_table(spark: SparkSession, path: str, table: str, mode: str = "overwrite") -> None:
-    """Load Parquet files into a table, by default replacing all of it; schema from the files."""
-    spark.read.parquet(path).write.mode(mode).option("partitionOverwriteMode", "static").saveAsTable(table)
+@dataclass(frozen=True)
+class Conflict:
+    """A column that has different types in different files, and the type that it gets."""
 
+    column: str
+    types: tuple[str, ...]
+    taken: str
 
-def load_layer(spark: SparkSession, sources: dict[str, str], database: str) -> None:
-    """Load every ``table -> path`` pair into a database, each table replaced as a whole."""
-    for table, path in sources.items():
-        load_table(spark, path, f"{database}.{table}")
+
+def read_files(spark: SparkSession, path: str, schema: T.StructType | None = None) -> tuple[DataFrame, list[Conflict]]:
+    """Rows of all Parquet files below a path under one schema, and the columns on which the files disagree.
+
+    A column that some files lack is null there. Where types differ, the declared one is taken, else text; values that
+    do not fit become null. Files that agree, the usual case, are one read; others are read by groups of equal schema.
+    """
+    base = path.rstrip("/")
+    try:
+        return _as(spark.read.option("mergeSchema", "true").parquet(base), schema), []
+    except AnalysisException as error:
+        merged = error
+    except Exception as error:  # the merge runs as a job, whose error Spark does not translate
+        if "merge" not in str(error).lower():
+            raise
+        merged = error
+    groups: dict[str, list[str]] = {}
+    reader = spark.read.option("basePath", base)
+    # Footers only, and only where files disagree.
+    for file in sorted(_data_files(spark, base)):
+        groups.setdefault(reader.parquet(file).schema.json(), []).append(file)
+    if len(groups) < 2:
+        raise merged
+    found: dict[str, set[str]] = {}
+    for text in groups:
+        for field in T.StructType.fromJson(json.loads(text)):
+            found.setdefault(field.name, set()).add(field.dataType.simpleString())
+    declared = {f.name: f.dataType.simpleString() for f in schema or ()}
+    conflicts = [
+        Conflict(name, tuple(sorted(kinds)), declared.get(name, "string")) for name, kinds in found.items() if len(kinds) > 1
+    ]
+    told = {c.column: c.taken for c in conflicts}
+    parts = []
+    for files in groups.values():
+        part = reader.parquet(*files)
+        wanted = T.StructType([T.StructField(n, T.StructType.fromDDL(f"x {k}")[0].dataType) for n, k in told.items()])
+        parts.append(_as(coerce(part, wanted), schema))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts), conflicts
+
+
+def _as(rows: DataFrame, schema: T.StructType | None) -> DataFrame:
+    return rows if schema is None else align(rows, schema)
+
+
+def _data_files(spark: SparkSession, path: str) -> list[str]:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    listed = where.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(where, True)
+    found = []
+    while listed.hasNext():
+        file = listed.next().getPath()
+        if not file.getName().startswith(("_", ".")):
+            found.append(file.toString())
+    return found
+
+
+def load_table(spark: SparkSession, path: str, table: str, mode: str = "overwrite") -> list[Conflict]:
+    """Load Parquet files into a table, by default replacing all of it.
+
+    A table that is there keeps its declaration: columns, types and partitions. Otherwise it is made as the files are.
+    """
+    if not spark.catalog.tableExists(table):
+        rows, conflicts = read_files(spark, path)
+        rows.write.mode(mode).saveAsTable(table)
+        return conflicts
+    rows, conflicts = read_files(spark, path, spark.table(table).schema)
+    previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    try:
+        rows.write.insertInto(table, overwrite=mode == "overwrite")
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
+    return conflicts
+
+
+def load_layer(spark: SparkSession, sources: dict[str, str], database: str) -> dict[str, list[Conflict]]:
+    """Load every ``table -> path`` pair into a database, each table replaced as a whole; conflicts of each."""
+    return {table: load_table(spark, path, f"{database}.{table}") for table, path in sources.items()}

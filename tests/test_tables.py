@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from snaptrend import schemas
+from snaptrend.plans import silver
 from snaptrend.plans.silver import refresh_silver
 from snaptrend.session import drop_stored, stored
 from snaptrend.sources import json_sink, landed, snapshots, tables
@@ -93,6 +94,76 @@ def test_silver_refresh_moves_comments_and_repeats(spark, tmp_path):
     assert spark.table("s_silver.channels_daily").count() == 2
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_current_keys_are_not_shuffled_and_survive_a_break(spark, monkeypatch):
+    """Only the source is shuffled; an index that is behind its table is made anew."""
+    spec = schemas.COMMENTS_CURRENT
+    tables.create_layers(spark, {"silver": "k_silver"})
+
+    def rows(day, ids, hour):
+        return spark.createDataFrame(
+            [(day, i, datetime(day.year, day.month, day.day, hour)) for i in ids], "run_date date, comment_id string, extracted_at timestamp"
+        )
+
+    def state():
+        return sorted((r.comment_id, r.run_date) for r in spark.table("k_silver.comments_current").collect() if r.comment_id)
+
+    silver.merge_current(spark, rows(D1, ["a", "b", None], 1), "k_silver", spec, D1)
+    previous = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for partitions in ("4", "200"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        try:
+            changes = silver.current_changes(spark, snapshots.align(rows(D2, ["b", "c"], 1), spec.schema), "k_silver", spec)
+            plan = plan_of(changes)
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", previous)
+            spark.conf.set("spark.sql.shuffle.partitions", "4")
+        lines = plan.splitlines()
+        at = next(i for i, x in enumerate(lines) if "FileScan" in x and "comments_current_keys" in x)
+        depth, above = len(lines[at]), []
+        for line in reversed(lines[: at + 1]):
+            indent = len(line) - len(line.lstrip(" :+-"))
+            if indent < depth:
+                depth = indent
+                above.append(line.strip(" :+-"))
+                if "SortMergeJoin" in line:
+                    break
+        assert "SortMergeJoin" in above[-1] and not any("Exchange" in x for x in above), plan
+        assert "PartitionFilters: [" in lines[at] and "part" in lines[at]
+    good = silver._write_index
+    monkeypatch.setattr(silver, "_write_index", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        silver.merge_current(spark, rows(D2, ["b", "c"], 1), "k_silver", spec, D2)
+    monkeypatch.setattr(silver, "_write_index", good)
+    assert state() == [("a", D1), ("b", D2), ("c", D2)]
+    silver.merge_current(spark, rows(D2, ["b", "c"], 1), "k_silver", spec, D2)
+    assert state() == [("a", D1), ("b", D2), ("c", D2)]
+    assert sorted(r.comment_id for r in spark.table("k_silver.comments_current_keys").collect()) == ["a", "b", "c"]
+
+
+def test_files_that_disagree(spark, tmp_path):
+    """Types of all files are told; the declared table keeps its partitions; undeclared columns become text."""
+    path = str(tmp_path / "in")
+    one = spark.createDataFrame([(D1, "a", 1, 1.5)], "run_date date, video_id string, view_count int, other double")
+    two = spark.createDataFrame([(D2, "b", "x", "y"), (D2, "c", "7", "z")], "run_date date, video_id string, view_count string, other string")
+    for rows in (one, two):
+        rows.write.mode("append").partitionBy("run_date").parquet(path)
+    tables.create_layers(spark, {"raw": "d_raw"})
+    for _ in range(2):
+        told = snapshots.load_layer(spark, {"videos_raw": path}, "d_raw")
+    assert snapshots.Conflict("view_count", ("int", "string"), "bigint") in told["videos_raw"]
+    got = spark.table("d_raw.videos_raw")
+    assert sorted((r.video_id, r.view_count, r.run_date) for r in got.collect()) == [("a", 1, D1), ("b", None, D2), ("c", 7, D2)]
+    assert spark.sql("SHOW PARTITIONS d_raw.videos_raw").count() == 2
+    rows, conflicts = snapshots.read_files(spark, path)
+    assert {c.column: c.taken for c in conflicts} == {"view_count": "string", "other": "string"}
+    assert sorted((r.view_count, r.other) for r in rows.collect()) == [("1", "1.5"), ("7", "z"), ("x", "y")]
+
+
 def test_landed_edge_cases(spark, tmp_path):
     page = json.dumps({"items": [
         {"id": "v1", "snippet": {}, "statistics": {"viewCount": "0", "likeCount": ""}, "contentDetails": {"duration": "x"}},

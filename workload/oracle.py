@@ -715,3 +715,20 @@ UNION ALL
 SELECT 'summary', day.run_date, macro, channel_id, day.n, talks, said.n FROM day JOIN top ON top.run_date = day.run_date
 JOIN top_channel ON top_channel.run_date = day.run_date JOIN said ON said.run_date = day.run_date
 """
+
+ORACLE["raw_load"] = """
+WITH o AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS run_date, CAST(o_orderkey AS VARCHAR) AS video_id,
+                  CAST(round(o_totalprice * 100) AS BIGINT) AS view_count, length(o_orderstatus) AS like_count, o_orderpriority AS p FROM orders)
+SELECT run_date, video_id, view_count, like_count, CASE WHEN month(run_date) % 2 = 1 THEN p END AS title,
+       'view_count: bigint, string as bigint' AS conflicts, (SELECT count(DISTINCT run_date) FROM o) AS months FROM o
+"""
+
+ORACLE["silver_refresh"] = f"""
+WITH {EV}, e AS (SELECT *, CASE WHEN run_date <= DATE '2024-01-15' THEN DATE '2024-01-15' ELSE DATE '2024-01-30' END AS day FROM ev),
+comment AS (SELECT *, row_number() OVER (PARTITION BY video_id, event_type ORDER BY day DESC, ts DESC, props, cents) AS rn FROM e),
+video AS (SELECT *, row_number() OVER (PARTITION BY day, video_id ORDER BY ts DESC, event_type, cents) AS rn FROM e),
+channel AS (SELECT *, row_number() OVER (PARTITION BY day, channel_id ORDER BY ts DESC, cents) AS rn FROM e)
+SELECT 'comment' AS kind, day AS run_date, video_id || '-' || event_type AS key, cents AS n, {shown('ts')} AS extracted_at FROM comment WHERE rn = 1
+UNION ALL SELECT 'video', day, video_id, cents, {shown('ts')} FROM video WHERE rn = 1
+UNION ALL SELECT 'channel', day, channel_id, cents, {shown('ts')} FROM channel WHERE rn = 1
+"""

@@ -13,11 +13,11 @@ from snaptrend.functions.dates import date_window
 from snaptrend.functions.lexicon import TopicRule
 from snaptrend.operators import subtopics, topics, versions
 from snaptrend.operators.deltas import with_changes
-from snaptrend.plans import export, gold_job, ingest, momentum, topic_gold
+from snaptrend.plans import export, gold_job, ingest, momentum, silver, topic_gold
 from snaptrend.plans.video_topics import previous_sub_topics
 from snaptrend.plans.video_topics import video_topics as assign_topics
 from snaptrend.schemas import (
-    CHANNEL_DAILY, CHANNELS_DAILY, COMMENTS_CURRENT, DASHBOARD_SUMMARY_DAILY, TOPIC_DAILY, TOPIC_TRENDS_DAILY, VIDEO_TOPICS_DAILY,
+    CHANNEL_DAILY, CHANNELS_DAILY, CHANNELS_RAW, COMMENTS_CURRENT, COMMENTS_RAW, DASHBOARD_SUMMARY_DAILY, TOPIC_DAILY, TOPIC_TRENDS_DAILY, VIDEO_TOPICS_DAILY,
     VIDEOS_DAILY, VIDEOS_RAW, TableSpec,
 )
 from snaptrend.session import checkpoint_folder, checkpointed, stored
@@ -794,3 +794,55 @@ def table_changes(spark, folder):
     kept = stored(spark.table(f"{database}.orders_monthly").select("run_date", "video_id", "view_count", F.lit("rebuilt").alias("note")))
     spark.sql(f"DROP DATABASE {database} CASCADE")
     return out.unionByName(kept)
+
+
+@query
+def raw_load(spark, folder):
+    """Monthly snapshots of all orders whose files disagree on a type and a column, loaded twice into a declared table."""
+    path = f"{checkpoint_folder(spark)}/raw-{uuid.uuid4()}"
+    database = f"raw_{uuid.uuid4().hex}"
+    rows = A.order_videos(spark, folder).select("run_date", "video_id", "view_count", "like_count", F.col("channel_title").alias("title"))
+    odd = F.month("run_date") % 2 == 1
+    writer = rows.where(odd).write.partitionBy("run_date")
+    writer.parquet(path)
+    text = rows.where(~odd).withColumn("view_count", F.concat(F.lit(" "), F.col("view_count").cast("string"))).drop("title")
+    text.write.mode("append").partitionBy("run_date").parquet(path)
+    tables.create_database(spark, database)
+    tables.create_table(spark, database, VIDEOS_RAW)
+    for _ in range(2):
+        conflicts = snapshots.load_layer(spark, {VIDEOS_RAW.name: path}, database)[VIDEOS_RAW.name]
+    told = "; ".join(f"{c.column}: {', '.join(c.types)} as {c.taken}" for c in conflicts)
+    months = spark.sql(f"SHOW PARTITIONS {database}.{VIDEOS_RAW.name}").count()
+    loaded = spark.table(f"{database}.{VIDEOS_RAW.name}").select("run_date", "video_id", "view_count", "like_count", "title")
+    out = stored(loaded.withColumns({"conflicts": F.lit(told), "months": F.lit(months).cast("bigint")}))
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return out
+
+
+@query
+def silver_refresh(spark, folder):
+    """All events as raw rows of two days, merged into the silver tables day by day, the second day once more."""
+    name = uuid.uuid4().hex
+    raw, current = f"raw_{name}", f"silver_{name}"
+    days = ("2024-01-15", "2024-01-30")
+    events = A.events(spark, folder)
+    day = F.when(F.col("run_date") <= days[0], days[0]).otherwise(days[1]).cast("date")
+    events = events.withColumns({"run_date": day, "extracted_at": F.col("ts"), "comment_id": F.concat_ws("-", "video_id", "event_type")})
+    comments = events.select("run_date", "video_id", "comment_id", F.col("props").alias("comment_text"), F.col("cents").alias("like_count"), "extracted_at")
+    videos = events.select("run_date", "video_id", F.col("event_type").alias("title"), "channel_id", F.col("cents").alias("view_count"), "extracted_at")
+    channels = events.select("run_date", "channel_id", F.col("cents").alias("subscriber_count"), "extracted_at")
+    for database in (raw, current):
+        tables.create_database(spark, database)
+    for at in (days[0], days[1], days[1]):
+        for rows, spec in ((comments, COMMENTS_RAW), (videos, VIDEOS_RAW), (channels, CHANNELS_RAW)):
+            tables.replace_table(rows.where(F.col("run_date") == F.lit(at).cast("date")), raw, spec)
+        silver.refresh_silver(spark, raw, current, at)
+    read = lambda spec: spark.table(f"{current}.{spec.name}")
+    out = stored(
+        read(COMMENTS_CURRENT).select(F.lit("comment").alias("kind"), "run_date", F.col("comment_id").alias("key"), F.col("like_count").alias("n"), shown("extracted_at"))
+        .union(read(VIDEOS_DAILY).select(F.lit("video"), "run_date", "video_id", "view_count", shown("extracted_at")))
+        .union(read(CHANNELS_DAILY).select(F.lit("channel"), "run_date", "channel_id", "subscriber_count", shown("extracted_at")))
+    )
+    for database in (raw, current):
+        spark.sql(f"DROP DATABASE {database} CASCADE")
+    return out
