@@ -732,3 +732,10 @@ SELECT 'comment' AS kind, day AS run_date, video_id || '-' || event_type AS key,
 UNION ALL SELECT 'video', day, video_id, cents, {shown('ts')} FROM video WHERE rn = 1
 UNION ALL SELECT 'channel', day, channel_id, cents, {shown('ts')} FROM channel WHERE rn = 1
 """
+
+ORACLE["mixed_schemas"] = f"""WITH {TOPICS}
+SELECT run_date, video_id, topic_id, CASE WHEN run_date < DATE '2024-01-15' THEN topic_id ELSE coalesce(raw_macro, topic_id) END AS macro_topic_id,
+       upper(topic_id) AS macro_topic_name,
+       CASE WHEN run_date < DATE '2024-01-15' THEN topic_id || '__general' ELSE coalesce(raw_sub, topic_id || '__general') END AS sub_topic_id,
+       CASE WHEN run_date < DATE '2024-01-15' THEN topic_name ELSE coalesce(raw_sub_name, topic_name) END AS sub_topic_name, CAST(0 AS BIGINT) AS conflicts
+FROM assigned"""

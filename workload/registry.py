@@ -846,3 +846,18 @@ def silver_refresh(spark, folder):
     for database in (raw, current):
         spark.sql(f"DROP DATABASE {database} CASCADE")
     return out
+
+
+@query
+def mixed_schemas(spark, folder):
+    """Topic rows of days written before and after the hierarchy columns were added, read as one and filled in."""
+    path = f"{checkpoint_folder(spark)}/topics-{uuid.uuid4()}"
+    rows = A.assignments(spark, folder).select(
+        "run_date", "video_id", "topic_id", "topic_name", "macro_topic_id", "macro_topic_name", "sub_topic_id", "sub_topic_name"
+    )
+    older = F.col("run_date") < "2024-01-15"
+    rows.where(older).select("run_date", "video_id", "topic_id", "topic_name").write.partitionBy("run_date").parquet(path)
+    rows.where(~older).write.mode("append").partitionBy("run_date").parquet(path)
+    found, conflicts = snapshots.read_files(spark, path)
+    filled = topic_gold.with_hierarchy(found.withColumn("conflicts", F.lit(len(conflicts)).cast("bigint")))
+    return filled.select("run_date", "video_id", "topic_id", "macro_topic_id", "macro_topic_name", "sub_topic_id", "sub_topic_name", "conflicts")
