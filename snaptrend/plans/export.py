@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snaptrend.functions.dates import DateWindow, date_window
@@ -24,6 +24,7 @@ from snaptrend.operators.series import densify
 from snaptrend.plans.topic_gold import on_date
 from snaptrend.session import stored
 from snaptrend.sources.json_sink import write_array, write_object
+from snaptrend.sources.tables import run_dates_of
 
 SERIES = ("videos_count", "total_comments", "total_views", "comments_change", "views_change")
 MACRO_ID = ("macro_topic_id", "topic_id")
@@ -47,6 +48,11 @@ def window_from_tables(summary: DataFrame, topics: DataFrame, start=None, end=No
     return row["latest_run_date"], window
 
 
+def bounds_from_catalog(spark: SparkSession, summary: str, topics: str) -> tuple[date | None, date | None]:
+    """Latest date of the summary table and earliest of the topic table, from the catalog alone."""
+    return max(run_dates_of(spark, summary), default=None), min(run_dates_of(spark, topics), default=None)
+
+
 def _in_window(df: DataFrame, window: DateWindow) -> DataFrame:
     return df.where(F.col("run_date").between(F.lit(window.start), F.lit(window.end)))
 
@@ -403,14 +409,19 @@ def dashboard_documents(
     end=None,
     topic_limit: int = 6,
     generated_at: Column | None = None,
+    bounds: tuple[date | None, date | None] | None = None,
 ) -> dict[str, Document]:
     """All documents of the dashboard by file name.
 
     The gold topics are read once, for the columns and dates that any document needs; what several documents share (the
     chosen topics, the day's videos with their topics) is made once. Without a summary there is no latest date: then the
-    window needs both bounds, and the documents of the latest day are empty.
+    window needs both bounds, and the documents of the latest day are empty. ``bounds`` are the latest and earliest date
+    where they are known already (``bounds_from_catalog``); otherwise the tables are read for them.
     """
-    latest, window = window_from_tables(summary, topics, start, end)
+    if bounds is None:
+        latest, window = window_from_tables(summary, topics, start, end)
+    else:
+        latest, window = bounds[0], date_window(start or bounds[1], end, bounds[0])
     slim = stored(topics.select(*TOPIC_COLUMNS))
     day = F.lit(latest).cast("date")
     chosen = stored(top_relevant_topics(slim, window, topic_limit))

@@ -100,6 +100,16 @@ def replace_run_dates(
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (run_date = DATE'{day}')")
 
 
+def run_dates_of(spark: SparkSession, table: str) -> list[date]:
+    """Run dates of a table in order, from the catalog: no file is listed or opened.
+
+    A date that was replaced by nothing is dropped from the catalog, so every date listed was written with rows.
+    """
+    said = spark.sql(f"SHOW PARTITIONS {table}").collect()
+    days = (r["partition"].split("/")[0].removeprefix("run_date=") for r in said)
+    return sorted(date.fromisoformat(d) for d in days if d != "__HIVE_DEFAULT_PARTITION__")
+
+
 # --- staged run dates -----------------------------------------------------------------------
 
 

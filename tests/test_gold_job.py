@@ -127,11 +127,27 @@ def test_staged_rows_of_another_date_are_an_error(spark, tmp_path):
         tables.stage_run_date(rows, schemas.CHANNEL_DAILY, DAYS[1], str(tmp_path / "x"))
 
 
+def test_bounds_come_from_the_catalog(spark, tmp_path):
+    """No file of the tables is there to be read."""
+    tables.create_database(spark, "b_gold")
+    for spec, days in ((schemas.DASHBOARD_SUMMARY_DAILY, DAYS[1:]), (schemas.TOPIC_DAILY, DAYS)):
+        tables.create_table(spark, "b_gold", spec)
+        for day in days:
+            tables.switch_run_date(spark, f"b_gold.{spec.name}", day, str(tmp_path / "nowhere" / spec.name))
+    names = ("b_gold.dashboard_summary_daily", "b_gold.topic_daily")
+    assert export.bounds_from_catalog(spark, *names) == (DAYS[2], DAYS[0])
+    assert tables.run_dates_of(spark, names[0]) == DAYS[1:]
+    tables.create_table(spark, "b_gold", schemas.CHANNEL_DAILY)
+    assert export.bounds_from_catalog(spark, "b_gold.channel_daily", "b_gold.channel_daily") == (None, None)
+
+
 def test_documents_without_any_rows(spark, tmp_path):
     nothing = lambda spec: spark.createDataFrame([], spec.schema)
     frames = [nothing(s) for s in (schemas.DASHBOARD_SUMMARY_DAILY, schemas.TOPIC_DAILY, schemas.VIDEO_TOPICS_DAILY, schemas.VIDEOS_DAILY, schemas.CHANNEL_DAILY)]
     with pytest.raises(ValueError):
         export.dashboard_documents(*frames)
+    with pytest.raises(ValueError):
+        export.dashboard_documents(*frames, bounds=(None, None))
     documents = export.dashboard_documents(*frames, "2024-01-01", "2024-01-02")
     names = export.export_dashboard(documents, [str(tmp_path / "a"), str(tmp_path / "b")])
     assert len(names) == 11
