@@ -17,10 +17,11 @@ ship(__name__)
 
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?:!|\?)[^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
+    # A quote opens a value after an equals sign only, and only if it is closed somewhere.
+    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*)(?:>|\Z)",
     re.S,
 )
-ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>][^\s>]*))?""")
 
 #: Elements whose content is no text of the page.
 SILENT = frozenset("script style title template noscript iframe svg canvas select option textarea button object".split())
@@ -53,6 +54,8 @@ CHROME_WORDS = frozenset(
 )
 COMMENT_WORDS = frozenset("comment comments commentlist reply replies discussion respond disqus".split())
 ARTICLE_WORDS = frozenset("article articlebody content post entry story main".split())
+#: With one of these in its name, a header is that of an article and holds its heading.
+HEADED_WORDS = frozenset("article post entry story".split())
 
 FEATURES = (
     "words", "density", "previous_words", "previous_density", "next_words", "next_density", "in_article", "in_chrome",
@@ -168,7 +171,8 @@ def _surroundings(name: str, attributes: str) -> tuple[bool, bool, bool, bool]:
             elif key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
                 kind = True
     comments = bool(words & COMMENT_WORDS)
-    named = bool(words & CHROME_WORDS)
+    headed = {"header"} if words & HEADED_WORDS else set()
+    named = bool(words & CHROME_WORDS - headed)
     article = (article or bool(words & ARTICLE_WORDS)) and not named and not comments and not kind
     return article, kind, named and name not in ("article", "main"), comments
 

@@ -48,6 +48,11 @@ PAGE = """<html><head><title>T</title><style>p{a:b}</style></head><body><header>
         ("<article><p>a &lt; b &amp;amp; c</article>", "a < b &amp; c"),
         ('<div class="ad">open<article><p>kept</p></article>', "kept"),
         ("<article><p title='a>b'>quoted</p></article><!-- never closed", "quoted"),
+        ("<article><p title=don't>one</p><p>two isn't lost</p><p>three</p></article>", "one\ntwo isn't lost\nthree"),
+        ('<article><p>see <a title="x>link</a> here</p></article>', "see link here"),
+        ("<article><p data-x=5' class=b>one</p><p title = 'a > b' id=c>two</p></article>", "one\ntwo"),
+        ('<div class="post"><div class="entry-header"><h1>Heading of it</h1></div><p>Body text of it.</p></div>', "Heading of it\nBody text of it."),
+        ('<div class="main-header"><h1>Site</h1></div><article><p>Body text of it.</p></article>', "Body text of it."),
     ],
 )
 def test_main_text(page, text):
