@@ -1,14 +1,13 @@
-"""Text expressions. All are JVM-side columns except the optional full-Unicode fold."""
+"""Text expressions. All are JVM-side columns."""
 
 from __future__ import annotations
 
+import sys
 import unicodedata
 from functools import lru_cache, reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from snaptrend.functions.lexicon import DEFAULT_SLUG, DEFAULT_SUB_NAME, PROTECTED_TERMS
 
@@ -17,47 +16,78 @@ def _fold_char(char: str) -> str:
     return "".join(c for c in unicodedata.normalize("NFKD", char) if not unicodedata.combining(c))
 
 
+#: Hangul syllables decompose by arithmetic: a lead, a vowel and perhaps a tail.
+HANGUL, VOWELS, TAILS = 0xAC00, 21, 28
+HANGUL_END = HANGUL + 19 * VOWELS * TAILS - 1
+
+
 @lru_cache(maxsize=1)
-def fold_table() -> tuple[str, str]:
-    """Source and target of a ``translate`` that decomposes letters and drops combining marks.
+def fold_tables() -> tuple[str, str, str, tuple[str, ...]]:
+    """Source and target of a ``translate``, then characters that become several, with what they become.
 
-    Built from the Unicode data by rule: every character whose decomposition is one other
-    character, then every mark that disappears. ``translate`` deletes source characters that
-    have no partner, so the marks come last. CJK compatibility forms are left out.
+    Built from the Unicode data by rule: every character whose decomposition without combining marks is one
+    other character, then every mark that disappears. ``translate`` deletes source characters that
+    have no partner, so the marks come last. Hangul syllables are left to arithmetic.
     """
-    singles, marks = [], []
-    for code in range(0x80, 0x1F200):
-        if 0xD800 <= code < 0xE000 or 0xF900 <= code < 0xFB00:
-            continue
+    singles, marks, several = [], [], []
+    for code in (*range(0x80, HANGUL), *range(0xE000, sys.maxunicode + 1)):
         char = chr(code)
         folded = _fold_char(char)
         if folded == "":
             marks.append(char)
-        elif len(folded) == 1 and folded != char:
+        elif len(folded) > 1:
+            several.append((char, folded))
+        elif folded != char:
             singles.append((char, folded))
     source = "".join(c for c, _ in singles) + "".join(marks)
-    return source, "".join(f for _, f in singles)
-
+    return source, "".join(f for _, f in singles), "".join(c for c, _ in several), tuple(f for _, f in several)
+
+
+def _ranges(chars: str) -> str:
+    """The characters, in order, as stretches of a regular expression's class."""
+    stretches: list[list[int]] = []
+    for code in map(ord, chars):
+        if stretches and stretches[-1][1] == code - 1:
+            stretches[-1][1] = code
+        else:
+            stretches.append([code, code])
+    return "".join(rf"\x{{{lo:x}}}-\x{{{hi:x}}}" for lo, hi in stretches)
+
+
+def _expanded(char: Column) -> Column:
+    """What one character becomes where that is several, else the character."""
+    _, _, several, become = fold_tables()
+    at = F.instr(F.lit(several), char)
+    known = F.split(F.lit("\n".join(become)), "\n")
+    code = F.ascii(char) - HANGUL
+    lead, vowel, tail = F.floor(code / (VOWELS * TAILS)), F.floor(code / TAILS) % VOWELS, code % TAILS
+    jamo = lambda first, number: F.substring(
+        F.lit("".join(chr(first + i) for i in range(TAILS))), (number + 1).cast("int"), F.lit(1)
+    )
+    syllable = F.concat(jamo(0x1100, lead), jamo(0x1161, vowel), F.when(tail > 0, jamo(0x11A7, tail)).otherwise(F.lit("")))
+    return (
+        F.when((code >= 0) & (code <= HANGUL_END - HANGUL), syllable)
+        .when(at > 0, F.element_at(known, at))
+        .otherwise(char)
+    )
 
-@F.pandas_udf(StringType())
-def _fold_exact(texts: pd.Series) -> pd.Series:
-    return texts.map(_fold_char, na_action="ignore")
 
+def fold_accents(col: Column) -> Column:
+    """Compatibility decomposition without its combining marks, as an expression.
 
-def fold_accents(col: Column, exact: bool = False) -> Column:
-    """Remove accents. ``exact`` also expands characters that decompose into several."""
-    if exact:
-        return _fold_exact(col)
-    return F.translate(col, *fold_table())
+    A text that holds a character which becomes several is taken apart for it; all others need one lookup.
+    """
+    source, target, several, _ = fold_tables()
+    wide = rf"[{_ranges(several)}\x{{{HANGUL:x}}}-\x{{{HANGUL_END:x}}}]"
+    apart = F.array_join(F.transform(F.split(col, ""), _expanded), "")
+    return F.translate(F.when(col.rlike(wide), apart).otherwise(col), source, target)
 
 
-def normalize_text(col: Column, exact: bool = False) -> Column:
+def normalize_text(col: Column) -> Column:
     """Lower case, no accents, every run of non-word characters one space, trimmed; null is ""."""
-    text = F.coalesce(col, F.lit(""))
-    folded = fold_accents(F.lower(text), exact)
-    if not exact:
-        # Text whose byte and character lengths agree is plain ASCII and skips the lookup.
-        folded = F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(folded)
+    lower = F.lower(F.coalesce(col, F.lit("")))
+    # Text whose byte and character lengths agree is plain ASCII and skips the lookup.
+    folded = F.when(F.octet_length(lower) == F.char_length(lower), lower).otherwise(fold_accents(lower))
     return F.trim(F.regexp_replace(folded, r"[^\p{L}\p{N}_]+", " "))
 
 

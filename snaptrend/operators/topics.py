@@ -205,7 +205,6 @@ def classify_macro_topics(
     rules: Sequence[TopicRule] = lexicon.DEFAULT_TOPIC_RULES,
     stop_words: Sequence[str] | None = None,
     text: str = "source_text",
-    exact_unicode: bool = False,
     spread_by: str | None = None,
 ) -> DataFrame:
     """Add the macro topic of each document: keyword rules, then similarity, then catch-all.
@@ -216,7 +215,7 @@ def classify_macro_topics(
     docs = spread(docs, spread_by) if spread_by else docs
     stop_words = lexicon.default_stop_words() if stop_words is None else stop_words
     seeds = SeedVectors(rules, stop_words)
-    base = docs.withColumn("_norm", normalize_text(F.col(text), exact_unicode))
+    base = docs.withColumn("_norm", normalize_text(F.col(text)))
     by_rule = base.withColumn("_found", _keyword_hits(rules, F.col("_norm"))).withColumn(
         "_rule", _rule_choice(rules, F.col("_found"))
     )

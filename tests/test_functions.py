@@ -1,3 +1,5 @@
+import sys
+import unicodedata
 from datetime import date
 
 import pytest
@@ -17,13 +19,25 @@ def one(spark, value, fn, kind="string"):
 ])
 def test_normalize_text(spark, raw, want):
     assert one(spark, raw, text.normalize_text) == want
-    assert one(spark, raw, lambda c: text.normalize_text(c, exact=True)) == want
 
 
 def test_characters_of_several_parts(spark):
-    raw = "straße №5 ﬁn"
-    assert one(spark, raw, text.normalize_text) == "straße 5 ﬁn"
-    assert one(spark, raw, lambda c: text.normalize_text(c, exact=True)) == "straße No5 fin"
+    assert one(spark, "straße №5 ﬁn", text.normalize_text) == "straße No5 fin"
+
+
+def test_folding_equals_decomposition_on_all_code_points(spark):
+    codes = [c for c in range(1, sys.maxunicode + 1) if not 0xD800 <= c < 0xE000]
+    rows = ["|".join(map(chr, codes[i : i + 256])) for i in range(0, len(codes), 256)]
+    df = spark.createDataFrame([(r,) for r in rows], "v string").select("v", text.fold_accents(F.col("v")).alias("f"))
+    assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
+    for v, f in df.collect():
+        want = "".join(c for c in unicodedata.normalize("NFKD", v) if not unicodedata.combining(c))
+        assert f == want, (hex(ord(v[0])), [(a, b) for a, b in zip(f.split("|"), want.split("|"), strict=False) if a != b][:3])
+
+
+def test_hangul_syllables_become_jamo(spark):
+    want = unicodedata.normalize("NFKD", "한국어 가각")
+    assert one(spark, "한국어, 가각!", text.normalize_text) == want
 
 
 def test_slug(spark):
