@@ -43,21 +43,26 @@ def upsert_newer(
     """Target after merging the source: a strictly newer version wins, unknown keys are added.
 
     The source is first cut to its latest version per key. A target row stays when either
-    version is null or the versions are equal. A key with a null part matches nothing: those
-    rows skip the join on both sides, so they cannot pile up in one task either.
+    version is null or the versions are equal. A key with a null part matches nothing: those rows
+    come out of the outer join as they are, spread by a hash of the row so that they cannot pile up in
+    one task. Each input is read once.
     """
     columns = target.columns
     incoming = latest_per_key(source.select(*columns), keys, [F.col(version).desc(), *tie])
-    no_key = has_null_key(keys)
-    old = target.where(~no_key).select(*keys, F.struct(*columns).alias("_old"))
-    new = incoming.where(~no_key).select(*keys, F.struct(*columns).alias("_new"))
+    old = target.select(*keys, _salt(target, keys), F.struct(*columns).alias("_old"))
+    new = incoming.select(*keys, _salt(incoming, keys), F.struct(*columns).alias("_new"))
     take_new = F.col("_old").isNull() | (F.col(f"_new.{version}") > F.col(f"_old.{version}"))
-    merged = (
-        old.join(new, list(keys), "full_outer")
+    return (
+        old.join(new, [*keys, "_salt"], "full_outer")
         .select(F.when(take_new, F.col("_new")).otherwise(F.col("_old")).alias("_row"))
         .select("_row.*")
     )
-    return merged.unionByName(target.where(no_key)).unionByName(incoming.where(no_key))
+
+
+def _salt(df: DataFrame, keys: Sequence[str]) -> Column:
+    """Zero for a whole key; a hash of the row where a part of the key is null, which spreads such rows."""
+    hashed = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    return F.when(has_null_key(keys), F.xxhash64(*hashed)).otherwise(F.lit(0).cast("bigint")).alias("_salt")
 
 
 def split_upsert(

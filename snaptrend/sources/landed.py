@@ -20,11 +20,13 @@ def read_pages(spark: SparkSession, path: str, page_per_file: bool = False) -> D
 def _items(pages: DataFrame, page: str, ddl: str, keep: list[str]) -> DataFrame:
     """One row per entry of the page: ``raw`` holds its JSON, ``item`` the parsed fields.
 
-    Items are first cut out as JSON text, so fields nobody declared stay in the payload.
+    Items are first cut out as JSON text, so fields nobody declared stay in the payload. Both are made
+    before the rows are, so that filters and columns after it share one reading of an item.
     """
     fields = one_line(ddl).removeprefix("items array<").removesuffix(">")
-    raw = F.explode(F.from_json(page, "items array<string>")["items"]).alias("raw")
-    return pages.select(*keep, raw).withColumn("item", F.from_json("raw", fields))
+    cut = F.from_json(page, "items array<string>")["items"]
+    entries = F.transform(cut, lambda raw: F.struct(raw.alias("raw"), F.from_json(raw, fields).alias("item")))
+    return pages.select(*keep, F.explode(entries).alias("_entry")).select(*keep, "_entry.raw", "_entry.item")
 
 
 def flatten_search(pages: DataFrame, page: str = "page", query: str = "search_query") -> DataFrame:
