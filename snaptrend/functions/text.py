@@ -32,6 +32,8 @@ def fold_tables() -> tuple[str, str, str, tuple[str, ...]]:
     singles, marks, several = [], [], []
     for code in (*range(0x80, HANGUL), *range(0xE000, sys.maxunicode + 1)):
         char = chr(code)
+        if not (unicodedata.combining(char) or unicodedata.decomposition(char)):
+            continue
         folded = _fold_char(char)
         if folded == "":
             marks.append(char)
@@ -43,15 +45,24 @@ def fold_tables() -> tuple[str, str, str, tuple[str, ...]]:
     return source, "".join(f for _, f in singles), "".join(c for c, _ in several), tuple(f for _, f in several)
 
 
-def _ranges(chars: str) -> str:
-    """The characters, in order, as stretches of a regular expression's class."""
+def _class_of(chars: str, block: int = 1 << 8) -> str:
+    """Regular expression for one of the characters, given in order.
+
+    Stretches are held in blocks, of which a character that is not meant tests little more than the bounds.
+    """
     stretches: list[list[int]] = []
     for code in map(ord, chars):
-        if stretches and stretches[-1][1] == code - 1:
+        if stretches and stretches[-1][1] == code - 1 and code % block:
             stretches[-1][1] = code
         else:
             stretches.append([code, code])
-    return "".join(rf"\x{{{lo:x}}}-\x{{{hi:x}}}" for lo, hi in stretches)
+    held: dict[int, list[list[int]]] = {}
+    for lo, hi in stretches:
+        held.setdefault(lo // block, []).append([lo, hi])
+    span = lambda lo, hi: rf"\x{{{lo:x}}}-\x{{{hi:x}}}"
+    inside = ("".join(span(*x) for x in part) for part in held.values())
+    outside = (span(part[0][0], part[-1][1]) for part in held.values())
+    return "[" + "".join(f"[{o}&&[{i}]]" for o, i in zip(outside, inside, strict=True)) + "]"
 
 
 def _expanded(char: Column) -> Column:
@@ -75,12 +86,17 @@ def _expanded(char: Column) -> Column:
 def fold_accents(col: Column) -> Column:
     """Compatibility decomposition without its combining marks, as an expression.
 
-    A text that holds a character which becomes several is taken apart for it; all others need one lookup.
+    A text that holds characters which become several, told by a lookup that leaves them out, is cut at them.
     """
     source, target, several, _ = fold_tables()
-    wide = rf"[{_ranges(several)}\x{{{HANGUL:x}}}-\x{{{HANGUL_END:x}}}]"
-    apart = F.array_join(F.transform(F.split(col, ""), _expanded), "")
-    return F.translate(F.when(col.rlike(wide), apart).otherwise(col), source, target)
+    wide = several + "".join(map(chr, range(HANGUL, HANGUL_END + 1)))
+    without = F.translate(col, wide, "")
+    pattern = _class_of("".join(sorted(wide)))
+    gaps, hits = F.split(col, pattern, -1), F.regexp_extract_all(col, F.lit(pattern), F.lit(0))
+    # The last gap has no character after it.
+    parts = F.zip_with(gaps, F.transform(hits, _expanded), lambda gap, become: F.concat(gap, F.coalesce(become, F.lit(""))))
+    apart = F.when(F.octet_length(without) < F.octet_length(col), F.array_join(parts, "")).otherwise(col)
+    return F.translate(apart, source, target)
 
 
 def normalize_text(col: Column) -> Column:
