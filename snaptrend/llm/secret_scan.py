@@ -32,6 +32,8 @@ ALLOWED = (
 )
 
 _SPANS = "array<struct<start:int,stop:int,value:string>>"
+#: Matches whose places are summed in one go.
+STRETCH = 256
 
 
 def matches(text: Column, pattern: str, keep=lambda part: F.lit(True), group: int = 0) -> Column:
@@ -45,21 +47,42 @@ def matches(text: Column, pattern: str, keep=lambda part: F.lit(True), group: in
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hit"),
         F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("part"),
     )
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("out"))
-
-    def step(done, x):
-        start = done["at"] + F.length(x["gap"])
-        stop = start + F.length(x["hit"])
-        span = F.struct(start.alias("start"), stop.alias("stop"), x["part"].alias("value"))
-        # The last gap has no match after it.
-        stays = F.coalesce(x["hit"].isNotNull() & keep(x["part"]), F.lit(False))
-        return F.struct(
-            F.coalesce(stop, done["at"]).alias("at"),
-            F.when(stays, F.array_append(done["out"], span)).otherwise(done["out"]).alias("out"),
-        )
-
-    found = F.aggregate(zipped, begin, step)["out"]
-    return F.when(text.rlike(pattern), found).otherwise(F.array().cast(_SPANS))
+    placed = F.transform(F.array(zipped), _placed)[0]
+    found = F.filter(placed, lambda x: F.coalesce(x["stop"].isNotNull() & keep(x["value"]), F.lit(False)))
+    return F.when(text.rlike(pattern), found.cast(_SPANS)).otherwise(F.array().cast(_SPANS))
+
+
+def _placed(pieces: Column) -> Column:
+    """Places of the matches from the lengths of gaps and matches; the last gap has no match after it, so no stop.
+
+    Running sums append to arrays, which copies them, so they are taken in stretches of ``STRETCH`` and over
+    the sums of stretches: a text of ``n`` matches copies ``n * STRETCH`` numbers, not ``n * n``.
+    """
+    width = F.transform(pieces, lambda x: F.length(x["gap"]) + F.coalesce(F.length(x["hit"]), F.lit(0)))
+    cut = F.transform(
+        F.array(width),
+        lambda w: F.transform(F.sequence(F.lit(0), F.floor((F.size(w) - 1) / STRETCH).cast("int")), lambda b: F.slice(w, b * STRETCH + 1, STRETCH)),
+    )[0]
+    starts = F.transform(
+        F.array(cut),
+        lambda c: F.flatten(F.zip_with(
+            c, _before(F.transform(c, lambda s: F.aggregate(s, F.lit(0), lambda a, x: a + x))),
+            lambda stretch, base: F.transform(_before(stretch), lambda x: x + base),
+        )),
+    )[0]
+    return F.zip_with(
+        pieces, starts,
+        lambda x, at: F.struct(
+            (at + F.length(x["gap"])).alias("start"), (at + F.length(x["gap"]) + F.length(x["hit"])).alias("stop"), x["part"].alias("value")
+        ),
+    )
+
+
+def _before(numbers: Column) -> Column:
+    """Sum of what comes before each number."""
+    first = F.array(F.lit(0))
+    sums = F.aggregate(numbers, first, lambda done, x: F.array_append(done, F.element_at(done, -1) + x))
+    return F.slice(sums, 1, F.size(sums) - 1)
 
 
 def entropy_span(value: Column, window: int) -> Column:

@@ -1,5 +1,7 @@
 """Scans of single rows: pages, secrets, licences, toxicity, leaks."""
 
+import time
+
 import brute
 import numpy as np
 import pytest
@@ -114,6 +116,17 @@ def test_secrets_odd_rows(spark, odd):
     assert secret_scan.scan(odd.limit(0)).count() == 0
 
 
+def test_a_text_full_of_secrets(spark):
+    """Time grows with the matches, not with their square."""
+    text = "token = abcdefghijkl1234 deadbeefdeadbeef " * 24_000
+    rows = spark.createDataFrame([(1, text)], "doc_id int, text string")
+    start = time.time()
+    row = secret_scan.scan(rows).selectExpr("size(assign) n", "size(hex) m", "assign[23999] last", "hex[23999] end").first()
+    assert (row.n, row.m) == (24_000, 24_000) and time.time() - start < 12
+    at = 42 * 23_999
+    assert (row.last.start, row.last.stop, row.last.value) == (at, at + 24, "abcdefghijkl1234") and row.end.start == at + 25
+
+
 def test_secrets_run_no_python(spark):
     plan = secret_scan.query(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Exchange" not in plan
