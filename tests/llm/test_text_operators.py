@@ -229,6 +229,32 @@ def test_leaks_of_documents(spark):
     assert verbatim and verbatim <= found and len(found) <= 1.1 * len(verbatim) + 1
 
 
+def test_cuts_of_the_benchmark_change_no_score(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    items = spark.read.parquet(f"{SMALL}/benchmark.parquet").select("item_id", "text")
+    whole = leaks.contaminated(docs, items).collect()
+    near = lambda rows: sorted((r.doc_id, r.item_id, r.first_word, round(r.score, 9)) for r in rows)
+    monkeypatch.setattr(leaks, "SHARDS_A_PASS", 2)
+    monkeypatch.setattr(leaks.indexes, "__defaults__", (leaks.THRESHOLD, 9))
+    assert whole and near(leaks.contaminated(docs, items).collect()) == near(whole)
+    monkeypatch.undo()
+    # A long item has passages of its own length and leaves those of the others alone.
+    longer = items.unionByName(spark.createDataFrame([(10**6, " ".join(f"zz{i}" for i in range(3_000)))], "item_id bigint, text string"))
+    got = [r for r in leaks.contaminated(docs, longer).collect() if r.item_id != 10**6]
+    assert [r[:3] for r in near(got)] == [r[:3] for r in near(whole)]
+
+
+def test_question_without_its_heavy_answer(spark):
+    """The answer carries most of the score, and the text holds the question only."""
+    common = "what is the name of the long river in the north of the old land"
+    answer = " ".join(f"rare{i}" for i in range(30))
+    rows = [(1, f"{common}? {answer}.")] + [(k, f"{common}, part {k}? It is number {k}.") for k in range(2, 40)]
+    items = spark.createDataFrame(rows, "item_id bigint, text string")
+    docs = spark.createDataFrame([(1, f"So {common}? Nobody knows."), (2, "Nothing of that kind is here.")], "doc_id bigint, text string")
+    assert (1, 1) in {(r.doc_id, r.item_id) for r in leaks.contaminated(docs, items).collect()}
+    assert [r.doc_id for r in leaks.without_leaks(docs, items).collect()] == [2]
+
+
 def test_leaks_odd_rows(spark, odd):
     items = spark.createDataFrame([(1, None), (2, ""), (None, "token abcdefghijkl1234 is it. Yes")], "item_id bigint, text string")
     assert [r.item_id for r in leaks.contaminated(odd, items).collect()] == []
