@@ -64,15 +64,18 @@ def term_counts(
 
 
 def vocabulary(counts: DataFrame, docs: DataFrame, group: Sequence[str], max_df: float = 0.9) -> DataFrame:
-    """Terms of each group with their inverse document frequency, too frequent ones left out."""
+    """Terms of each group with their inverse document frequency, too frequent ones left out.
+
+    ``counts`` has the hash ``_h`` of each term, which stays a key beside it.
+    """
     group = list(group)
     sizes = docs.groupBy(*group).agg(F.count(F.lit(1)).alias("_docs"))
-    freq = counts.groupBy(*group, "term").agg(F.count(F.lit(1)).alias("_df"))
+    freq = counts.groupBy("_h", *group, "term").agg(F.count(F.lit(1)).alias("_df"))
     # A row per group; groups are the topics of a rule table, or a caller's own few labels.
     return (
         freq.join(sizes, group)
         .where(F.col("_df") <= F.lit(max_df) * F.col("_docs"))
-        .select(*group, "term", (F.log((1 + F.col("_docs")) / (1 + F.col("_df"))) + 1).alias("_idf"))
+        .select("_h", *group, "term", (F.log((1 + F.col("_docs")) / (1 + F.col("_df"))) + 1).alias("_idf"))
     )
 
 
@@ -89,17 +92,18 @@ def term_weights(
 
     The vocabulary of a group leaves out terms found in more than ``max_df`` of its documents.
     The join on the term has one row per term on one side; adaptive execution splits a frequent
-    term on the other.
+    term on the other. Keys with many values come first, a hash or the document, since rows are sorted
+    by the leading bytes of the first key and only compared whole where these are equal.
     """
     group = list(group)
     # Stored, since the vocabulary and the weights both read it: texts are cut into terms once.
-    counts = stored(term_counts(docs, group, doc, text, stop_words, longest))
+    counts = stored(term_counts(docs, group, doc, text, stop_words, longest)).withColumn("_h", F.xxhash64(*group, "term"))
     idf = vocabulary(counts, docs, group, max_df)
-    weighted = counts.join(idf, [*group, "term"]).select(
+    weighted = counts.join(idf, ["_h", *group, "term"]).select(
         *group, doc, "term", (F.col("_tf") * F.col("_idf")).alias("_raw")
     )
     # One document per window group, so its size is bounded by one text.
-    length = F.sqrt(F.sum(F.col("_raw") * F.col("_raw")).over(Window.partitionBy(*group, doc)))
+    length = F.sqrt(F.sum(F.col("_raw") * F.col("_raw")).over(Window.partitionBy(doc, *group)))
     return weighted.select(*group, doc, "term", (F.col("_raw") / length).alias("weight"))
 
 
@@ -116,7 +120,7 @@ def cluster_phrases(
     sizes = labels.groupBy(*cluster).agg(F.count(F.lit(1)).alias("_docs"))
     sums = (
         weights.where(F.char_length("term") > 2)
-        .join(labels.select(*group, doc, "label"), [*group, doc])
+        .join(labels.select(*group, doc, "label"), [doc, *group])
         .groupBy(*cluster, "term")
         .agg(F.sum(F.round(F.col("weight") * UNIT).cast("bigint")).alias("_sum"))
         .where(F.col("_sum") > 0)
