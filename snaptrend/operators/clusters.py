@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,20 +25,36 @@ def _sims(weights: DataFrame, centres: DataFrame, group: list[str], doc: str, na
     return weights.join(centres, [*group, "term"]).groupBy(*group, doc).agg(*parts)
 
 
+def _uniform(doc: str, *salt: int) -> Column:
+    """A number between 0 and 1, both left out, that depends on the document and the salt alone."""
+    return (F.shiftrightunsigned(F.xxhash64(doc, *map(F.lit, salt)), 11) + F.lit(0.5)) / F.lit(float(1 << 53))
+
+
 def _starting(
     weights: DataFrame, docs: DataFrame, group: list[str], doc: str, clusters: int, starts: int, seed: int
 ) -> DataFrame:
     """First centres of every start, one column each by term.
 
-    The first is a document picked by hash; each further one is the document least like those taken, ties by
-    hash. Documents without terms are never picked while others are left.
+    Even starts take the document least like those taken, which finds clusters that lie far apart for certain; odd ones draw,
+    each document with a chance in proportion to its squared distance from the nearest one drawn before, which outliers mislead
+    less. The first document of a start is picked by hash. For a draw documents run a race, as exponential times
+    ``-ln(u) / distance²`` have that chance to be the least: a minimum per group, folded before any shuffle.
+    ``u`` is a hash of the document, so reruns draw alike. A copy of a drawn document is not drawn while others are left.
     """
-    tie = [F.xxhash64(doc, F.lit(seed + s)) for s in range(starts)]
     held = weights.select(*group, doc).distinct().join(docs, [*group, doc])
     state = checkpointed(held.select(*group, doc, *[F.lit(-1.0).alias(f"near{s}") for s in range(starts)]))
+
+    def turn(s: int, c: int) -> Column:
+        near, tie = F.round(f"near{s}", 9), F.xxhash64(doc, F.lit(seed + s))
+        if c == 0 or s % 2 == 0:
+            return F.struct(near, tie)
+        # Vectors have length one.
+        race = -F.log(_uniform(doc, seed, s, c)) / F.nullif(F.greatest(2 - 2 * near, F.lit(0.0)), F.lit(0.0))
+        return F.struct(race.isNull(), race, tie)
+
     picked = None
     for c in range(clusters):
-        chosen = [F.min_by(doc, F.struct(F.round(f"near{s}", 9), tie[s])).alias(f"s{s}") for s in range(starts)]
+        chosen = [F.min_by(doc, turn(s, c)).alias(f"s{s}") for s in range(starts)]
         # A row per group.
         row = state.groupBy(*group).agg(*chosen)
         one = row.select(
@@ -76,8 +93,9 @@ def k_means(
 
     ``weights`` has one row per document and term, ``docs`` one per document; both have the group. A centre is a
     column of sums by term, so that all starts share one join on the term and one on the document per
-    round. Neither vocabulary nor centres reach the driver; only whether a round changed anything does.
-    Sums are compared after rounding. Labels are numbered by the smallest document of their cluster.
+    round. A start at a standstill leaves the rounds. Neither vocabulary nor centres reach the driver; only which
+    starts a round changed does. Sums are compared after rounding. Labels are numbered by the smallest document of
+    their cluster.
     """
     group = list(group)
     weights = stored(weights.select(*group, doc, "term", "weight"))
@@ -86,49 +104,68 @@ def k_means(
     sizes = sizes.select(*group, k.alias("_k"))
     docs = checkpointed(docs.select(*group, doc).join(sizes, group))
     most = clusters or MOST_CLUSTERS
-    grid = [(s, c) for s in range(starts) for c in range(most)]
-    names = [f"c{s}_{c}" for s, c in grid]
     centres = stored(_starting(weights, docs.drop("_k"), group, doc, most, starts, seed))
-    before = None
-    for _ in range(rounds):
-        # A row per group: the squared length of each centre, null for one without documents.
-        lengths = centres.groupBy(*group).agg(*[F.sum(F.col(n) * F.col(n)).alias(f"l{n}") for n in names])
-        rows = docs.join(_sims(weights, centres, group, doc, names), [*group, doc], "left").join(lengths, group, "left")
-        # Squared distance without the document's own length; clusters beyond the group's number stay out.
-        far = [
-            F.array(*[
-                F.when((F.lit(c) < F.col("_k")) & F.col(f"lc{s}_{c}").isNotNull(),
-                       F.round(F.col(f"lc{s}_{c}") - 2 * F.coalesce(f"c{s}_{c}", F.lit(0.0)), 9)).otherwise(F.lit(9.0))
-                for c in range(most)
-            ])
-            for s in range(starts)
-        ]
-        now = checkpointed(rows.select(
-            *group, doc,
-            *[(F.array_position(far[s], F.array_min(far[s])) - 1).cast("int").alias(f"a{s}") for s in range(starts)],
-            *[F.array_min(far[s]).alias(f"d{s}") for s in range(starts)],
-        ))
-        marks = [f"a{s}" for s in range(starts)]
-        if before is not None:
-            old = before.select(*group, doc, *[F.col(m).alias(f"o{m}") for m in marks])
-            moved = F.greatest(*[(F.col(m) != F.col(f"o{m}")).cast("int") for m in marks]) if starts > 1 else (F.col("a0") != F.col("oa0")).cast("int")
-            if now.join(old, [*group, doc]).where(moved == 1).isEmpty():
-                break
-        before = now
-        counts = now.groupBy(*group).agg(
-            *[F.nullif(F.sum((F.col(f"a{s}") == c).cast("int")), F.lit(0)).alias(f"k{s}_{c}") for s, c in grid]
-        )
-        summed = weights.join(now.select(*group, doc, *marks), [*group, doc]).groupBy(*group, "term").agg(
-            *[F.sum(F.when(F.col(f"a{s}") == c, F.col("weight"))).alias(f"c{s}_{c}") for s, c in grid]
-        )
-        centres = stored(summed.join(counts, group).select(
-            *group, "term", *[(F.col(f"c{s}_{c}") / F.col(f"k{s}_{c}")).alias(f"c{s}_{c}") for s, c in grid]
-        ))
-    costs = now.groupBy(*group).agg(F.array(*[F.round(F.sum(f"d{s}"), 6) for s in range(starts)]).alias("_costs"))
-    best = costs.select(*group, F.array_position("_costs", F.array_min("_costs")).cast("int").alias("_best"))
-    taken = F.element_at(F.array(*[f"a{s}" for s in range(starts)]), F.col("_best"))
-    found = checkpointed(now.join(best, group).select(*group, doc, taken.alias("_cluster")))
+    # Rows of the round before: each document with its cluster by start.
+    rows = docs.select("*", *[F.lit(-1).alias(f"a{s}") for s in range(starts)])
+    live, ended = list(range(starts)), []
+    for left in range(rounds, 0, -1):
+        rows = _assigned(rows, weights, centres, group, doc, live, most)
+        # One row: the starts that changed.
+        moved = rows.agg(*[F.max(f"m{s}").alias(f"m{s}") for s in live]).first()
+        gone = [s for s in live if not moved[f"m{s}"] or left == 1]
+        if gone:
+            results = F.array(*[F.struct(F.lit(s).alias("s"), F.col(f"a{s}").alias("a"), F.col(f"d{s}").alias("d")) for s in gone])
+            ended.append(rows.select(*group, doc, F.explode(results).alias("r")).select(*group, doc, "r.s", "r.a", "r.d"))
+            live = [s for s in live if s not in gone]
+        if not live:
+            break
+        centres = stored(_centres(weights, rows, group, doc, live, most))
+    every = reduce(DataFrame.unionByName, ended)
+    costs = every.groupBy(*group, "s").agg(F.round(F.sum("d"), 6).alias("_cost"))
+    # A row per group.
+    best = costs.groupBy(*group).agg(F.min_by("s", F.struct("_cost", "s")).alias("s"))
+    found = checkpointed(every.join(best, [*group, "s"]).select(*group, doc, F.col("a").alias("_cluster")))
     # At most as many rows as a group has clusters.
     first = found.groupBy(*group, "_cluster").agg(F.min(doc).alias("_first"))
     order = first.withColumn("label", F.row_number().over(Window.partitionBy(*group).orderBy("_first")) - 1)
     return found.join(order.drop("_first"), [*group, "_cluster"]).select(*group, doc, "label")
+
+
+def _assigned(
+    rows: DataFrame, weights: DataFrame, centres: DataFrame, group: list[str], doc: str, live: list[int], most: int
+) -> DataFrame:
+    """The nearest centre ``a`` of every document by start, how far it is (``d``), and whether it is another one (``m``)."""
+    names = [f"c{s}_{c}" for s in live for c in range(most)]
+    # A row per group: the squared length of each centre, null for one without documents.
+    lengths = centres.groupBy(*group).agg(*[F.sum(F.col(n) * F.col(n)).alias(f"l{n}") for n in names])
+    met = rows.join(_sims(weights, centres, group, doc, names), [*group, doc], "left").join(lengths, group, "left")
+    # Squared distance without the document's own length; clusters beyond the group's number stay out.
+    far = {
+        s: F.array(*[
+            F.when((F.lit(c) < F.col("_k")) & F.col(f"lc{s}_{c}").isNotNull(),
+                   F.round(F.col(f"lc{s}_{c}") - 2 * F.coalesce(f"c{s}_{c}", F.lit(0.0)), 9)).otherwise(F.lit(9.0))
+            for c in range(most)
+        ])
+        for s in live
+    }
+    now = {s: (F.array_position(far[s], F.array_min(far[s])) - 1).cast("int") for s in live}
+    return checkpointed(met.select(
+        *group, doc, "_k",
+        *[now[s].alias(f"a{s}") for s in live],
+        *[F.array_min(far[s]).alias(f"d{s}") for s in live],
+        *[(now[s] != F.col(f"a{s}")).cast("int").alias(f"m{s}") for s in live],
+    ))
+
+
+def _centres(weights: DataFrame, rows: DataFrame, group: list[str], doc: str, live: list[int], most: int) -> DataFrame:
+    """Mean weight of every term over the documents of each cluster, a column by start and cluster."""
+    grid = [(s, c) for s in live for c in range(most)]
+    counts = rows.groupBy(*group).agg(
+        *[F.nullif(F.sum((F.col(f"a{s}") == c).cast("int")), F.lit(0)).alias(f"k{s}_{c}") for s, c in grid]
+    )
+    summed = weights.join(rows.select(*group, doc, *[f"a{s}" for s in live]), [*group, doc]).groupBy(*group, "term").agg(
+        *[F.sum(F.when(F.col(f"a{s}") == c, F.col("weight"))).alias(f"c{s}_{c}") for s, c in grid]
+    )
+    return summed.join(counts, group).select(
+        *group, "term", *[(F.col(f"c{s}_{c}") / F.col(f"k{s}_{c}")).alias(f"c{s}_{c}") for s, c in grid]
+    )

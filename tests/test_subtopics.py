@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from snaptrend.functions.text import jaccard, keyword_set, normalized_set, readable_name
+from snaptrend.operators.clusters import _starting
 from snaptrend.operators.subtopics import (
     cluster_count, cluster_documents, cluster_phrases, document_phrases, stable_ids, term_weights,
 )
@@ -162,3 +163,24 @@ def test_numbered_cuts_hot_groups(spark):
     for k in ("x", "hot"):
         own = sorted((r.o, r.n) for r in rows if r.k == k)
         assert [n for _, n in own] == list(range(1, len(own) + 1))
+
+
+def test_starts_are_drawn_by_squared_distance(spark):
+    """Beside a drawn document, one at squared distance 2 is drawn twice as often as one at 1, and never a copy."""
+    vectors = [("a", "x", 1.0), ("a2", "x", 1.0), ("b", "x", 0.5), ("b", "y", 0.75**0.5), ("c", "z", 1.0)]
+    groups = spark.range(3000).select(F.col("id").alias("g"))
+    rows = spark.createDataFrame(vectors, "d string, term string, weight double")
+    weights = groups.join(F.broadcast(rows)).select("g", F.concat("d", F.lit("-"), F.col("g").cast("string")).alias("id"), "term", "weight")
+    docs = weights.select("g", "id").distinct()
+    centres = _starting(weights, docs, ["g"], "id", 2, 2, 42).collect()
+    assert sorted(map(tuple, _starting(weights, docs, ["g"], "id", 2, 2, 42).collect()), key=str) == sorted(map(tuple, centres), key=str)
+    # An even start takes what is farthest.
+    farthest = {r.g for r in centres if r.term == "x" and r.c0_0 == 1.0}
+    assert farthest == {r.g for r in centres if r.term == "z" and r.c0_1 is not None} & farthest
+    # An odd one draws.
+    first = {r.g for r in centres if r.term == "x" and r.c1_0 == 1.0}
+    far = {r.g for r in centres if r.term == "z" and r.c1_1 is not None} & first
+    near = {r.g for r in centres if r.term == "y" and r.c1_1 is not None} & first
+    assert 0.45 < len(first) / 3000 < 0.55
+    assert far | near == first and not far & near
+    assert 0.62 < len(far) / len(first) < 0.71
