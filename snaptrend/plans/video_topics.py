@@ -16,7 +16,7 @@ from snaptrend.functions.lexicon import TopicRule
 from snaptrend.functions.text import displayed_keywords, readable_name
 from snaptrend.operators.ranking import top_per_group
 from snaptrend.operators.subtopics import (
-    cluster_documents, cluster_phrases, document_phrases, stable_ids, term_weights,
+    cluster_documents, cluster_phrases, distinct_texts, document_phrases, labels_of_copies, stable_ids, term_weights,
 )
 from snaptrend.operators.topics import build_documents, classify_macro_topics
 from snaptrend.operators.versions import latest_before
@@ -61,7 +61,10 @@ def assign_sub_topics(
     """
     catch_all = lexicon.CATCH_ALL_ID
     specific = docs.where(F.col("macro_topic_id") != catch_all)
-    weights = stored(term_weights(specific, ["macro_topic_id"], "video_id", "source_text", stop_words))
+    # Copies of a text are weighed and clustered once.
+    texts, copies = distinct_texts(specific, ["macro_topic_id"], "video_id", "source_text")
+    texts = stored(texts)
+    weights = stored(term_weights(texts, ["macro_topic_id"], "video_id", "source_text", stop_words, copies="copies"))
     # One row per macro topic: how many documents, and whether any term is left.
     usable = weights.select("macro_topic_id").distinct().withColumn("_usable", F.lit(True))
     sizes = specific.groupBy("macro_topic_id").agg(F.count(F.lit(1)).alias("n")).join(
@@ -74,13 +77,17 @@ def assign_sub_topics(
     if together:
         own = F.col("macro_topic_id").isin(together)
         labels = cluster_documents(
-            weights.where(own), specific.where(own), ["macro_topic_id"], "video_id", starts=starts
+            weights.where(own), texts.where(own), ["macro_topic_id"], "video_id", starts=starts, copies="copies"
         )
         # Labels are text, so that clusters and single documents can be stacked; up to five
         # clusters sort alike as numbers and as text.
-        labels = stored(labels.select("macro_topic_id", "video_id", F.col("label").cast("string").alias("label")))
-        phrases = cluster_phrases(weights, labels, ["macro_topic_id"], "video_id").drop("scores")
-        all_labels = labels.select(*LABEL).distinct()
+        of_texts = stored(
+            labels.join(texts.drop("source_text"), ["macro_topic_id", "video_id"])
+            .select("macro_topic_id", "video_id", F.col("label").cast("string").alias("label"), "copies")
+        )
+        phrases = cluster_phrases(weights, of_texts, ["macro_topic_id"], "video_id", copies="copies").drop("scores")
+        all_labels = of_texts.select(*LABEL).distinct()
+        labels = stored(labels_of_copies(of_texts, copies, ["macro_topic_id"], "video_id"))
         described.append(
             all_labels.join(phrases, LABEL, "left")
             .join(_representative_titles(specific, labels), LABEL, "left")
