@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -126,11 +127,8 @@ def read_files(spark: SparkSession, path: str, schema: T.StructType | None = Non
         if "merge" not in str(error).lower():
             raise
         merged = error
-    groups: dict[str, list[str]] = {}
     reader = spark.read.option("basePath", base)
-    # Footers only, and only where files disagree.
-    for file in sorted(_data_files(spark, base)):
-        groups.setdefault(reader.parquet(file).schema.json(), []).append(file)
+    groups = _by_schema(reader, _data_files(spark, base))
     if len(groups) < 2:
         raise merged
     found: dict[str, set[str]] = {}
@@ -143,13 +141,30 @@ def read_files(spark: SparkSession, path: str, schema: T.StructType | None = Non
     ]
     told = {c.column: c.taken for c in conflicts}
     parts = []
-    for files in groups.values():
-        part = reader.parquet(*files)
+    for text, files in groups.items():
+        part = reader.schema(T.StructType.fromJson(json.loads(text))).parquet(*files)
         wanted = T.StructType([T.StructField(n, T.StructType.fromDDL(f"x {k}")[0].dataType) for n, k in told.items()])
         parts.append(_as(coerce(part, wanted), schema))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts), conflicts
 
 
+def _by_schema(reader: DataFrameReader, files: Sequence[str]) -> dict[str, list[str]]:
+    """Files by schema, as JSON. Footers only: those of a folder are merged in one job, and read one by one where they disagree."""
+    folders: dict[str, list[str]] = {}
+    for file in sorted(files):
+        folders.setdefault(file.rpartition("/")[0], []).append(file)
+    groups: dict[str, list[str]] = {}
+    for inside in folders.values():
+        try:
+            groups.setdefault(reader.option("mergeSchema", "true").parquet(*inside).schema.json(), []).extend(inside)
+        except Exception as error:  # as above
+            if "merge" not in str(error).lower():
+                raise
+            for file in inside:
+                groups.setdefault(reader.option("mergeSchema", "false").parquet(file).schema.json(), []).append(file)
+    return groups
+
+
 def _as(rows: DataFrame, schema: T.StructType | None) -> DataFrame:
     return rows if schema is None else align(rows, schema)
 
