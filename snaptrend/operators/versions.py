@@ -72,13 +72,15 @@ def split_upsert(
     version: str = "extracted_at",
     date_column: str = "run_date",
     tie: Sequence[Column] = (),
+    unique: bool = False,
 ) -> DataFrame:
     """Source rows that change the target, with the date of the row each one supersedes.
 
     Reads only key, version and date of the target, so that a table writer can rewrite just the
-    dates that lose or gain a row. ``_old_date`` is null for an added key.
+    dates that lose or gain a row. ``_old_date`` is null for an added key. The source is first cut to its latest
+    version per key, unless it is ``unique`` already.
     """
-    incoming = latest_per_key(source, keys, [F.col(version).desc(), *tie])
+    incoming = source if unique else latest_per_key(source, keys, [F.col(version).desc(), *tie])
     no_key = has_null_key(keys)
     known = target.where(~no_key).select(
         *keys,

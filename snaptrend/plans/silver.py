@@ -32,13 +32,14 @@ def merge_daily(spark: SparkSession, raw: DataFrame, database: str, spec: TableS
     replace_run_dates(checkpointed(merged), database, spec, [run_date])
 
 
-#: Buckets of the index of keys, and the parts that are rewritten apart from each other.
+#: Buckets of the index of keys, and the parts that are rewritten apart from each other; the first is a multiple of the second.
 BUCKETS, PARTS = 64, 32
-STATE = "index.state"
+STATE, CURRENT, BEHIND = "index.state", "current, whole buckets", "behind"
 
 
 def _part(spec: TableSpec) -> Column:
-    return F.pmod(F.xxhash64(*spec.key), F.lit(PARTS)).cast("int").alias("part")
+    """Part of a key, by the hash that also gives its bucket: a bucket lies in one part, as one file."""
+    return F.pmod(F.hash(*spec.key), F.lit(PARTS)).alias("part")
 
 
 def _index_rows(rows: DataFrame, spec: TableSpec) -> DataFrame:
@@ -47,7 +48,7 @@ def _index_rows(rows: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def _write_index(rows: DataFrame, index: str, spec: TableSpec) -> None:
-    """Replace the parts that occur in ``rows``; each bucket of a part is one file."""
+    """Replace the parts that occur in ``rows``; a task writes one bucket, so an index has as many files as buckets."""
     spark = rows.sparkSession
     previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
@@ -70,7 +71,7 @@ def current_keys(spark: SparkSession, database: str, spec: TableSpec) -> str:
     index = f"{database}.{spec.name}_keys"
     if spark.catalog.tableExists(index):
         told = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {index}").collect()}
-        if told.get(STATE) == "current":
+        if told.get(STATE) == CURRENT:
             return index
         spark.sql(f"DROP TABLE {index}")
     keys = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spec.schema if f.name in spec.key)
@@ -80,7 +81,7 @@ def current_keys(spark: SparkSession, database: str, spec: TableSpec) -> str:
         f"PARTITIONED BY (part) CLUSTERED BY ({by}) SORTED BY ({by}) INTO {BUCKETS} BUCKETS"
     )
     _write_index(_index_rows(spark.table(f"{database}.{spec.name}"), spec), index, spec)
-    _mark(spark, index, "current")
+    _mark(spark, index, CURRENT)
     return index
 
 
@@ -97,19 +98,21 @@ def current_changes(spark: SparkSession, source: DataFrame, database: str, spec:
     # A key with many rows is cut to its latest before the shuffle; into as many tasks as buckets, or Spark would deal the index
     # out once more where the session uses more tasks than that.
     latest = latest_per_key(source, spec.key, [F.col("extracted_at").desc(), *_tie(spec)]).repartition(BUCKETS, *spec.key)
-    return split_upsert(known, latest, spec.key, tie=_tie(spec))
+    return split_upsert(known, latest, spec.key, unique=True)
 
 
 def merge_current(spark: SparkSession, raw: DataFrame, database: str, spec: TableSpec, run_date: str | date) -> None:
     """Merge into a table keyed without the run date: a newer row moves to the newer date.
 
-    Only the dates that lose or gain a row are rewritten. A date that loses its last row is
+    Only the dates that lose or gain a row are rewritten, none where nothing changes. A date that loses its last row is
     dropped. The index of keys is kept along; while it is behind the table it is marked as such.
     """
     day = as_date(run_date, "run_date")
     source = align(raw.where(F.col("run_date") == F.lit(day)), spec.schema)
     target = spark.table(f"{database}.{spec.name}").select(*source.columns)
     changes = checkpointed(current_changes(spark, source, database, spec))
+    if changes.isEmpty():
+        return
     index = current_keys(spark, database, spec)
     gone = changes.where(F.col("_old_date").isNotNull()).select(*spec.key, F.col("_old_date").alias("run_date"))
     # A list of calendar days, however large the table is.
@@ -120,10 +123,10 @@ def merge_current(spark: SparkSession, raw: DataFrame, database: str, spec: Tabl
     parts = [r["part"] for r in newer.select("part").distinct().collect()]
     held = spark.table(index).where(F.col("part").isin(parts)).join(newer.select(*spec.key), list(spec.key), "left_anti")
     keys = checkpointed(held.unionByName(newer))
-    _mark(spark, index, "behind")
+    _mark(spark, index, BEHIND)
     replace_run_dates(content, database, spec, touched)
     _write_index(keys, index, spec)
-    _mark(spark, index, "current")
+    _mark(spark, index, CURRENT)
 
 
 def refresh_silver(spark: SparkSession, raw_database: str, silver_database: str, run_date: str | date) -> None:

@@ -145,6 +145,24 @@ def test_current_keys_are_not_shuffled_and_survive_a_break(spark, monkeypatch):
     assert sorted(r.comment_id for r in spark.table("k_silver.comments_current_keys").collect()) == ["a", "b", "c"]
 
 
+def test_index_has_a_file_per_bucket_and_a_repeat_writes_nothing(spark):
+    """Every bucket had a file in each of 32 parts, and a merge without a change rewrote its date."""
+    spec = schemas.COMMENTS_CURRENT
+    tables.create_layers(spark, {"silver": "f_silver"})
+    rows = lambda hour: spark.range(3000).select(
+        F.lit(D1).alias("run_date"), F.concat(F.lit("c"), "id").alias("comment_id"), F.lit(datetime(2024, 1, 1, hour)).alias("extracted_at")
+    )
+    files = lambda name: {r[0] for r in spark.table(name).select(F.input_file_name()).distinct().collect()}
+    for hour in (1, 2):
+        silver.merge_current(spark, rows(hour), "f_silver", spec, D1)
+        assert len(files("f_silver.comments_current_keys")) <= silver.BUCKETS
+    before = files("f_silver.comments_current"), files("f_silver.comments_current_keys")
+    silver.merge_current(spark, rows(2), "f_silver", spec, D1)
+    assert (files("f_silver.comments_current"), files("f_silver.comments_current_keys")) == before
+    assert spark.table("f_silver.comments_current").where(F.hour("extracted_at") == 2).count() == 3000
+    assert spark.table("f_silver.comments_current_keys").count() == 3000
+
+
 def test_files_that_disagree(spark, tmp_path):
     """Types of all files are told; the declared table keeps its partitions; undeclared columns become text."""
     path = str(tmp_path / "in")
